@@ -201,13 +201,14 @@ def trailing_counts(events: DataFrame, key: str = "user_id", seconds: int = WIND
 
 def rate_outliers(events: DataFrame, scope: str = "global", counts: DataFrame | None = None,
                   threshold: float = Z_THRESHOLD, min_samples: int = MIN_SAMPLES,
-                  seconds: int = WINDOW_SECONDS) -> DataFrame:
+                  seconds: int = WINDOW_SECONDS, key: str = "user_id") -> DataFrame:
     """Events whose recent count is far from the baseline of counts per window.
 
+    The recent count is that of the event's user, or of its address with ``key="source_ip"``.
     ``scope`` is ``global`` (one baseline) or ``user`` (each user's own baseline).
     """
     counts = window_counts(events, seconds) if counts is None else counts
-    recent = trailing_counts(events, "user_id", seconds)
+    recent = trailing_counts(events, key, seconds)
     if scope == "global":
         scored = recent.withColumn("_base", one_row(counts.agg(*_summary("n_events"))))
     else:

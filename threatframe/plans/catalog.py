@@ -208,13 +208,13 @@ _RECENT = """recent AS (SELECT event_id, ts_us, user_id,
   - count(*) OVER (PARTITION BY user_id, ts_us ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS recent_count FROM le)"""
 
 
-@query("rate_outliers", with_events(_ALIGNED, _RECENT, """
+@query("rate_outliers", with_events(_ALIGNED, _RECENT.replace("user_id", "source_ip"), """
 base AS (SELECT count(*) AS n, avg(n_events) AS mean, coalesce(stddev_samp(n_events), 0) AS std FROM counts),
 z AS (SELECT recent.*, CASE WHEN std = 0 THEN 0 ELSE (recent_count - mean) / std END AS z, n FROM recent, base)""")
-       + "SELECT event_id, user_id, recent_count, round(z, 6) AS z_score FROM z WHERE n >= 10 AND abs(z) > 1")
+       + "SELECT event_id, source_ip, recent_count, round(z, 6) AS z_score FROM z WHERE n >= 10 AND abs(z) > 3")
 def _(spark, sf):
-    return statistical.rate_outliers(log_events(spark, sf), threshold=1.0).select(
-        "event_id", "user_id", "recent_count", r6("z_score", "z_score"))
+    return statistical.rate_outliers(log_events(spark, sf), key="source_ip").select(
+        "event_id", "source_ip", "recent_count", r6("z_score", "z_score"))
 
 
 @query("user_rate_outliers", with_events(_ALIGNED, _RECENT, """
@@ -268,7 +268,7 @@ dev AS (SELECT s.*, n, CASE WHEN n < 10 THEN 0 ELSE least(1.0, CASE WHEN NOT lis
 
 
 @query("profile_deviation", with_events(f"""train AS (SELECT * FROM cal WHERE ts_us < {_HALF}), score AS (SELECT * FROM cal WHERE ts_us >= {_HALF})""", _DEVIATION)
-       + """SELECT event_id, user_id, n AS profile_events, round(score, 6) AS deviation_score, score > 0.5 AS flagged,
+       + """SELECT event_id, user_id, n AS profile_events, round(CAST(score AS DOUBLE), 6) AS deviation_score, score > 0.5 AS flagged,
   CASE WHEN score >= 0.8 THEN 4 ELSE 3 END AS threat_level FROM dev WHERE score > 0""")
 def _(spark, sf):
     events = log_events(spark, sf)
@@ -285,7 +285,7 @@ o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_us, event_id
   row_number() OVER (PARTITION BY user_id, source_ip ORDER BY ts_us, event_id) AS i1, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts_us, event_id) AS t1 FROM cal),
 p AS (SELECT event_id, user_id, n, CASE WHEN n < 10 THEN 0 ELSE least(1.0, CASE WHEN h1 = 1 THEN 0.3 ELSE 0 END + CASE WHEN s1 = 1 THEN 0.4 ELSE 0 END
   + CASE WHEN i1 = 1 THEN 0.5 ELSE 0 END + CASE WHEN t1 = 1 THEN 0.3 ELSE 0 END) END AS score FROM o)""")
-       + "SELECT event_id, user_id, n AS profile_events, round(score, 6) AS deviation_score FROM p")
+       + "SELECT event_id, user_id, n AS profile_events, round(CAST(score AS DOUBLE), 6) AS deviation_score FROM p")
 def _(spark, sf):
     return behavioral.prequential_deviations(log_events(spark, sf)).select(
         "event_id", "user_id", "profile_events", r6("deviation_score", "deviation_score"))
@@ -377,7 +377,7 @@ basics AS (SELECT a, count(*) AS n, max(ts_us) - min(ts_us) AS span FROM ctx GRO
 gaps AS (SELECT a, avg(gap) AS mean, coalesce(stddev_samp(gap), 0) AS std FROM (SELECT a, (ts_us - lag(ts_us) OVER (PARTITION BY a ORDER BY ts_us, event_id)) / 1e6 AS gap FROM ctx)
   WHERE gap IS NOT NULL GROUP BY a),
 {dim('user', 'user_id')}, {dim('ip', 'source_ip')}, {dim('service', 'service')},
-trailing AS (SELECT le.event_id, coalesce(b.n, 0) AS freq_event_count, CASE WHEN b.n > 1 AND span > 0 THEN b.n / (span / 1e6) * 60 ELSE 0 END AS freq_events_per_minute,
+trail AS (SELECT le.event_id, coalesce(b.n, 0) AS freq_event_count, CASE WHEN b.n > 1 AND span > 0 THEN b.n / (span / 1e6) * 60 ELSE 0 END AS freq_events_per_minute,
   coalesce(u.k, 0) AS freq_unique_users, coalesce(i.k, 0) AS freq_unique_ips, coalesce(s.k, 0) AS freq_unique_services,
   coalesce(u.h / CASE WHEN u.k > 1 THEN log2(u.k) ELSE 1 END, 0) AS behavior_user_diversity,
   coalesce(i.h / CASE WHEN i.k > 1 THEN log2(i.k) ELSE 1 END, 0) AS behavior_ip_diversity,
@@ -399,25 +399,25 @@ def _trailing(df):
     return df.select("event_id", *[F.col(c).cast("bigint").alias(c) for c in counts], *[F.abs(F.round(c, 6)).alias(c) for c in reals])
 
 
-@query("trailing_features", with_events(_trailing_sql("")) + f"SELECT {_TRAILING_OUT} FROM trailing")
+@query("trailing_features", with_events(_trailing_sql("")) + f"SELECT {_TRAILING_OUT} FROM trail")
 def _(spark, sf):
     return _trailing(features.trailing_features(log_events(spark, sf)))
 
 
-@query("trailing_features_by_ip", with_events(_trailing_sql("AND a.source_ip = b.source_ip")) + f"SELECT {_TRAILING_OUT} FROM trailing")
+@query("trailing_features_by_ip", with_events(_trailing_sql("AND a.source_ip = b.source_ip")) + f"SELECT {_TRAILING_OUT} FROM trail")
 def _(spark, sf):
     return _trailing(features.trailing_features(log_events(spark, sf), ["source_ip"]))
 
 
-@query("feature_vector", with_events(_trailing_sql(""), _SESSION, """
+@query("feature_vector", with_events(_trailing_sql(""), _SESSION.replace("ctx", "sctx"), """
 vec AS (SELECT event_id, [hour, dow, CASE WHEN dow >= 5 THEN 1 ELSE 0 END, CASE WHEN hour >= 9 AND hour < 17 AND dow < 5 THEN 1 ELSE 0 END,
   CASE WHEN hour < 6 OR hour >= 22 THEN 1 ELSE 0 END, coalesce(duration, 0), coalesce(since, 0), freq_event_count, freq_events_per_minute,
   freq_unique_users, freq_unique_ips, freq_unique_services, behavior_user_diversity, behavior_ip_diversity, behavior_service_diversity,
-  behavior_pattern_consistency] AS v FROM cal JOIN sess USING (event_id) JOIN trailing USING (event_id))""")
-       + "SELECT event_id, " + ", ".join(f"abs(round(v[{i + 1}], 5)) AS v{i:02d}" for i in range(16)) + " FROM vec")
+  behavior_pattern_consistency] AS v FROM cal JOIN sess USING (event_id) JOIN trail USING (event_id))""")
+       + "SELECT event_id, " + ", ".join(f"abs(round(v[{i + 1}], 6)) AS v{i:02d}" for i in range(16)) + " FROM vec")
 def _(spark, sf):
     rows = features.with_features(log_events(spark, sf)).select("event_id", features.feature_vector().alias("v"))
-    return rows.select("event_id", *[F.abs(F.round(F.col("v")[i], 5)).alias(f"v{i:02d}") for i in range(16)])
+    return rows.select("event_id", *[F.abs(F.round(F.col("v")[i], 6)).alias(f"v{i:02d}") for i in range(16)])
 
 
 def _grouped_sql(key: str) -> str:
@@ -456,3 +456,589 @@ def _(spark, sf):
 def _(spark, sf):
     return features.grouped_features(log_events(spark, sf), "user_id").select(
         F.col("group_key").alias("user_id"), r6("events_per_minute", "events_per_minute"), r6("pattern_consistency", "pattern_consistency"))
+
+
+# ------------------------------------------------------------------------------ rules
+
+def _login_sql(seconds: int) -> str:
+    return f"""logins AS (SELECT source_ip, ts_us // {seconds * 1000000} AS w, count(*) AS n, count(*) FILTER (outcome = 'failure') AS failed,
+  count(*) FILTER (outcome = 'success') / count(*) AS success_rate, count(DISTINCT user_id) AS users, min(ts_us) AS first_us, (max(ts_us) - min(ts_us)) / 1e6 AS span
+  FROM le WHERE event_type = 'authentication' GROUP BY ALL)"""
+
+
+def _rule_out(df: DataFrame) -> DataFrame:
+    return df.select("rule_id", "anomaly_type", "threat_level", F.element_at("source_ips", 1).alias("source_ip"), us("first_ts", "first_us"),
+                     r6("certainty", "certainty"), r6("threat_score", "threat_score"),
+                     F.col("attrs")["failed_login_count"].cast("bigint").alias("failed_login_count"))
+
+
+def _rule_sql(rule_id: str, where: str) -> str:
+    from threatframe.config import THREAT_LEVELS
+
+    rule = rules.by_id(rule_id)
+    level = THREAT_LEVELS[rule.actions[0].level]
+    return (f"SELECT '{rule_id}' AS rule_id, '{rule.actions[0].anomaly_type}' AS anomaly_type, {level} AS threat_level, source_ip, first_us, "
+            f"{rule.certainty}::DOUBLE AS certainty, round(least(100.0, {level} * 20 * {rule.certainty}::DOUBLE + 5), 6) AS threat_score, failed AS failed_login_count FROM logins WHERE {where}")
+
+
+def _with_threshold(rule_id: str, **changes):
+    rule = rules.by_id(rule_id)
+    return replace(rule, conditions=tuple(replace(c, value=changes.get(c.predicate, c.value)) for c in rule.conditions))
+
+
+@query("brute_force", with_events(_login_sql(300)) + _rule_sql("AUTH-001", "failed >= 5 AND span <= 300 AND users >= 1"))
+def _(spark, sf):
+    frame = rules.login_frame(rules.login_minutes(log_events(spark, sf)), 300)
+    return _rule_out(rules.rule_hits(frame, [rules.by_id("AUTH-001")]))
+
+
+@query("credential_stuffing", with_events(_login_sql(600)) + _rule_sql("AUTH-002", "failed >= 10 AND users >= 5 AND success_rate <= 0.4"))
+def _(spark, sf):
+    frame = rules.login_frame(rules.login_minutes(log_events(spark, sf)), 600)
+    return _rule_out(rules.rule_hits(frame, [_with_threshold("AUTH-002", success_rate=0.4)]))
+
+
+@query("rapid_failures", with_events(_login_sql(60)) + _rule_sql("AUTH-006", "failed >= 3 AND span <= 60 AND n / greatest(span, 1) >= 0.02"))
+def _(spark, sf):
+    frame = rules.login_frame(rules.login_minutes(log_events(spark, sf)), 60)
+    return _rule_out(rules.rule_hits(frame, [_with_threshold("AUTH-006", event_rate_per_second=0.02)]))
+
+
+@query("port_scan_like", with_events("""w AS (SELECT source_ip, ts_us // 300000000 AS w, count(DISTINCT destination_port) AS ports, min(ts_us) AS first_us, max(ts_us) AS last_us
+  FROM le WHERE destination_port IS NOT NULL GROUP BY ALL)""")
+       + "SELECT source_ip, first_us, last_us, ports FROM w WHERE ports >= 4 AND last_us - first_us <= 300000000")
+def _(spark, sf):
+    frame = rules.scan_frame(log_events(spark, sf), 300, F.col("destination_port"))
+    hits = rules.rule_hits(frame, [_with_threshold("NET-002", unique_destination_ports=4)])
+    return hits.select(F.element_at("source_ips", 1).alias("source_ip"), us("first_ts", "first_us"), us("last_ts", "last_us"),
+                       F.col("attrs")["unique_destination_ports"].cast("bigint").alias("ports"))
+
+
+@query("connection_floods", with_events("""w AS (SELECT destination_ip, ts_us // 60000000 AS w, count(*) AS n, count(DISTINCT source_ip) AS ips, min(ts_us) AS first_us
+  FROM le WHERE event_type = 'network_connection' AND destination_ip IS NOT NULL GROUP BY ALL)""") + "SELECT first_us, n, ips FROM w WHERE n >= 2 AND ips >= 2")
+def _(spark, sf):
+    frame = rules.flood_frame(log_events(spark, sf), 60)
+    hits = rules.rule_hits(frame, [_with_threshold("NET-001", connection_count=2, unique_source_ips=2)])
+    return hits.select(us("first_ts", "first_us"), F.col("attrs")["connection_count"].cast("bigint").alias("n"),
+                       F.col("attrs")["unique_source_ips"].cast("bigint").alias("ips"))
+
+
+@query("lateral_movement", with_events("""w AS (SELECT user_id, ts_us // 600000000 AS w, count(DISTINCT destination_ip) AS targets, max(outcome = 'success') AS ok,
+  max(CASE WHEN service = 'ssh' THEN 1 ELSE 0 END) AS svc, min(ts_us) AS first_us FROM le GROUP BY ALL)""")
+       + "SELECT user_id, first_us, targets FROM w WHERE targets >= 1 AND ok AND svc = 1")
+def _(spark, sf):
+    frame = rules.movement_frame(log_events(spark, sf))
+    hits = rules.rule_hits(frame, [_with_threshold("NET-003", unique_internal_targets=1)])
+    return hits.select(F.element_at("affected_users", 1).alias("user_id"), us("first_ts", "first_us"),
+                       F.col("attrs")["unique_internal_targets"].cast("bigint").alias("targets"))
+
+
+@query("connection_regularity", with_events("""g AS (SELECT source_ip, ts_us // 1800000000 AS w, ts_us,
+  (ts_us - lag(ts_us) OVER (PARTITION BY source_ip, ts_us // 1800000000 ORDER BY ts_us, event_id)) / 1e6 AS gap FROM le WHERE destination_ip IS NOT NULL)""")
+       + "SELECT source_ip, min(ts_us) AS first_us, count(*) AS n_connections, round(var_samp(gap), 4) AS variance FROM g GROUP BY source_ip, w")
+def _(spark, sf):
+    return rules.beacon_frame(log_events(spark, sf)).select(
+        "source_ip", us("first_ts", "first_us"), "n_connections",
+        F.round("aggregated__connection_interval_variance", 4).alias("variance"))
+
+
+@query("sudo_abuse", with_events("""w AS (SELECT user_id, ts_us // 3600000000 AS w, count(*) FILTER (event_type = 'privilege_escalation') AS n, min(ts_us) AS first_us FROM le GROUP BY ALL),
+h AS (SELECT user_id, count(*) FILTER (event_type = 'privilege_escalation') / greatest((max(ts_us) - min(ts_us)) / 3.6e9, 1) AS usual FROM le GROUP BY user_id)""")
+       + "SELECT user_id, first_us, n FROM w JOIN h USING (user_id) WHERE n >= 2 AND usual <= 2")
+def _(spark, sf):
+    frame = rules.sudo_frame(log_events(spark, sf), sudo=F.col("event_type") == "privilege_escalation")
+    hits = rules.rule_hits(frame, [_with_threshold("PRIV-002", sudo_commands_count=2)])
+    return hits.select(F.element_at("affected_users", 1).alias("user_id"), us("first_ts", "first_us"),
+                       F.col("attrs")["sudo_commands_count"].cast("bigint").alias("n"))
+
+
+@query("impossible_travel", with_events("""geo AS (SELECT DISTINCT source_ip, 'C' || right(source_ip, 1) AS country, CAST(right(source_ip, 1) AS INT) * 10.0 AS lat,
+  CAST(right(source_ip, 1) AS INT) * 20.0 AS lon FROM le),
+l AS (SELECT le.*, country, lat, lon FROM le JOIN geo USING (source_ip) WHERE event_type = 'authentication' AND coalesce(outcome, '') <> 'failure'),
+p AS (SELECT *, lag(ts_us) OVER w AS pt, lag(country) OVER w AS pc, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM l WINDOW w AS (PARTITION BY user_id ORDER BY ts_us, event_id)),
+d AS (SELECT *, 2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2)))) AS km,
+  (ts_us - pt) / 6e7 AS minutes FROM p WHERE pt IS NOT NULL)""")
+       + "SELECT event_id, user_id, pc AS location1, country AS location2, round(km, 4) AS km, round(minutes, 6) AS minutes FROM d WHERE country <> pc AND minutes <= 60 AND km >= 500")
+def _(spark, sf):
+    events = log_events(spark, sf)
+    n = F.substring("source_ip", -1, 1).cast("int")
+    geo = events.select("source_ip").distinct().select("source_ip", F.concat(F.lit("C"), n.cast("string")).alias("country"), (n * 10.0).alias("lat"), (n * 20.0).alias("lon"))
+    hits = rules.rule_hits(rules.travel_frame(events, geo), [rules.by_id("AUTH-003")])
+    a = F.col("attrs")
+    return hits.select("event_id", F.element_at("affected_users", 1).alias("user_id"), a["location1"].alias("location1"), a["location2"].alias("location2"),
+                       F.round(a["distance_km"].cast("double"), 4).alias("km"), F.round(a["time_between_logins_minutes"].cast("double"), 6).alias("minutes"))
+
+
+@query("habit_rules", with_events("""u AS (SELECT user_id, min(hour) AS h0, max(hour) AS h1, avg(CASE WHEN dow >= 5 THEN 1 ELSE 0 END) AS weekend FROM cal GROUP BY user_id)""")
+       + """SELECT event_id, 'AUTH-004' AS rule_id, 'suspicious_login_time' AS anomaly_type FROM cal JOIN u USING (user_id) WHERE NOT (hour >= 9 AND hour < 17) AND (hour < 6 OR hour >= 22) AND h0 >= 9 AND h1 <= 16
+UNION ALL SELECT event_id, 'AUTH-005', 'off_hours_access' FROM cal JOIN u USING (user_id) WHERE dow >= 5 AND weekend <= 1.0
+UNION ALL SELECT event_id, 'PRIV-001', 'privilege_escalation' FROM cal WHERE event_type = 'privilege_escalation' AND CAST(substr(user_id, 2) AS INT) % 3 <> 0""")
+def _(spark, sf):
+    events = log_events(spark, sf)
+    role = F.when(F.substring("user_id", 2, 20).cast("int") % 3 == 0, "admin").otherwise("standard")
+    users = events.select("user_id").distinct().select("user_id", role.alias("user_role"), F.lit(1).alias("user_clearance_level"))
+    frame = rules.event_frame(events, events, users)
+    chosen = [rules.by_id("AUTH-004"), _with_threshold("AUTH-005", user_weekend_access_frequency=1.0), rules.by_id("PRIV-001")]
+    return rules.rule_hits(frame, chosen).select("event_id", "rule_id", "anomaly_type")
+
+
+_OUTLIER_RULES = """
+SELECT event_id, 'STAT-001' AS rule_id, 0.7::DOUBLE AS certainty FROM pscore WHERE z >= 3
+UNION ALL SELECT event_id, 'BEH-001', 0.65::DOUBLE FROM p WHERE score >= 0.8 AND least(1.0, n / 100.0) >= 0.1"""
+
+
+@query("outlier_rules", with_events(PAYLOAD, """
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_us, event_id) - 1 AS n,
+  row_number() OVER (PARTITION BY user_id, hour ORDER BY ts_us, event_id) AS h1, row_number() OVER (PARTITION BY user_id, service ORDER BY ts_us, event_id) AS s1,
+  row_number() OVER (PARTITION BY user_id, source_ip ORDER BY ts_us, event_id) AS i1, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts_us, event_id) AS t1 FROM cal),
+p AS (SELECT event_id, n, CASE WHEN n < 10 THEN 0 ELSE least(1.0, CASE WHEN h1 = 1 THEN 0.3 ELSE 0 END + CASE WHEN s1 = 1 THEN 0.4 ELSE 0 END
+  + CASE WHEN i1 = 1 THEN 0.5 ELSE 0 END + CASE WHEN t1 = 1 THEN 0.3 ELSE 0 END) END AS score FROM o)""") + _OUTLIER_RULES)
+def _(spark, sf):
+    events = log_events(spark, sf)
+    frame = rules.event_frame(events, deviations=behavioral.prequential_deviations(events), z_scores=statistical.payload_scores(events))
+    chosen = [rules.by_id("STAT-001"), _with_threshold("BEH-001", confidence=0.1)]
+    return rules.rule_hits(frame, chosen).select("event_id", "rule_id", "certainty")
+
+
+@query("rule_hits_all", with_events(_login_sql(300)) + "SELECT * FROM (" + _rule_sql("AUTH-001", "failed >= 5 AND span <= 300") + ") UNION ALL SELECT * FROM ("
+       + _rule_sql("AUTH-002", "FALSE") + ")")
+def _(spark, sf):
+    return _rule_out(rules.detect(log_events(spark, sf), [r for r in RULES if r.category == "authentication" and r.window_seconds != 60]).filter("rule_id <> 'AUTH-005'"))
+
+
+# ------------------------------------------------------------------------------ facts
+
+_FACTS = f"""raw AS (
+  SELECT 'event' AS fact_type, user_id AS subject, 'event_type' AS predicate, event_type AS v, event_id FROM cal
+  UNION ALL SELECT 'temporal', event_id, 'hour', CAST(hour AS VARCHAR), event_id FROM cal
+  UNION ALL SELECT 'temporal', event_id, 'day_of_week', CAST(dow AS VARCHAR), event_id FROM cal
+  UNION ALL SELECT 'temporal', event_id, 'is_weekend', CASE WHEN dow >= 5 THEN 'true' ELSE 'false' END, event_id FROM cal
+  UNION ALL SELECT 'temporal', event_id, 'is_business_hours', CASE WHEN hour >= 9 AND hour < 17 THEN 'true' ELSE 'false' END, event_id FROM cal
+  UNION ALL SELECT 'temporal', event_id, 'is_night', CASE WHEN hour < 6 OR hour >= 22 THEN 'true' ELSE 'false' END, event_id FROM cal
+  UNION ALL SELECT 'temporal', event_id, 'minute', CAST((ts_us // 60000000) % 60 AS VARCHAR), event_id FROM cal
+  UNION ALL SELECT 'temporal', event_id, 'month', '1', event_id FROM cal
+  UNION ALL SELECT 'network', source_ip, 'source_of', event_id, event_id FROM cal
+  UNION ALL SELECT 'user', user_id, 'generated_event', event_id, event_id FROM cal),
+facts AS (SELECT substr(md5(fact_type || ':' || subject || ':' || predicate || ':' || v), 1, 12) AS fact_id, * FROM raw)"""
+
+
+@query("facts_unpivot", with_events(_FACTS) + "SELECT fact_id, fact_type, subject, predicate, v AS value_str, event_id AS source_event_id FROM facts")
+def _(spark, sf):
+    return facts.from_events(log_events(spark, sf)).select("fact_id", "fact_type", "subject", "predicate", "value_str", "source_event_id")
+
+
+@query("fact_query", with_events(_FACTS) + "SELECT fact_id, subject, event_id AS source_event_id FROM facts WHERE fact_type = 'temporal' AND predicate = 'is_night' AND v = 'true'")
+def _(spark, sf):
+    return facts.query(facts.from_events(log_events(spark, sf)), "temporal", predicate="is_night", value=True).select("fact_id", "subject", "source_event_id")
+
+
+@query("fact_statistics", with_events(_FACTS) + """SELECT fact_type, count(*) AS n_facts, count(DISTINCT subject) AS n_subjects, count(DISTINCT predicate) AS n_predicates FROM facts GROUP BY fact_type
+UNION ALL SELECT 'all', count(*), count(DISTINCT subject), count(DISTINCT predicate) FROM facts""")
+def _(spark, sf):
+    return facts.statistics(facts.from_events(log_events(spark, sf)))
+
+
+def _service_facts(spark, sf):
+    return log_events(spark, sf).select(facts.fact(
+        "usage", F.col("user_id"), "service", F.col("service"), certainty=(F.col("k") % 10 + 1) / 10, event_id=F.col("event_id"), ts=F.col("ts")).alias("f")).select("f.*")
+
+
+_SERVICE_FACTS = "sf AS (SELECT substr(md5('usage:' || user_id || ':service:' || service), 1, 12) AS fact_id, user_id, service, (k % 10 + 1) / 10 AS certainty, event_id, ts_us FROM le)"
+
+
+@query("facts_dedupe", with_events(_SERVICE_FACTS) + """SELECT fact_id, user_id AS subject, service AS value_str, certainty, event_id AS source_event_id
+FROM sf QUALIFY row_number() OVER (PARTITION BY fact_id ORDER BY certainty DESC, ts_us, event_id) = 1""")
+def _(spark, sf):
+    rows = _service_facts(spark, sf)
+    return facts.assert_facts(rows.filter("certainty < 0.5"), rows.filter("certainty >= 0.5")).select("fact_id", "subject", "value_str", "certainty", "source_event_id")
+
+
+@query("facts_retract", with_events(_SERVICE_FACTS) + "SELECT fact_id, event_id AS source_event_id FROM sf WHERE fact_id NOT IN (SELECT fact_id FROM sf WHERE certainty > 0.9)")
+def _(spark, sf):
+    rows = _service_facts(spark, sf)
+    return facts.retract(rows, rows.filter("certainty > 0.9").select("fact_id")).select("fact_id", "source_event_id")
+
+
+@query("recent_facts", with_events(_FACTS) + """SELECT fact_id, predicate FROM facts JOIN (SELECT event_id, ts_us FROM le) USING (event_id) ORDER BY ts_us DESC, fact_id LIMIT 10""")
+def _(spark, sf):
+    return facts.recent(facts.from_events(log_events(spark, sf)), 10).select("fact_id", "predicate")
+
+
+def _user_rules():
+    from threatframe.config import Action, Condition, Rule
+
+    return [Rule("USR-001", "Night administrator", "behavioral", "HIGH", 0.8, "Sudo and failed logins of one user",
+                 (Condition("event", "event_type", "==", "privilege_escalation"), Condition("usage", "service", "in", ("ssh", "vpn"))),
+                 (Action("create_anomaly", "insider_threat", "HIGH", "Ask the user"),)),
+            Rule("USR-002", "Directory and interface", "behavioral", "LOW", 0.5, "Uses directory and interface",
+                 (Condition("usage", "service", "==", "ldap"), Condition("usage", "service", "matches", "^a"), Condition("event", "event_type", "exists")),
+                 (Action("create_anomaly", "unusual_data_access", "LOW", ""),))]
+
+
+_MATCH = """
+uf AS (SELECT 'event' AS t, user_id AS subject, event_type AS v, 1.0 AS c, ts_us, event_id, substr(md5('event:' || user_id || ':event_type:' || event_type), 1, 12) AS fact_id FROM le
+  UNION ALL SELECT 'usage', user_id, service, (k % 10 + 1) / 10, ts_us, event_id, substr(md5('usage:' || user_id || ':service:' || service), 1, 12) FROM le),
+met AS (SELECT *, 'USR-001' AS rule_id, 0 AS cond FROM uf WHERE t = 'event' AND v = 'privilege_escalation' UNION ALL SELECT *, 'USR-001', 1 FROM uf WHERE t = 'usage' AND v IN ('ssh', 'vpn')
+  UNION ALL SELECT *, 'USR-002', 0 FROM uf WHERE t = 'usage' AND v = 'ldap' UNION ALL SELECT *, 'USR-002', 1 FROM uf WHERE t = 'usage' AND v LIKE 'a%'
+  UNION ALL SELECT *, 'USR-002', 2 FROM uf WHERE t = 'event'),
+firstfact AS (SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY {entity}, rule_id, cond ORDER BY ts_us, fact_id) = 1),
+matched AS (SELECT {entity} AS entity, rule_id, count(*) AS n, 1 - product(1 - c) AS cf, string_agg(fact_id, ',' ORDER BY cond) AS fact_ids FROM firstfact GROUP BY ALL)"""
+_MATCH_OUT = "SELECT entity, rule_id, round(cf * CASE rule_id WHEN 'USR-001' THEN 0.8 ELSE 0.5 END, 6) AS effective_cf, fact_ids FROM matched WHERE n = CASE rule_id WHEN 'USR-001' THEN 2 ELSE 3 END"
+
+
+def _matches(spark, sf, scope):
+    rows = facts.from_events(log_events(spark, sf)).filter("fact_type = 'event'").unionByName(_service_facts(spark, sf))
+    return rules.match_rules(rows, _user_rules(), scope).select("entity", "rule_id", r6("effective_cf", "effective_cf"), joined("fact_ids"))
+
+
+@query("rule_match_by_entity", with_events(_MATCH.replace("{entity}", "subject")) + _MATCH_OUT)
+def _(spark, sf):
+    return _matches(spark, sf, "entity")
+
+
+@query("rule_match_global", with_events(_MATCH.replace("{entity}", "'all'")) + _MATCH_OUT)
+def _(spark, sf):
+    return _matches(spark, sf, "global")
+
+
+@query("fact_equality_match", with_events(_SERVICE_FACTS) + """SELECT rule_id, condition_no, count(*) AS n FROM (
+  SELECT 'R1' AS rule_id, 0 AS condition_no FROM sf WHERE service = 'ssh' UNION ALL SELECT 'R1', 1 FROM sf WHERE user_id = 'u7' UNION ALL SELECT 'R2', 0 FROM sf WHERE service = 'vpn' AND user_id = 'u7') GROUP BY ALL""")
+def _(spark, sf):
+    wanted = {"R1": [{"predicate": "service", "value_str": "ssh"}, {"subject": "u7"}], "R2": [{"value_str": "vpn", "subject": "u7"}]}
+    return rules.equality_matches(_service_facts(spark, sf), wanted).groupBy("rule_id", "condition_no").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------------------ certainty, fuzzy, evidence
+
+@query("cf_combine", """WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount * 20 - 1 AS a, l_tax * 25 - 1 AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(CASE WHEN a >= 0 AND b >= 0 THEN a + b * (1 - a) WHEN a < 0 AND b < 0 THEN a + b * (1 + a)
+  WHEN 1 - least(abs(a), abs(b)) = 0 THEN 0 ELSE (a + b) / (1 - least(abs(a), abs(b))) END, 6) + 0.0 AS combined FROM c""")
+def _(spark, sf):
+    a, b = F.col("l_discount") * 20 - 1, F.col("l_tax") * 25 - 1
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.round(certainty.combine(a, b), 6) + 0.0).alias("combined"))
+
+
+@query("cf_combine_many", """WITH c AS (SELECT l_suppkey, 1 - product(1 - l_discount) AS noisy_or FROM lineitem GROUP BY l_suppkey) SELECT l_suppkey, round(noisy_or, 6) AS noisy_or FROM c""")
+def _(spark, sf):
+    return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(r6(certainty.noisy_or(F.col("l_discount")), "noisy_or"))
+
+
+@query("cf_combine_ordered", """WITH RECURSIVE c AS (SELECT o_custkey, o_totalprice / 250000 - 1 AS cf, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders),
+f AS (SELECT o_custkey, n, greatest(-0.9, least(0.9, cf)) AS cf FROM c),
+fold AS (SELECT o_custkey, n, cf AS acc FROM f WHERE n = 1 UNION ALL SELECT f.o_custkey, f.n, CASE WHEN acc >= 0 AND cf >= 0 THEN acc + cf * (1 - acc)
+  WHEN acc < 0 AND cf < 0 THEN acc + cf * (1 + acc) ELSE (acc + cf) / (1 - least(abs(acc), abs(cf))) END FROM fold JOIN f ON f.o_custkey = fold.o_custkey AND f.n = fold.n + 1)
+SELECT o_custkey, round(arg_max(acc, n), 6) + 0.0 AS combined FROM fold GROUP BY o_custkey""")
+def _(spark, sf):
+    factor = certainty.clamp(F.col("o_totalprice") / 250000 - 1, -0.9, 0.9)
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(
+        (F.round(certainty.combine_group(["o_orderdate", "o_orderkey"], factor), 6) + 0.0).alias("combined"))
+
+
+@query("cf_weighted", """SELECT l_suppkey, round(greatest(-1, least(1, sum((l_discount * 20 - 1) * l_quantity) / sum(l_quantity))), 6) + 0.0 AS weighted FROM lineitem GROUP BY l_suppkey""")
+def _(spark, sf):
+    return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        (F.round(certainty.weighted(F.col("l_discount") * 20 - 1, F.col("l_quantity")), 6) + 0.0).alias("weighted"))
+
+
+@query("cf_probability", """WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount * 20 - 1 AS cf, l_tax * 12.5 AS p FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round((cf + 1) / 2, 6) AS probability,
+  round(CASE WHEN cf = 1 THEN 1 ELSE (0.25 * (1 + cf) / (1 - cf)) / (1 + 0.25 * (1 + cf) / (1 - cf)) END, 6) AS with_prior,
+  round(CASE WHEN p = 1 THEN 1 WHEN p = 0 THEN -1 ELSE ((p / (1 - p)) - 1) / ((p / (1 - p)) + 1) END, 6) + 0.0 AS back, cf >= 0.5 AS meets, abs(cf) > 0.9 AS definite, abs(cf) < 0.1 AS unknown FROM c""")
+def _(spark, sf):
+    cf, p = F.col("l_discount") * 20 - 1, F.col("l_tax") * 12.5
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r6(certainty.to_probability(cf), "probability"), r6(certainty.to_probability(cf, 0.2), "with_prior"),
+        (F.round(certainty.from_probability(p), 6) + 0.0).alias("back"), certainty.meets(cf).alias("meets"),
+        certainty.is_definite(cf).alias("definite"), certainty.is_unknown(cf).alias("unknown"))
+
+
+@query("fuzzy_levels", "SELECT event_id, " + ", ".join(
+    f"round(CASE WHEN v <= {lo} THEN 0 WHEN v >= {hi} THEN 1 ELSE (v - {lo}) / ({hi} - {lo}) END, 6) AS {n}" for n, (lo, hi) in FUZZY_LEVELS.items())
+    + """, round(CASE WHEN v <= 20 OR v >= 70 THEN 0 WHEN v <= 45 THEN (v - 20) / 25 ELSE (70 - v) / 25 END, 6) AS triangle,
+  round(exp(-0.5 * pow((v - 45) / 12.5, 2)), 6) AS gaussian FROM (SELECT event_id, CAST(least(value, 100) AS DOUBLE) AS v FROM events)""")
+def _(spark, sf):
+    v = F.least(F.col("value"), F.lit(100.0))
+    rows = table(spark, sf, "events").select("event_id", fuzzy.linguistic(v).alias("f"), r6(fuzzy.membership(v, 20, 70, "triangle"), "triangle"),
+                                             r6(fuzzy.membership(v, 20, 70, "gaussian"), "gaussian"))
+    return rows.select("event_id", *[r6(f"f.{n}", n) for n in FUZZY_LEVELS], "triangle", "gaussian")
+
+
+@query("fuzzy_logic", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, least(a, b) AS both, greatest(a, b) AS either, round(1 - a, 6) AS neither
+FROM (SELECT *, l_discount * 10 AS a, l_tax * 10 AS b FROM lineitem)""")
+def _(spark, sf):
+    a, b = F.col("l_discount") * 10, F.col("l_tax") * 10
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", fuzzy.fuzzy_and(F.array(a, b)).alias("both"),
+                                               fuzzy.fuzzy_or(F.array(a, b)).alias("either"), r6(fuzzy.fuzzy_not(a), "neither"))
+
+
+_DS = """
+b AS (SELECT user_id AS case_id, anomaly_type AS hypothesis, avg(certainty * (1 + length(event_id)) / 6) AS b FROM hits GROUP BY ALL),
+p AS (SELECT *, count(*) OVER (PARTITION BY case_id) AS n, product(1 - b) OVER (PARTITION BY case_id) AS p FROM b),
+m AS (SELECT *, b * p / (1 - b) AS m FROM p), k AS (SELECT *, p + sum(m) OVER (PARTITION BY case_id) AS k FROM m),
+ds AS (SELECT case_id, hypothesis, CASE WHEN n = 1 THEN b ELSE m / k END AS belief, CASE WHEN n = 1 THEN 1 ELSE (m + p) / k END AS plausibility FROM k)"""
+
+
+def _beliefs(spark, sf):
+    found = signature.detect(log_events(spark, sf))
+    rows = found.select(F.element_at("affected_users", 1).alias("case_id"), F.col("anomaly_type").alias("hypothesis"),
+                        (F.col("certainty") * (1 + F.length("event_id")) / 6).alias("belief"))
+    return evidence.combine_simple(rows)
+
+
+@query("ds_combine", with_events(HITS, _DS) + "SELECT case_id, hypothesis, round(belief, 6) AS belief, round(plausibility, 6) AS plausibility, round(plausibility - belief, 6) AS uncertainty FROM ds")
+def _(spark, sf):
+    return _beliefs(spark, sf).select("case_id", "hypothesis", r6("belief", "belief"), r6("plausibility", "plausibility"), r6("uncertainty", "uncertainty"))
+
+
+@query("ds_threat", with_events(HITS, _DS) + """SELECT case_id, round(sum(belief * CASE hypothesis WHEN 'sql_injection' THEN 2 ELSE 1 END) / sum(CASE hypothesis WHEN 'sql_injection' THEN 2 ELSE 1 END) * 100, 6) AS threat_score
+FROM ds GROUP BY case_id""")
+def _(spark, sf):
+    return evidence.threat(_beliefs(spark, sf), {"sql_injection": 2.0}).select("case_id", r6("threat_score", "threat_score"))
+
+
+_MASS = """
+e AS (SELECT user_id AS case_id, service AS h, count(*) AS c FROM le WHERE service IN ('ssh', 'web', 'vpn') {where} GROUP BY ALL),
+{name} AS (SELECT case_id, h AS s, c / 200 AS m FROM e UNION ALL SELECT case_id, 'ssh,vpn,web', 1 - sum(c) / 200 FROM e GROUP BY case_id)"""
+
+
+@query("ds_masses", with_events(_MASS.format(where="AND k % 2 = 0", name="m1"), _MASS.replace("e AS", "e2 AS").replace("FROM e ", "FROM e2 ").format(where="AND k % 2 = 1", name="m2"), """
+j AS (SELECT m1.case_id, CASE WHEN m1.s = m2.s THEN m1.s WHEN m1.s = 'ssh,vpn,web' THEN m2.s WHEN m2.s = 'ssh,vpn,web' THEN m1.s END AS s, m1.m * m2.m AS m FROM m1 JOIN m2 USING (case_id)),
+c AS (SELECT case_id, s, sum(m) AS m FROM j WHERE s IS NOT NULL GROUP BY ALL)""") + "SELECT case_id, s AS hypothesis_set, round(m / sum(m) OVER (PARTITION BY case_id), 6) AS mass FROM c")
+def _(spark, sf):
+    rows = log_events(spark, sf).filter(F.col("service").isin("ssh", "web", "vpn"))
+
+    def mass(part):
+        counted = rows.filter(F.col("k") % 2 == part).groupBy(F.col("user_id").alias("case_id"), F.col("service").alias("hypothesis")).agg(
+            (F.count(F.lit(1)) / 200).alias("confidence"))
+        return evidence.mass_function(counted, ["ssh", "web", "vpn"])
+
+    return evidence.combine(mass(0), mass(1)).select("case_id", joined("hypothesis_set"), r6("mass", "mass"))
+
+
+# ------------------------------------------------------------------------------ merging and scores
+
+def _findings(spark, sf):
+    events = log_events(spark, sf)
+    return findings.union([signature.detect(events), statistical.off_hours(events),
+                           statistical.payload_findings(events).withColumn("description", F.lit(""))])
+
+
+def _entity(df):
+    return [F.element_at("affected_users", 1).alias("user_id"), F.element_at("source_ips", 1).alias("source_ip")]
+
+
+@query("merge_anomalies", with_events(FINDINGS) + """SELECT anomaly_id, anomaly_type, user_id, source_ip, detection_layer, n_members, max_threat_level, threat_level,
+  round(threat_score, 6) AS threat_score, round(certainty, 6) AS certainty, n_evidence, array_to_string(rule_ids, ',') AS rule_ids, array_to_string(event_ids, ',') AS event_ids, first_us, last_us, rules FROM merged""")
+def _(spark, sf):
+    m = merge.merge(_findings(spark, sf))
+    return m.select("anomaly_id", "anomaly_type", *_entity(m), "detection_layer", "n_members", "max_threat_level", "threat_level", r6("threat_score", "threat_score"),
+                    r6("certainty", "certainty"), F.size("evidence").cast("bigint").alias("n_evidence"),
+                    F.array_join(F.transform("evidence", lambda e: e["rule_id"]), ",").alias("rule_ids"),
+                    F.array_join(F.transform("evidence", lambda e: e["matched_facts"][0]), ",").alias("event_ids"),
+                    us("first_occurrence", "first_us"), us("last_occurrence", "last_us"), joined("triggered_rules", "rules"))
+
+
+@query("merge_members", with_events(FINDINGS) + "SELECT substr(sha256(anomaly_type || '|' || user_id || '|' || source_ip), 1, 16) AS anomaly_id, event_id, layer AS detection_layer, rule_id FROM findings")
+def _(spark, sf):
+    return merge.members(_findings(spark, sf)).select("anomaly_id", "event_id", "detection_layer", "rule_id")
+
+
+@query("merge_without_weights", with_events(FINDINGS) + "SELECT anomaly_id, round(CASE WHEN n_members = 1 THEN threat_score ELSE top END, 6) AS threat_score FROM merged")
+def _(spark, sf):
+    return merge.merge(_findings(spark, sf), weights=None).select("anomaly_id", r6("threat_score", "threat_score"))
+
+
+@query("composite_scores", with_events(FINDINGS) + "SELECT anomaly_id, anomaly_type, round(composite, 6) AS threat_score, round(certainty, 6) AS certainty FROM scored")
+def _(spark, sf):
+    return merge.rescore(merge.merge(_findings(spark, sf))).select("anomaly_id", "anomaly_type", r6("threat_score", "threat_score"), r6("certainty", "certainty"))
+
+
+def _without_users(spark, sf):
+    rows = _findings(spark, sf)
+    return rows.withColumn("affected_users", F.when(F.col("anomaly_type") == "off_hours_access", F.array().cast("array<string>")).otherwise(F.col("affected_users")))
+
+
+@query("missing_penalty", with_events(FINDINGS) + """SELECT anomaly_type, coalesce(user_id, '') AS user_id, source_ip, round(1 - product(1 - c), 6) * 1.0 AS certainty_before, missing, round((1 - product(1 - c)) * (1 - CASE missing WHEN '' THEN 0 ELSE 0.2 END), 6) AS certainty
+FROM (SELECT anomaly_type, source_ip, certainty AS c, CASE WHEN anomaly_type = 'off_hours_access' THEN NULL ELSE user_id END AS user_id, CASE WHEN anomaly_type = 'off_hours_access' THEN 'user_id' ELSE '' END AS missing FROM findings) GROUP BY ALL""")
+def _(spark, sf):
+    m = merge.merge(_without_users(spark, sf)).withColumn("certainty_before", F.col("certainty"))
+    m = merge.penalise_missing(m)
+    return m.select("anomaly_type", F.coalesce(F.try_element_at("affected_users", F.lit(1)), F.lit("")).alias("user_id"), F.element_at("source_ips", 1).alias("source_ip"),
+                    r6("certainty_before", "certainty_before"), joined("missing_fields", "missing"), r6("certainty", "certainty"))
+
+
+@query("temporal_boost", with_events(FINDINGS, f"""
+past AS (SELECT anomaly_type, count(*) AS similar FROM merged WHERE first_us < {_HOUR} GROUP BY ALL)""") + f"""
+SELECT anomaly_id, coalesce(similar, 0) AS similar_count, round(CASE WHEN similar >= 5 THEN least(1.0, certainty + least(0.15, similar * 0.02)) ELSE certainty END, 6) AS certainty,
+  CASE WHEN similar >= 5 THEN 'recurring' WHEN similar IS NULL THEN 'first' ELSE 'some' END AS note FROM merged LEFT JOIN past USING (anomaly_type) WHERE first_us >= {_HOUR}""")
+def _(spark, sf):
+    m = merge.merge(_findings(spark, sf))
+    split = F.timestamp_micros(F.lit(_HOUR))
+    out = merge.with_history(m.filter(F.col("first_occurrence") >= split), m.filter(F.col("first_occurrence") < split))
+    note = F.when(F.col("explanation").contains("indicating a pattern."), "recurring").when(F.col("explanation").contains("First occurrence"), "first").otherwise("some")
+    return out.select("anomaly_id", "similar_count", r6("certainty", "certainty"), note.alias("note"))
+
+
+@query("conflict_split", with_events(FINDINGS) + """SELECT substr(sha256(anomaly_type || '|' || user_id || '|' || source_ip), 1, 16) AS anomaly_id, rule_id, certainty >= avg(certainty) OVER (PARTITION BY anomaly_type, user_id, source_ip) - 1e-12 AS is_supporting
+FROM firsts""")
+def _(spark, sf):
+    return merge.split_conflicts(merge.evidence_rows(merge.merge(_findings(spark, sf)))).select("anomaly_id", "rule_id", "is_supporting")
+
+
+@query("uncertainty_report", with_events(FINDINGS) + "SELECT anomaly_id, " + ", ".join(
+    f"round(CASE WHEN threat_score <= {lo} THEN 0 WHEN threat_score >= {hi} THEN 1 ELSE (threat_score - {lo}) / ({hi} - {lo}) END, 6) AS {n}" for n, (lo, hi) in FUZZY_LEVELS.items())
+    + """, n_evidence AS evidence_count, round(avg_cf, 6) AS avg_certainty, min_cf AS min_certainty, max_cf AS max_certainty, CASE WHEN certainty >= 0.9 THEN 'very_high' WHEN certainty >= 0.75 THEN 'high'
+  WHEN certainty >= 0.5 THEN 'medium' WHEN certainty >= 0.25 THEN 'low' ELSE 'very_low' END AS confidence_level FROM merged""")
+def _(spark, sf):
+    rows = merge.uncertainty_report(merge.merge(_findings(spark, sf)))
+    return rows.select("anomaly_id", *[r6(f"levels.{n}", n) for n in FUZZY_LEVELS], F.col("evidence_count").cast("bigint").alias("evidence_count"),
+                       r6("avg_certainty", "avg_certainty"), "min_certainty", "max_certainty", "confidence_level")
+
+
+@query("top10", with_events(FINDINGS) + """SELECT anomaly_id, anomaly_type, round(composite, 6) AS threat_score, (SELECT count(*) FROM scored) - 10 AS more
+FROM scored ORDER BY composite DESC, anomaly_id LIMIT 10""")
+def _(spark, sf):
+    scored = merge.rescore(merge.merge(_findings(spark, sf)))
+    return merge.top(scored, 10).select("anomaly_id", "anomaly_type", r6("threat_score", "threat_score"), "more")
+
+
+@query("dominant_type", with_events(FINDINGS) + """SELECT user_id, anomaly_type, n FROM (SELECT user_id, anomaly_type, count(*) AS n FROM findings GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, anomaly_type) = 1""")
+def _(spark, sf):
+    rows = _findings(spark, sf).withColumn("user_id", F.element_at("affected_users", 1))
+    return merge.dominant_type(rows, ["user_id"]).select("user_id", "anomaly_type", "n")
+
+
+@query("affected_entities", with_events(FINDINGS) + """SELECT DISTINCT rule_id, 'user' AS kind, user_id AS value FROM findings UNION ALL SELECT DISTINCT rule_id, 'ip', source_ip FROM findings
+UNION ALL SELECT DISTINCT rule_id, 'event', event_id FROM findings""")
+def _(spark, sf):
+    return rules.affected_entities(_findings(spark, sf))
+
+
+# ------------------------------------------------------------------------------ graph
+
+_ATTACK = {"brute_force_attack": "brute_force", "c2_communication": "c2_communication", "port_scan": "port_scan",
+           "privilege_escalation": "privilege_escalation", "data_exfiltration": "data_exfiltration", "credential_stuffing": "credential_stuffing"}
+_ATTACKS_SQL = ("attacks AS (SELECT DISTINCT user_id AS case_id, attack FROM (SELECT user_id, CASE anomaly_type "
+                + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _ATTACK.items()) + " END AS attack FROM hits) WHERE attack IS NOT NULL)")
+
+
+def _edges_sql() -> str:
+    from threatframe.config import GRAPH_INDICATES, GRAPH_PRECEDES
+
+    rows = lambda pairs: ", ".join(f"('{a}', '{b}')" for a, b in pairs)
+    return f"precedes(src, dst) AS (VALUES {rows(GRAPH_PRECEDES)}), indicates(src, dst) AS (VALUES {rows(GRAPH_INDICATES)})"
+
+
+def _attacks(spark, sf):
+    rows = signature.detect(log_events(spark, sf))
+    return rows.select(F.element_at("affected_users", 1).alias("case_id"), scoring.lookup(F.col("anomaly_type"), _ATTACK).alias("attack")).filter("attack IS NOT NULL").distinct()
+
+
+@query("attack_chains", with_events(HITS, _ATTACKS_SQL, _edges_sql(), """
+walk AS (SELECT attack AS start, [attack] AS path, attack AS tip, 0 AS d FROM (SELECT DISTINCT attack FROM attacks)
+  UNION ALL SELECT start, list_append(path, dst), dst, d + 1 FROM walk JOIN precedes ON src = tip WHERE d < 3 AND NOT list_contains(path, dst)),
+ends AS (SELECT * FROM walk WHERE d = 3 OR tip NOT IN (SELECT src FROM precedes))""")
+       + "SELECT start, array_to_string(path, ' > ') AS chain, CAST(len(path) AS INT) AS length, count(*) AS n_cases FROM ends JOIN attacks ON attack = start GROUP BY ALL")
+def _(spark, sf):
+    attacks = _attacks(spark, sf)
+    chains = graph.attack_chains(graph.edges(spark), attacks.select("attack").distinct())
+    return (attacks.join(chains, attacks["attack"] == chains["start"]).groupBy("start", F.array_join("path", " > ").alias("chain"), "length")
+            .agg(F.count(F.lit(1)).alias("n_cases")))
+
+
+@query("common_indicators", with_events(HITS, _ATTACKS_SQL, _edges_sql(), "links AS (SELECT dst AS attack, src AS indicator FROM indicates UNION SELECT src, dst FROM indicates)",
+                                        "few AS (SELECT * FROM attacks WHERE attack IN ('brute_force', 'credential_stuffing', 'data_exfiltration'))") + """
+SELECT case_id, indicator, n AS n_attacks FROM (SELECT case_id, indicator, count(*) AS k FROM few JOIN links USING (attack) GROUP BY ALL) JOIN (SELECT case_id, count(*) AS n FROM few GROUP BY case_id) USING (case_id) WHERE k = n""")
+def _(spark, sf):
+    few = _attacks(spark, sf).filter(F.col("attack").isin("brute_force", "credential_stuffing", "data_exfiltration"))
+    return graph.common_indicators(few, graph.edges(spark))
+
+
+@query("related_attacks", with_events(f"kinds AS (SELECT event_id, user_id, {_kinds(lambda k, s, o, i: ','.join(i))} AS indicator FROM (SELECT event_id, user_id, lower(raw_log) AS m FROM le))", _edges_sql())
+       + "SELECT user_id, dst AS attack, count(*) AS n FROM kinds JOIN indicates ON src = indicator GROUP BY ALL")
+def _(spark, sf):
+    rows = log_events(spark, sf).select("user_id", F.explode(typing.message_kind(F.col("raw_log"))["indicators"]).alias("indicator"))
+    return graph.related_attacks(rows, graph.edges(spark)).groupBy("user_id", "attack").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------------------ enrichment, explanation
+
+@query("enrich_events", with_events("""
+prof AS (SELECT user_id, 'usual' AS typical_hours, count(*) % 7 AS risk_score FROM le WHERE k % 2 = 0 GROUP BY user_id HAVING count(*) % 3 <> 0),
+rep AS (SELECT source_ip, count(*) AS score, 'scanner' AS category FROM le GROUP BY source_ip HAVING count(*) % 2 = 0)""")
+       + """SELECT event_id, typical_hours AS user_typical_hours, risk_score AS user_risk_score, score AS ip_reputation_score, category AS ip_threat_category,
+  NOT (hour >= 9 AND hour < 17) AS is_off_hours, dow >= 5 AS is_weekend FROM cal LEFT JOIN prof USING (user_id) LEFT JOIN rep USING (source_ip)""")
+def _(spark, sf):
+    events = log_events(spark, sf)
+    n = F.count(F.lit(1))
+    profiles = events.filter("k % 2 = 0").groupBy("user_id").agg(n.alias("n")).filter("n % 3 <> 0").select(
+        "user_id", F.lit("usual").alias("typical_hours"), (F.col("n") % 7).alias("risk_score"))
+    reputation = events.groupBy("source_ip").agg(n.alias("score")).filter("score % 2 = 0").withColumn("category", F.lit("scanner"))
+    return enrich_ops.enrich(events, profiles, reputation).select(
+        "event_id", "user_typical_hours", "user_risk_score", "ip_reputation_score", "ip_threat_category", "is_off_hours", "is_weekend")
+
+
+@query("explain_text", with_events(FINDINGS) + """SELECT anomaly_id, CASE WHEN detection_layer = 'meta' THEN 'Aggregated Anomaly: ' || anomaly_type || chr(10) || 'Sources: ' || n_members || ' detection layers' || chr(10)
+  || 'Combined Certainty: ' || printf('%.1f', round(certainty * 100, 9)) || '%' || chr(10) || 'Evidence Count: ' || n_evidence
+  ELSE NULL END AS meta_text FROM merged""")
+def _(spark, sf):
+    m = merge.merge(_findings(spark, sf))
+    return m.select("anomaly_id", F.when(F.col("detection_layer") == "meta", F.col("explanation")).alias("meta_text"))
+
+
+@query("explain_how", with_events(FINDINGS) + """, texts AS (SELECT anomaly_id, anomaly_type, certainty, n_evidence, list_transform(range(1, n_evidence + 1), i -> chr(10) || i || '. Rule Applied: ' || names[i] || chr(10) || '   Rule ID: ' || rule_ids[i]
+    || chr(10) || '   Description: ' || descriptions[i] || chr(10) || '   Certainty Factor: ' || printf('%.1f', round(cfs[i] * 100, 9)) || '%' || chr(10) || '   Matched Facts: 1') AS parts,
+  list_transform(cfs, c -> '''' || printf('%.1f', round(c * 100, 9)) || '%''') AS inputs FROM merged)
+SELECT anomaly_id, 'How was ''' || anomaly_type || ''' detected?' || chr(10) || chr(10) || 'Inference Chain:' || chr(10) || array_to_string(parts, chr(10)) || chr(10) || chr(10) || 'Certainty Combination:' || chr(10)
+  || CASE WHEN n_evidence = 1 THEN '  Final certainty = Rule CF × Evidence CF = ' ELSE '  Multiple evidence sources combined using CF algebra:' || chr(10) || '  Input CFs: [' || array_to_string(inputs, ', ') || ']' || chr(10) || '  Combined CF: ' END
+  || printf('%.1f', round(certainty * 100, 9)) || '%' AS how FROM texts""")
+def _(spark, sf):
+    from threatframe.operators import explain
+
+    bare = _findings(spark, sf).withColumn("attrs", F.create_map().cast("map<string,string>"))
+    return merge.merge(bare).select("anomaly_id", explain.how().alias("how"))
+
+
+@query("explain_why", with_events(FINDINGS) + """SELECT anomaly_id, CASE anomaly_type WHEN 'brute_force_attack' THEN chr(10) || 'A brute force attack was detected because:' || chr(10) || '- 0 failed login attempts were observed' || chr(10)
+  || '- All attempts originated from the same source (unknown)' || chr(10) || '- The attempts occurred within a 0-second window' || chr(10) || '- This pattern is characteristic of automated password guessing attacks.' || chr(10)
+  ELSE 'other' END AS why FROM merged""")
+def _(spark, sf):
+    from threatframe.operators import explain
+
+    return merge.merge(_findings(spark, sf)).select("anomaly_id", F.when(F.col("anomaly_type") == "brute_force_attack", explain.why()).otherwise("other").alias("why"))
+
+
+@query("reasoning_steps", with_events(FINDINGS) + """, s AS (SELECT anomaly_id, 1 AS step_number, 'Security events were observed and parsed from log sources.' AS description, NULL AS rule_id, 1.0::DOUBLE AS certainty FROM merged
+UNION ALL SELECT anomaly_id, CAST(i AS INT) + 1, 'Rule ''' || names[i] || ''' matched: ' || descriptions[i], rule_ids[i], cfs[i] FROM merged, range(1, 20) t(i) WHERE i <= n_evidence
+UNION ALL SELECT anomaly_id, CAST(n_evidence AS INT) + 2, 'Combined evidence using certainty factor algebra to reach final certainty of ' || printf('%.1f', round(certainty * 100, 9)) || '%.', NULL, certainty FROM merged)
+SELECT anomaly_id, step_number, description, rule_id, round(certainty, 6) AS certainty FROM s""")
+def _(spark, sf):
+    from threatframe.operators import explain
+
+    return explain.reasoning_steps(merge.merge(_findings(spark, sf))).select("anomaly_id", "step_number", "description", "rule_id", r6("certainty", "certainty"))
+
+
+@query("summary_by_type", with_events(FINDINGS) + """SELECT anomaly_type, count(*) AS n, round(avg(certainty), 6) AS avg_certainty, count(*) FILTER (threat_level >= 4) AS high_severity, round(max(composite), 6) AS top_score FROM scored GROUP BY anomaly_type""")
+def _(spark, sf):
+    from threatframe.operators import explain
+
+    rows = explain.summary_by_type(merge.rescore(merge.merge(_findings(spark, sf))))
+    return rows.select("anomaly_type", "n", r6("avg_certainty", "avg_certainty"), "high_severity", r6("top_score", "top_score"))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signature findings, merged per entity, scored, lowered for missing data, ranked."""
+    found = signature.detect(log_events(configure(spark), sf_dir))
+    anomalies = merge.ranked(merge.penalise_missing(merge.rescore(merge.merge(found))))
+    return anomalies.select("anomaly_id", "anomaly_type", "detection_layer", "affected_users", "source_ips", "n_members",
+                            r6("threat_score", "threat_score"), r6("certainty", "certainty"), "explanation")
+
+
+@query("full_analysis")
+def _(spark, sf):
+    from threatframe.plans.analysis import analyze
+
+    anomalies, _metrics = analyze(log_events(spark, sf))
+    return anomalies.select("anomaly_id", "anomaly_type", "detection_layer", joined("affected_users"), joined("source_ips"), "n_members",
+                            r6("threat_score", "threat_score"), r6("certainty", "certainty"))

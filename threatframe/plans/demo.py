@@ -43,8 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shape(events: DataFrame) -> DataFrame:
     """Rows of the ``events`` table (batch or stream) as log events."""
     k = F.get_json_object("props", "$.k").cast("int")
-    services = F.array(*[F.lit(s) for s in
-                         ("ssh", "web", "database", "file_server", "ldap", "vpn", "api")])
+    services = F.lit(["ssh", "web", "database", "file_server", "ldap", "vpn", "api"])
     squeezed = F.expr("1704499200000000 + (unix_micros(CAST(ts AS TIMESTAMP)) - 1704067200000000) DIV 60")
     kind = F.col("event_type")
     return events.select(
@@ -58,7 +57,7 @@ def shape(events: DataFrame) -> DataFrame:
         .when(kind == "click", "network_connection")
         .when(k % 2 == 0, "privilege_escalation").otherwise("authorization").alias("event_type"),
         F.when(kind == "error", "failure").when(kind == "signup", "success").alias("outcome"),
-        F.element_at(F.array(*[F.lit(t) for t in TEXTS]), k % 23 + 1).alias("raw_log"),
+        F.element_at(F.lit(TEXTS), k % 23 + 1).alias("raw_log"),
         F.col("value").alias("payload_size"),
         F.when(kind == "click", F.concat(F.lit("192.168.1."), (k % 11).cast("string"))).alias("destination_ip"),
         F.when(kind == "click", k % 60).alias("destination_port"),

@@ -796,12 +796,12 @@ def _(spark, sf):
     return evidence.threat(_beliefs(spark, sf), {"sql_injection": 2.0}).select("case_id", r6("threat_score", "threat_score"))
 
 
-_MASS = """
-e AS (SELECT user_id AS case_id, service AS h, count(*) AS c FROM le WHERE service IN ('ssh', 'web', 'vpn') {where} GROUP BY ALL),
-{name} AS (SELECT case_id, h AS s, c / 200 AS m FROM e UNION ALL SELECT case_id, 'ssh,vpn,web', 1 - sum(c) / 200 FROM e GROUP BY case_id)"""
+def _mass_sql(name: str, part: int) -> str:
+    return f"""e_{name} AS (SELECT user_id AS case_id, service AS h, count(*) AS c FROM le WHERE service IN ('ssh', 'web', 'vpn') AND k % 2 = {part} GROUP BY ALL),
+{name} AS (SELECT case_id, h AS s, c / 200 AS m FROM e_{name} UNION ALL SELECT case_id, 'ssh,vpn,web', 1 - sum(c) / 200 FROM e_{name} GROUP BY case_id)"""
 
 
-@query("ds_masses", with_events(_MASS.format(where="AND k % 2 = 0", name="m1"), _MASS.replace("e AS", "e2 AS").replace("FROM e ", "FROM e2 ").format(where="AND k % 2 = 1", name="m2"), """
+@query("ds_masses", with_events(_mass_sql("m1", 0), _mass_sql("m2", 1), """
 j AS (SELECT m1.case_id, CASE WHEN m1.s = m2.s THEN m1.s WHEN m1.s = 'ssh,vpn,web' THEN m2.s WHEN m2.s = 'ssh,vpn,web' THEN m1.s END AS s, m1.m * m2.m AS m FROM m1 JOIN m2 USING (case_id)),
 c AS (SELECT case_id, s, sum(m) AS m FROM j WHERE s IS NOT NULL GROUP BY ALL)""") + "SELECT case_id, s AS hypothesis_set, round(m / sum(m) OVER (PARTITION BY case_id), 6) AS mass FROM c")
 def _(spark, sf):
@@ -858,8 +858,11 @@ def _without_users(spark, sf):
     return rows.withColumn("affected_users", F.when(F.col("anomaly_type") == "off_hours_access", F.array().cast("array<string>")).otherwise(F.col("affected_users")))
 
 
-@query("missing_penalty", with_events(FINDINGS) + """SELECT anomaly_type, coalesce(user_id, '') AS user_id, source_ip, round(1 - product(1 - c), 6) * 1.0 AS certainty_before, missing, round((1 - product(1 - c)) * (1 - CASE missing WHEN '' THEN 0 ELSE 0.2 END), 6) AS certainty
-FROM (SELECT anomaly_type, source_ip, certainty AS c, CASE WHEN anomaly_type = 'off_hours_access' THEN NULL ELSE user_id END AS user_id, CASE WHEN anomaly_type = 'off_hours_access' THEN 'user_id' ELSE '' END AS missing FROM findings) GROUP BY ALL""")
+@query("missing_penalty", with_events(FINDINGS, """
+part AS (SELECT anomaly_type, source_ip, certainty AS c, CASE WHEN anomaly_type = 'off_hours_access' THEN NULL ELSE user_id END AS user_id,
+  CASE WHEN anomaly_type = 'off_hours_access' THEN 'user_id' ELSE '' END AS missing FROM findings),
+joint AS (SELECT anomaly_type, coalesce(user_id, '') AS user_id, source_ip, missing, 1 - product(1 - c) AS cf FROM part GROUP BY ALL)""")
+       + """SELECT anomaly_type, user_id, source_ip, missing, round(cf, 6) AS certainty_before, round(cf * CASE missing WHEN '' THEN 1 ELSE 0.8 END, 6) AS certainty FROM joint""")
 def _(spark, sf):
     m = merge.merge(_without_users(spark, sf)).withColumn("certainty_before", F.col("certainty"))
     m = merge.penalise_missing(m)
@@ -868,9 +871,9 @@ def _(spark, sf):
 
 
 @query("temporal_boost", with_events(FINDINGS, f"""
-past AS (SELECT anomaly_type, count(*) AS similar FROM merged WHERE first_us < {_HOUR} GROUP BY ALL)""") + f"""
-SELECT anomaly_id, coalesce(similar, 0) AS similar_count, round(CASE WHEN similar >= 5 THEN least(1.0, certainty + least(0.15, similar * 0.02)) ELSE certainty END, 6) AS certainty,
-  CASE WHEN similar >= 5 THEN 'recurring' WHEN similar IS NULL THEN 'first' ELSE 'some' END AS note FROM merged LEFT JOIN past USING (anomaly_type) WHERE first_us >= {_HOUR}""")
+past AS (SELECT anomaly_type, count(*) AS past_n FROM merged WHERE first_us < {_HOUR} GROUP BY ALL)""") + f"""
+SELECT anomaly_id, coalesce(past_n, 0) AS similar_count, round(CASE WHEN past_n >= 5 THEN least(1.0, certainty + least(0.15, past_n * 0.02)) ELSE certainty END, 6) AS certainty,
+  CASE WHEN past_n >= 5 THEN 'recurring' WHEN past_n IS NULL THEN 'first' ELSE 'some' END AS note FROM merged LEFT JOIN past USING (anomaly_type) WHERE first_us >= {_HOUR}""")
 def _(spark, sf):
     m = merge.merge(_findings(spark, sf))
     split = F.timestamp_micros(F.lit(_HOUR))
@@ -987,9 +990,9 @@ def _(spark, sf):
     return m.select("anomaly_id", F.when(F.col("detection_layer") == "meta", F.col("explanation")).alias("meta_text"))
 
 
-@query("explain_how", with_events(FINDINGS) + """, texts AS (SELECT anomaly_id, anomaly_type, certainty, n_evidence, list_transform(range(1, n_evidence + 1), i -> chr(10) || i || '. Rule Applied: ' || names[i] || chr(10) || '   Rule ID: ' || rule_ids[i]
+@query("explain_how", with_events(FINDINGS) + """, texts AS (SELECT anomaly_id, anomaly_type, certainty, n_evidence, list_transform(range(1, n_evidence + 1), lambda i: chr(10) || i || '. Rule Applied: ' || names[i] || chr(10) || '   Rule ID: ' || rule_ids[i]
     || chr(10) || '   Description: ' || descriptions[i] || chr(10) || '   Certainty Factor: ' || printf('%.1f', round(cfs[i] * 100, 9)) || '%' || chr(10) || '   Matched Facts: 1') AS parts,
-  list_transform(cfs, c -> '''' || printf('%.1f', round(c * 100, 9)) || '%''') AS inputs FROM merged)
+  list_transform(cfs, lambda c: '''' || printf('%.1f', round(c * 100, 9)) || '%''') AS inputs FROM merged)
 SELECT anomaly_id, 'How was ''' || anomaly_type || ''' detected?' || chr(10) || chr(10) || 'Inference Chain:' || chr(10) || array_to_string(parts, chr(10)) || chr(10) || chr(10) || 'Certainty Combination:' || chr(10)
   || CASE WHEN n_evidence = 1 THEN '  Final certainty = Rule CF × Evidence CF = ' ELSE '  Multiple evidence sources combined using CF algebra:' || chr(10) || '  Input CFs: [' || array_to_string(inputs, ', ') || ']' || chr(10) || '  Combined CF: ' END
   || printf('%.1f', round(certainty * 100, 9)) || '%' AS how FROM texts""")

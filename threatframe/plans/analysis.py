@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threatframe.config import RULES, SIGNATURES
 from threatframe.operators import behavioral, facts, findings, merge, normalize, rules as rule_ops, signature, statistical
-from threatframe.session import cut_lineage
+from threatframe.session import cut_lineage, stage
 
 LAYERS = ("signature", "statistical", "behavioral", "inference")
 
@@ -53,12 +53,13 @@ def conclude(found: DataFrame, history: DataFrame | None = None) -> DataFrame:
 def analyze(events: DataFrame, layers: Iterable[str] = LAYERS, *, history: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """(anomalies, metrics) of a table of events.
 
-    ``options`` are those of :func:`find`. Every layer reads the events; pass a stored table (see
-    :func:`run`) rather than a long parsing plan, so that each layer scans only its columns.
+    ``options`` are those of :func:`find`. The normalised events are read by every layer and the
+    findings by two results, so both are written once to the shared folder; each layer then scans
+    only the columns it needs, and a lost executor costs a scan, not the parsing.
     """
-    ready = normalize.normalize(events)
+    ready = stage(normalize.normalize(events))
     layers = tuple(layers)
-    found = find(ready, layers, **options)
+    found = stage(find(ready, layers, **options))
     anomalies = conclude(found, history)
     return merge.ranked(anomalies), metrics(ready, found, anomalies, layers)
 

@@ -1045,3 +1045,194 @@ def _(spark, sf):
     anomalies, _metrics = analyze(log_events(spark, sf))
     return anomalies.select("anomaly_id", "anomaly_type", "detection_layer", joined("affected_users"), joined("source_ips"), "n_members",
                             r6("threat_score", "threat_score"), r6("certainty", "certainty"))
+
+
+# ------------------------------------------------------------------------------ streams
+
+def _stream(spark, sf):
+    from threatframe.plans.demo import attributes, shape
+    from threatframe.streaming.run import stream_table
+
+    return shape(stream_table(spark, sf, "events")).withColumn("attributes", attributes())
+
+
+@query("stream_signatures", with_events(HITS) + "SELECT event_id, rule_id, round(threat_score, 6) AS threat_score FROM hits")
+def _(spark, sf):
+    from threatframe.streaming import run, windows
+
+    return run.run_available(windows.signatures(_stream(spark, sf))).select("event_id", "rule_id", r6("threat_score", "threat_score"))
+
+
+@query("stream_brute_force", with_events(_login_sql(300)) + _rule_sql(
+    "AUTH-001", "failed >= 5 AND span <= 300 AND (w + 1) * 300000000 <= ((SELECT max(ts_us) FROM le WHERE event_type = 'authentication') // 1000 - 600000) * 1000"))
+def _(spark, sf):
+    from threatframe.streaming import run, windows
+
+    return _rule_out(run.run_available(windows.rule_findings(windows.login_windows(_stream(spark, sf)), ["AUTH-001"])))
+
+
+@query("stream_sequences", _sequence_sql().replace("WHERE hit", "WHERE hit AND event_id IN (SELECT event_id FROM le WHERE ts_us <= ((SELECT max(ts_us) FROM le) // 1000 - 600000) * 1000)"))
+def _(spark, sf):
+    from threatframe.streaming import run, state
+
+    return run.run_available(state.attack_sequences(_stream(spark, sf))).select("event_id", "user_id", "pattern_name", "certainty", "first_event")
+
+
+@query("stream_sessions", with_events("""
+g AS (SELECT *, CASE WHEN ts_us - lag(ts_us) OVER (PARTITION BY user_id ORDER BY ts_us) < 1800000000 THEN 0 ELSE 1 END AS opens FROM le),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts_us ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+t AS (SELECT user_id, min(ts_us) AS start_us, max(ts_us) + 1800000000 AS end_us, count(*) AS n_events FROM s GROUP BY user_id, sid)""")
+       + "SELECT * FROM t WHERE end_us <= ((SELECT max(ts_us) FROM le) // 1000 - 600000) * 1000")
+def _(spark, sf):
+    from threatframe.streaming import run, windows
+
+    return run.run_available(windows.sessions(_stream(spark, sf))).select("user_id", us("session_start", "start_us"), us("session_end", "end_us"), "n_events")
+
+
+@query("stream_deduplicated", with_events() + "SELECT event_id, ts_us FROM le")
+def _(spark, sf):
+    from threatframe.streaming import run, windows
+
+    events = _stream(spark, sf)
+    return run.run_available(windows.without_duplicates(events.union(events))).select("event_id", us("ts", "ts_us"))
+
+
+@query("stream_profile_deviation", ORACLES["prequential_deviation"])
+def _(spark, sf):
+    from threatframe.streaming import run, state
+
+    return run.run_available(state.profile_deviations(_stream(spark, sf))).select(
+        "event_id", "user_id", "profile_events", r6("deviation_score", "deviation_score"))
+
+
+@query("stream_payload_baseline", with_events("""b AS (SELECT event_id, user_id, payload_size AS v, count(*) OVER w AS n, avg(payload_size) OVER w AS mean, stddev_samp(payload_size) OVER w AS std FROM le
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts_us, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+       + "SELECT event_id, user_id AS metric, n, round(CASE WHEN n > 1 AND std > 0 THEN (v - mean) / std ELSE 0 END, 5) AS z_score FROM b")
+def _(spark, sf):
+    from threatframe.streaming import run, state
+
+    values = _stream(spark, sf).select(F.col("user_id").alias("metric"), "ts", "event_id", F.col("payload_size").alias("value"))
+    return run.run_available(state.running_baselines(values)).select("event_id", "metric", "n", F.round("z_score", 5).alias("z_score"))
+
+
+@query("stream_frequency", with_events("""s AS (SELECT source_ip, ts_us, unnest(range(ts_us // 60000000 - 4, ts_us // 60000000 + 1)) AS w FROM le)""")
+       + """SELECT source_ip, w * 60000000 AS start_us, count(*) AS event_count FROM s GROUP BY ALL HAVING w * 60000000 + 300000000 <= ((SELECT max(ts_us) FROM le) // 1000 - 600000) * 1000""")
+def _(spark, sf):
+    from threatframe.streaming import run, windows
+
+    return run.run_available(windows.frequency_windows(_stream(spark, sf), "source_ip")).select("source_ip", us("window_start", "start_us"), "event_count")
+
+
+@query("stream_merge")
+def _(spark, sf):
+    from threatframe.streaming import run, windows
+
+    rows = run.run_available(windows.signatures(_stream(spark, sf)), windows.merge_each_batch)
+    return rows.select("anomaly_id", "anomaly_type", "n_members", r6("threat_score", "threat_score"), r6("certainty", "certainty"))
+
+
+# ------------------------------------------------------------------------------ ingest
+
+def _ingest_lines(spark, sf, text_: Column) -> DataFrame:
+    return log_events(spark, sf).select(text_.alias("value"))
+
+
+def _iso(ts: str) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def _ingested(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(us("ts", "ts_us"), "source_ip", "user_id", *more)
+
+
+@query("ingest_json", with_events() + """SELECT ts_us, source_ip, user_id, service, event_id AS nested_id, CAST(k % 3 AS VARCHAR) AS first_item,
+  CASE WHEN event_type = 'authentication' THEN 'authentication' ELSE 'unknown' END AS event_type, outcome FROM le""")
+def _(spark, sf):
+    from threatframe.sources.json_logs import json_events
+
+    message = F.when(F.col("outcome") == "failure", "Login failed").when(F.col("outcome") == "success", "Login success").otherwise("noted")
+    line = F.to_json(F.struct(_iso("ts").alias("timestamp"), F.col("source_ip").alias("src_ip"), F.col("user_id").alias("username"), "service",
+                              message.alias("message"), F.struct(F.col("event_id").alias("id"), F.array(F.col("k") % 3, F.lit(9)).alias("items")).alias("detail")))
+    events = json_events(_ingest_lines(spark, sf, line)).events
+    a = F.col("attributes")
+    return events.select(
+        us("ts", "ts_us"), "source_ip", "user_id", "service", a["detail.id"].alias("nested_id"), a["detail.items[0]"].alias("first_item"), "event_type", "outcome")
+
+
+@query("ingest_cloudtrail", with_events() + "SELECT ts_us // 1000000 * 1000000 AS ts_us, source_ip, user_id, event_type AS message FROM le")
+def _(spark, sf):
+    from threatframe.sources.json_logs import SCHEMAS, json_events, records
+
+    entry = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("eventTime"), F.col("event_type").alias("eventName"),
+                     F.struct(F.col("user_id").alias("userName")).alias("userIdentity"), F.col("source_ip").alias("sourceIPAddress"))
+    # one document per minute and user, with a Records array
+    documents = (log_events(spark, sf).groupBy("user_id", F.window("ts", "1 minute")).agg(F.to_json(F.struct(F.collect_list(entry).alias("Records"))).alias("value")))
+    return _ingested(json_events(records(documents, member="Records"), schema=SCHEMAS["cloudtrail"], source_format="json_cloudtrail").events, "message")
+
+
+@query("ingest_cef", with_events() + "SELECT ts_us // 1000 * 1000 AS ts_us, source_ip, user_id, event_id, event_type AS name, CAST(k % 10 AS VARCHAR) AS severity, 'last' AS tag FROM le")
+def _(spark, sf):
+    from threatframe.sources.cef import cef_events
+
+    line = F.concat_ws("|", F.lit("CEF:0"), F.lit("vendor"), F.lit("product"), F.lit("1.0"), "event_id", "event_type", (F.col("k") % 10).cast("string"), F.concat(
+        F.lit("src="), "source_ip", F.lit(" duser="), "user_id", F.lit(" tag=first noise tag=last rt="), F.unix_millis("ts").cast("string")))
+    events = cef_events(_ingest_lines(spark, sf, line)).events
+    a = F.col("attributes")
+    return events.select(
+        us("ts", "ts_us"), "source_ip", "user_id", "event_id", a["name"].alias("name"), a["severity"].alias("severity"), a["tag"].alias("tag"))
+
+
+@query("ingest_windows_xml", with_events() + """SELECT ts_us, source_ip, user_id, CASE WHEN outcome = 'failure' THEN '4625' WHEN outcome = 'success' THEN '4624' ELSE '4663' END AS number,
+  CASE WHEN event_type = 'authentication' THEN 'authentication' ELSE 'file_access' END AS event_type FROM le""")
+def _(spark, sf):
+    from threatframe.sources.xml_logs import windows_events
+
+    number = F.when(F.col("outcome") == "failure", "4625").when(F.col("outcome") == "success", "4624").otherwise("4663")
+    element = F.concat(
+        F.lit('<Event xmlns="http://schemas.microsoft.com/win/2004/08/events/event"><System><EventID>'), number, F.lit('</EventID><TimeCreated SystemTime="'), _iso("ts"),
+        F.lit('"/><Level>4</Level></System><EventData><Data Name="TargetUserName">'), "user_id", F.lit('</Data><Data Name="IpAddress">'), "source_ip", F.lit("</Data></EventData></Event>"))
+    events = windows_events(_ingest_lines(spark, sf, element)).events
+    return events.select(
+        us("ts", "ts_us"), "source_ip", "user_id", F.col("attributes")["event_id"].alias("number"), "event_type")
+
+
+@query("ingest_syslog_xml", with_events() + "SELECT ts_us, '<' || raw_log AS message, CAST(k % 8 AS VARCHAR) AS severity, 'unknown' AS hostname FROM le")
+def _(spark, sf):
+    from threatframe.sources.xml_logs import syslog_events
+
+    # a bare carriage return would be read as a line feed, as XML demands
+    safe = F.replace(F.replace(F.replace(F.col("raw_log"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("\r"), F.lit("&#13;"))
+    element = F.concat(F.lit("<Entry><timestamp>"), _iso("ts"), F.lit("</timestamp><Message>&lt;"), safe, F.lit("</Message><priority>"), (F.col("k") % 8).cast("string"), F.lit("</priority></Entry>"))
+    a = F.col("attributes")
+    return syslog_events(_ingest_lines(spark, sf, element)).events.select(us("ts", "ts_us"), "message", a["severity"].alias("severity"), a["hostname"].alias("hostname"))
+
+
+@query("ingest_generic_xml", with_events() + "SELECT event_id, ts_us, source_ip, user_id, service, event_type FROM le")
+def _(spark, sf):
+    from threatframe.sources.xml_logs import generic_events
+
+    element = F.concat(F.lit("<Log><EventID>e"), "event_id", F.lit("</EventID><Timestamp>"), _iso("ts"), F.lit("</Timestamp><SourceIP>"), "source_ip", F.lit("</SourceIP><UserID>"), "user_id",
+                       F.lit("</UserID><Service>"), "service", F.lit("</Service><EventType>"), "event_type", F.lit("</EventType></Log>"))
+    return generic_events(_ingest_lines(spark, sf, element)).events.select(
+        F.substring("event_id", 2, 40).alias("event_id"), us("ts", "ts_us"), "source_ip", "user_id", "service", "event_type")
+
+
+@query("ingest_quality", with_events() + "SELECT 'cef' AS source_format, count(*) FILTER (k % 4 <> 0) AS parsed, count(*) FILTER (k % 4 = 0) AS errors, round(count(*) FILTER (k % 4 <> 0) / count(*), 6) AS success_rate FROM le")
+def _(spark, sf):
+    from threatframe.sources.cef import cef_events
+
+    line = F.when(F.col("k") % 4 == 0, "no event").otherwise(F.concat(F.lit("CEF:0|v|p|1|7|name|3|src="), "source_ip"))
+    return cef_events(_ingest_lines(spark, sf, line)).quality().select("source_format", "parsed", "errors", r6("success_rate", "success_rate"))
+
+
+@query("normalize_events", with_events() + """SELECT event_id, CASE event_type WHEN 'data_access' THEN 'data' WHEN 'network_connection' THEN 'network' ELSE 'security' END AS event_category, CASE WHEN k % 8 <= 2 THEN 'critical' WHEN k % 8 = 3 THEN 'high' WHEN k % 8 = 4 THEN 'medium' WHEN k % 8 <= 6 THEN 'low' ELSE 'info' END AS severity,
+  source_ip, user_id, service, destination_ip, hour < 9 OR hour >= 17 AS is_off_hours FROM cal""")
+def _(spark, sf):
+    from threatframe.operators.normalize import normalize, unified
+
+    events = log_events(spark, sf)
+    given = {"Remote_Addr": F.col("source_ip"), "subject": F.col("user_id"), "app": F.col("service"), "Level": (F.col("k") % 8).cast("string")}
+    bare = events.withColumn("attributes", F.create_map(*[c for n, v in given.items() for c in (F.lit(n), v)]))
+    nothing = F.lit(None).cast("string")
+    bare = bare.withColumn("source_ip", nothing).withColumn("user_id", nothing).withColumn("service", nothing)
+    return unified(normalize(bare)).select("event_id", "event_category", "severity", "source_ip", "user_id", "service", "destination_ip", "is_off_hours")

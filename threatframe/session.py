@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later passes see the very same rows, also after losing executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write rows to a table in the shared folder and read it back.
+
+    For rows many plans read: unlike a checkpoint, each reader then scans only its columns.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

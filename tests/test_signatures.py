@@ -25,7 +25,7 @@ def test_truth_table(spark):
 
 
 def test_same_as_regular_expressions_with_unicode_and_words_missing(spark):
-    texts = TEXTS + ["UNıON ſELECT", "ADMİN paſſword 123456", "MIMIKATZ", "mimi\nkatz", "GET\t/ABCDEF0123456789",
+    texts = TEXTS + ["UNıON\u00a0ſELECT", "UNıON ſELECT", "ADMİN paſſword 123456", "MIMIKATZ", "mimi\nkatz", "GET\t/ABCDEF0123456789",
                      "python x -c\nsocket", "python x -c socket", "bacKup DATABASE backup 10000mb", "x" * 5000 + "|", "", "٣ = ٣"]
     found = hits(spark, texts)
     for i, text in enumerate(texts):

@@ -18,9 +18,10 @@ def fixed(value: Column, digits: int = 1) -> Column:
     whole = F.floor(clean).cast("bigint")
     fraction = (clean - whole) * float(_UNIT)
     bits = fraction.cast("bigint")
-    scaled = bits * (10 ** digits)
+    small = (fraction - bits) * (10 ** digits)
+    scaled = bits * (10 ** digits) + small.cast("bigint")
     kept, rest = F.shiftright(scaled, 53), scaled % _UNIT
-    above_tie = (kept % 2 == 1) | (fraction > bits)
+    above_tie = (kept % 2 == 1) | (small > small.cast("bigint"))
     up = (rest > _UNIT // 2) | ((rest == _UNIT // 2) & above_tie)
     units = whole * (10 ** digits) + kept + F.when(up, 1).otherwise(0)
     tail = units % (10 ** digits)

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from threatframe.config import SIGNATURES, THREAT_LEVELS, Signature
 from threatframe.operators.findings import finding
 
-# Java flags that give the searches their usual meaning: case-insensitive (i) also beyond ASCII
-# (u), and only a line feed ends a line (d).
-FLAGS = "(?iud)"
+# Java flags that give the searches their usual meaning: case-insensitive (i) with digits, blanks
+# and letters of all scripts (U), and only a line feed ends a line (d).
+FLAGS = "(?iUd)"
 
 # Words a text must hold for a signature to be possible: one of each group. They only spare the
 # regular expression, whose result decides. Signatures without an entry are always tried.

@@ -11,7 +11,7 @@ from threatframe.config import MESSAGE_KINDS, RULES, SEVERITY_WORDS, TYPE_WORDS,
 from threatframe.functions import certainty, fuzzy, scoring, text
 from threatframe.operators import (behavioral, enrich as enrich_ops, evidence, facts, features, findings, graph, merge,
                                    rules, signature, statistical, typing)
-from threatframe.plans.demo import log_events, table
+from threatframe.plans.demo import log_events, spread, table
 from threatframe.plans.sql_parts import FINDINGS, HITS, PAYLOAD, literal, signature_union, with_events
 from threatframe.session import configure
 
@@ -62,7 +62,7 @@ def _(spark, sf):
 @query("signature_on_pages", f"WITH hits AS ({signature_union('pages', 'page_id', 'html')}) "
                              "SELECT page_id, rule_id, certainty, matched_text FROM hits")
 def _(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
     return signature.matches(pages, F.col("html")).select(
         "page_id", F.col("signature_id").alias("rule_id"), F.col("signature_certainty").alias("certainty"),
         F.col("signature_attrs")["matched_text"].alias("matched_text"))
@@ -71,7 +71,7 @@ def _(spark, sf):
 @query("signature_on_documents", f"WITH hits AS ({signature_union('documents', 'doc_id', 'text')}) "
                                  "SELECT doc_id, rule_id, anomaly_type, threat_level FROM hits")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return signature.matches(docs, F.col("text")).select(
         "doc_id", F.col("signature_id").alias("rule_id"), F.col("signature_type").alias("anomaly_type"),
         F.col("signature_level").alias("threat_level"))

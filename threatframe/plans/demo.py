@@ -40,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than cores, as one small file has.
+
+    Inputs with enough splits, which is every large one, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shape(events: DataFrame) -> DataFrame:
     """Rows of the ``events`` table (batch or stream) as log events."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -67,7 +76,7 @@ def shape(events: DataFrame) -> DataFrame:
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log events with ``attributes``; unused columns are pruned from the scan."""
-    flat = shape(table(spark, sf_dir, "events"))
+    flat = shape(spread(table(spark, sf_dir, "events")))
     return flat.withColumn("attributes", attributes()).withColumn("source_format", F.lit("json"))
 
 

@@ -35,8 +35,17 @@ def flatten(record: Column, depth: int = 6, separator: str = ".") -> Column:
 
     top = F.transform(F.map_entries(F.try_variant_get(record, "$", "map<string,variant>")), lambda e: F.struct(
         e["key"].alias("key"), e["value"].alias("value"), F.lit(False).alias("in_array")))
-    for _ in range(depth):
-        top = F.flatten(F.transform(top, lambda e: entries(e["value"], e["key"], e["in_array"])))
+    kind = "array<struct<key: string, value: variant, in_array: boolean>>"
+
+    def open_level(entries_, _):
+        # most records are flat or nearly so: a level is only opened where there is one
+        nested = F.exists(entries_, lambda e: F.substring(e["value"].cast("string"), 1, 1).isin("{", "["))
+        opened = F.flatten(F.transform(entries_, lambda e: entries(e["value"], e["key"], e["in_array"])))
+        return F.when(nested, opened.cast(kind)).otherwise(entries_)
+
+    # a loop inside the expression keeps it small: each level refers to the one before it three times
+    if depth:
+        top = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), top.cast(kind), open_level)
     return F.map_from_entries(F.transform(top, lambda e: F.struct(e["key"].alias("key"), e["value"].cast("string").alias("value"))))
 
 

@@ -92,25 +92,24 @@ def prequential_deviations(events: DataFrame, min_events: int = MIN_SAMPLES) ->
     """Every event against the profile of the events before it.
 
     A value is unseen exactly for the first event that shows it, so the past of an event need not
-    be kept: the earliest (ts, event_id) of each (user, dimension, value) tells all.
+    be kept: the earliest (ts, event_id) of each (user, dimension, value) tells all. These firsts
+    are few (one per distinct value) and are joined back to the events once.
     """
     known = events.filter(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
-    result = ordered.running(known, ["user_id"], ORDER, {"profile_events": ("sum", F.lit(1))}, inclusive=False)
-    result = result.withColumn("profile_events", F.coalesce("profile_events", F.lit(0)))
-    place = F.struct("ts", "event_id")
-    unseen = {}
-    for name in DIMENSIONS:
-        value = _dimension(name)
-        valued = known.filter(value.isNotNull())
-        first = valued.groupBy("user_id", value.alias(f"_v_{name}")).agg(F.min(place).alias(f"_first_{name}"))
-        start = valued.groupBy("user_id").agg(F.min(place).alias(f"_start_{name}"))
-        result = (result.withColumn(f"_v_{name}", value).join(first, ["user_id", f"_v_{name}"], "left")
-                  .join(start, "user_id", "left"))
-        # first with this value, and some earlier event had a value at all
-        unseen[name] = F.coalesce((F.col(f"_first_{name}") == place) & (F.col(f"_start_{name}") < place), F.lit(False))
-    scored = result.withColumn("deviation_score", F.when(F.col("profile_events") >= min_events, deviation_score(unseen))
-                               .otherwise(F.lit(0.0)))
-    return scored.drop(*[f"{p}{n}" for n in DIMENSIONS for p in ("_v_", "_first_", "_start_")])
+    counted = ordered.running(known, ["user_id"], ORDER, {"profile_events": ("sum", F.lit(1))}, inclusive=False)
+    values = known.select("user_id", F.struct(*ORDER).alias("place"), F.inline(F.array(*[
+        F.struct(F.lit(name).alias("dimension"), _dimension(name).alias("value")) for name in DIMENSIONS])))
+    firsts = values.filter(F.col("value").isNotNull()).groupBy("user_id", "dimension", "value").agg(F.min("place").alias("first"))
+    # the very first value of a dimension has nothing to deviate from
+    start = firsts.groupBy("user_id", "dimension").agg(F.min("first").alias("start"))
+    news = (firsts.join(start, ["user_id", "dimension"]).filter(F.col("first") > F.col("start"))
+            .groupBy("user_id", F.col("first.ts").alias("ts"), F.col("first.event_id").alias("event_id"))
+            .agg(*[F.max(F.col("dimension") == name).alias(f"_new_{name}") for name in DIMENSIONS]))
+    joined = counted.join(news, ["user_id", *ORDER], "left")
+    score = deviation_score({name: F.coalesce(f"_new_{name}", F.lit(False)) for name in DIMENSIONS})
+    before = F.coalesce("profile_events", F.lit(0))
+    return joined.select(*events.columns, before.alias("profile_events"),
+                         F.when(before >= min_events, score).otherwise(F.lit(0.0)).alias("deviation_score"))
 
 
 def deviation_findings(scored: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -86,11 +86,22 @@ def session_features(events: DataFrame, seconds: int = SESSION_SECONDS) -> DataF
             .select(*events.columns, "time_since_last", "session_duration"))
 
 
-def sessions(events: DataFrame, gap: str = "30 minutes", key: str = "user_id") -> DataFrame:
-    """Sessions per key, closed after ``gap`` without events. The same call works on streams."""
-    return (events.filter(F.col(key).isNotNull()).groupBy(F.session_window("ts", gap).alias("session"), key)
-            .agg(F.count(F.lit(1)).alias("n_events"))
-            .select(key, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"), "n_events"))
+def sessions(events: DataFrame, seconds: int = SESSION_SECONDS, key: str = "user_id") -> DataFrame:
+    """Sessions per key, closed after ``seconds`` without events.
+
+    A batch numbers the sessions of a key by ordered passes, since a session window sorts all
+    rows of a key in one task; a stream uses the session window.
+    """
+    known = events.filter(F.col(key).isNotNull() & F.col("ts").isNotNull())
+    n = F.count(F.lit(1)).alias("n_events")
+    if events.isStreaming:
+        return (known.groupBy(F.session_window("ts", f"{seconds} seconds").alias("session"), key).agg(n)
+                .select(key, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"), "n_events"))
+    linked = ordered.look_back(known.select(key, *ORDER), [key], ORDER, {"_p": ("ts", 1)})
+    opens = F.col("_p").isNull() | (F.unix_micros("ts") - F.unix_micros("_p") >= seconds * 1_000_000)
+    numbered = ordered.running(linked, [key], ORDER, {"_session": ("sum", opens.cast("int"))})
+    return numbered.groupBy(key, "_session").agg(F.min("ts").alias("session_start"), F.max("ts").alias("_last"), n).select(
+        key, "session_start", (F.col("_last") + F.make_dt_interval(secs=F.lit(seconds))).alias("session_end"), "n_events")
 
 
 def grouped_features(events: DataFrame, key: str) -> DataFrame:

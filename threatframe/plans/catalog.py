@@ -155,11 +155,12 @@ def _(spark, sf):
 @query("payload_baseline", with_events("""
 scoped AS (SELECT 'global' AS scope, 'all' AS key, payload_size AS v FROM le UNION ALL SELECT 'user', user_id, payload_size FROM le
   UNION ALL SELECT 'ip', source_ip, payload_size FROM le)""") + """
-SELECT scope, key, count(v) AS n, round(avg(v), 6) AS mean, round(coalesce(stddev_samp(v), 0), 6) AS std, min(v) AS min_value, max(v) AS max_value
+SELECT scope, key, count(v) AS n, round(round(avg(v), 10), 6) AS mean, round(round(coalesce(stddev_samp(v), 0), 10), 6) AS std, min(v) AS min_value, max(v) AS max_value
 FROM scoped WHERE v <> 0 AND key IS NOT NULL GROUP BY ALL""")
 def _(spark, sf):
+    # a mean of few amounts can end in exactly ...5: the first rounding takes away the noise of the order of summation
     return statistical.payload_baselines(log_events(spark, sf)).select(
-        "scope", "key", "n", r6("mean", "mean"), r6("std", "std"), "min_value", "max_value")
+        "scope", "key", "n", r6(F.round("mean", 10), "mean"), r6(F.round("std", 10), "std"), "min_value", "max_value")
 
 
 @query("payload_outliers", with_events(PAYLOAD) + """
@@ -890,12 +891,12 @@ def _(spark, sf):
 
 @query("uncertainty_report", with_events(FINDINGS) + "SELECT anomaly_id, " + ", ".join(
     f"round(CASE WHEN threat_score <= {lo} THEN 0 WHEN threat_score >= {hi} THEN 1 ELSE (threat_score - {lo}) / ({hi} - {lo}) END, 6) AS {n}" for n, (lo, hi) in FUZZY_LEVELS.items())
-    + """, n_evidence AS evidence_count, round(avg_cf, 6) AS avg_certainty, min_cf AS min_certainty, max_cf AS max_certainty, CASE WHEN certainty >= 0.9 THEN 'very_high' WHEN certainty >= 0.75 THEN 'high'
+    + """, n_evidence AS evidence_count, round(round(avg_cf, 10), 6) AS avg_certainty, round(min_cf, 6) AS min_certainty, round(max_cf, 6) AS max_certainty, CASE WHEN certainty >= 0.9 THEN 'very_high' WHEN certainty >= 0.75 THEN 'high'
   WHEN certainty >= 0.5 THEN 'medium' WHEN certainty >= 0.25 THEN 'low' ELSE 'very_low' END AS confidence_level FROM merged""")
 def _(spark, sf):
     rows = merge.uncertainty_report(merge.merge(_findings(spark, sf)))
     return rows.select("anomaly_id", *[r6(f"levels.{n}", n) for n in FUZZY_LEVELS], F.col("evidence_count").cast("bigint").alias("evidence_count"),
-                       r6("avg_certainty", "avg_certainty"), "min_certainty", "max_certainty", "confidence_level")
+                       r6(F.round("avg_certainty", 10), "avg_certainty"), r6("min_certainty", "min_certainty"), r6("max_certainty", "max_certainty"), "confidence_level")
 
 
 @query("top10", with_events(FINDINGS) + """SELECT anomaly_id, anomaly_type, round(composite, 6) AS threat_score, (SELECT count(*) FROM scored) - 10 AS more
@@ -1022,12 +1023,12 @@ def _(spark, sf):
     return explain.reasoning_steps(merge.merge(_findings(spark, sf))).select("anomaly_id", "step_number", "description", "rule_id", r6("certainty", "certainty"))
 
 
-@query("summary_by_type", with_events(FINDINGS) + """SELECT anomaly_type, count(*) AS n, round(avg(certainty), 6) AS avg_certainty, count(*) FILTER (threat_level >= 4) AS high_severity, round(max(composite), 6) AS top_score FROM scored GROUP BY anomaly_type""")
+@query("summary_by_type", with_events(FINDINGS) + """SELECT anomaly_type, count(*) AS n, round(round(avg(certainty), 10), 6) AS avg_certainty, count(*) FILTER (threat_level >= 4) AS high_severity, round(max(composite), 6) AS top_score FROM scored GROUP BY anomaly_type""")
 def _(spark, sf):
     from threatframe.operators import explain
 
     rows = explain.summary_by_type(merge.rescore(merge.merge(_findings(spark, sf))))
-    return rows.select("anomaly_type", "n", r6("avg_certainty", "avg_certainty"), "high_severity", r6("top_score", "top_score"))
+    return rows.select("anomaly_type", "n", r6(F.round("avg_certainty", 10), "avg_certainty"), "high_severity", r6("top_score", "top_score"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

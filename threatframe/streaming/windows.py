@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from threatframe.operators import features, merge, rules, signature
-from threatframe.config import RULES, Rule
+from threatframe.config import RULES, SESSION_SECONDS, Rule
 
 DELAY = "10 minutes"
 
@@ -79,8 +79,8 @@ def frequency_windows(events: DataFrame, key: str, seconds: int = 300, slide: in
                         features.events_per_minute(F.col("event_count"), span).alias("events_per_minute"), "unique_users", "unique_ips", "unique_services")
 
 
-def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = DELAY) -> DataFrame:
-    return features.sessions(events.withWatermark("ts", delay), gap)
+def sessions(events: DataFrame, seconds: int = SESSION_SECONDS, delay: str = DELAY) -> DataFrame:
+    return features.sessions(events.withWatermark("ts", delay), seconds)
 
 
 def merge_each_batch(findings: DataFrame, out: str, checkpoint: str):

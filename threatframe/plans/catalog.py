@@ -1237,3 +1237,30 @@ def _(spark, sf):
     nothing = F.lit(None).cast("string")
     bare = bare.withColumn("source_ip", nothing).withColumn("user_id", nothing).withColumn("service", nothing)
     return unified(normalize(bare)).select("event_id", "event_category", "severity", "source_ip", "user_id", "service", "destination_ip", "is_off_hours")
+
+
+def _signature_rows() -> str:
+    from threatframe.config import SIGNATURES
+
+    return "sigs(rule_id, group_name) AS (VALUES " + ", ".join(f"('{s.rule_id}', '{s.anomaly_type}')" for s in SIGNATURES) + ")"
+
+
+@query("knowledge_coverage", with_events(HITS, _signature_rows()) + """SELECT s.rule_id, s.group_name, count(h.rule_id) AS hits
+FROM sigs s LEFT JOIN hits h ON h.rule_id = s.rule_id GROUP BY ALL""")
+def _(spark, sf):
+    from threatframe.plans.analysis import knowledge_status
+
+    rows = knowledge_status(spark, signature.detect(log_events(spark, sf)))
+    return rows.filter("kind = 'signature'").select("rule_id", "group_name", "hits")
+
+
+@query("explain_trace", with_events(FINDINGS) + """, lines AS (SELECT anomaly_id, threat_level, anomaly_type, certainty, list_concat(
+  ['  Step 1: Security events were observed and parsed from log sources.' || chr(10) || '    Certainty: 100.0%'],
+  list_transform(range(1, n_evidence + 1), lambda i: '  Step ' || (i + 1) || ': Rule ''' || names[i] || ''' matched: ' || descriptions[i] || chr(10) || '    Certainty: ' || printf('%.1f', round(cfs[i] * 100, 9)) || '%' || chr(10) || '    Based on: ' || event_ids[i]),
+  ['  Step ' || (n_evidence + 2) || ': Combined evidence using certainty factor algebra to reach final certainty of ' || printf('%.1f', round(certainty * 100, 9)) || '%.' || chr(10) || '    Certainty: ' || printf('%.1f', round(certainty * 100, 9)) || '%']) AS parts FROM merged)
+SELECT anomaly_id, 'EXPLANATION FOR ANOMALY: ' || anomaly_type || chr(10) || 'Conclusion: Detected ' || (['INFO', 'LOW', 'MEDIUM', 'HIGH', 'CRITICAL'])[threat_level] || ' threat: ' || anomaly_type || chr(10)
+  || 'Overall Certainty: ' || printf('%.1f', round(certainty * 100, 9)) || '%' || chr(10) || chr(10) || 'Reasoning Chain:' || chr(10) || array_to_string(parts, chr(10)) AS trace FROM lines""")
+def _(spark, sf):
+    from threatframe.operators import explain
+
+    return explain.trace_text(explain.reasoning_steps(merge.merge(_findings(spark, sf))))

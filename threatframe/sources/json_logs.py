@@ -62,7 +62,9 @@ def json_events(lines: DataFrame, column: str = "value", schema: dict[str, str]
     ``schema`` maps standard fields (timestamp, message, user, source_ip) to paths tried first.
     """
     schema = schema or {}
-    rows = lines.filter(F.trim(column) != "").select(F.col(column).alias("value")).withColumn("record", F.try_parse_json("value"))
+    # through a generator, so that the filters below use the parsed record instead of parsing again
+    rows = lines.filter(F.trim(column) != "").select(F.col(column).alias("value"), F.explode_outer(
+        F.array(F.try_parse_json(column))).alias("record"))
     # a null member map means the text is no JSON object
     is_record = F.try_variant_get("record", "$", "map<string,variant>").isNotNull()
     rejected = rows.filter(~is_record).select(F.lit(source_format).alias("source"), "value")

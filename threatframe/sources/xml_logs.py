@@ -29,8 +29,13 @@ def xml_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
         F.concat("_start", F.lit(f"</{tag}>")).alias("value"))
 
 
+def parse_once(rows: DataFrame, parsed: Column) -> DataFrame:
+    """(value, x): the parsed form through a generator, so that filters on it do not parse again."""
+    return rows.select("value", F.explode_outer(F.array(parsed)).alias("x"))
+
+
 def _parsed(rows: DataFrame, schema: str, source: str) -> tuple[DataFrame, DataFrame]:
-    rows = rows.select("value", F.from_xml("value", schema, OPTIONS).alias("x"))
+    rows = parse_once(rows, F.from_xml("value", schema, OPTIONS))
     bad = F.col("x._corrupt_record").isNotNull() | F.col("x").isNull()
     return rows.filter(~bad), rows.filter(bad).select(F.lit(source).alias("source"), "value")
 
@@ -71,7 +76,8 @@ def syslog_events(rows: DataFrame, column: str = "value") -> Ingest:
     # tags differing only in case need two schemas, since column names ignore case
     lower = [t for t in tags if t.islower()]
     upper = [t for t in tags if not t.islower()]
-    parsed = rows.select("value", F.from_xml("value", _strings(upper), OPTIONS).alias("u"), F.from_xml("value", _strings(lower), OPTIONS).alias("l"))
+    parsed = parse_once(rows, F.struct(F.from_xml("value", _strings(upper), OPTIONS).alias("u"),
+                                       F.from_xml("value", _strings(lower), OPTIONS).alias("l"))).select("value", "x.*")
     bad = F.col("u._corrupt_record").isNotNull()
     rejected = parsed.filter(bad).select(F.lit("xml_syslog").alias("source"), "value")
 
@@ -147,7 +153,7 @@ def generic_events(rows: DataFrame, column: str = "value", schema: T.StructType
     if schema is not None:
         fields = [f for f in schema.fields if f.name != "_corrupt_record"]
         full = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
-        parsed = rows.select("value", F.from_xml("value", _ddl(full), OPTIONS).alias("x"))
+        parsed = parse_once(rows, F.from_xml("value", _ddl(full), OPTIONS))
         bad = F.col("x._corrupt_record").isNotNull() | F.col("x").isNull()
         entries = F.array(*[F.struct(F.lit(n).alias("key"), F.trim(v).alias("value")) for n, v in flat_struct(T.StructType(fields), "x")])
         flat = F.map_from_entries(F.filter(F.concat(entries, *named_values(T.StructType(fields), "x")), lambda e: e["value"].isNotNull()))

@@ -1124,7 +1124,8 @@ def _(spark, sf):
     return run.run_available(windows.frequency_windows(_stream(spark, sf), "source_ip")).select("source_ip", us("window_start", "start_us"), "event_count")
 
 
-@query("stream_merge")
+@query("stream_merge", with_events(FINDINGS.replace("FROM findings)", "FROM findings WHERE layer = 'signature')")) + """
+SELECT anomaly_id, anomaly_type, n_members, round(composite, 6) AS threat_score, round(certainty, 6) AS certainty FROM scored""")
 def _(spark, sf):
     from threatframe.streaming import run, windows
 

@@ -116,7 +116,7 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01) -> tuple[Da
     found = docs.withColumns({f"{c}_m": F.when(h, F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(none) for c, p, h in zip(inner, patterns, hints, strict=True)})
     found = found.withColumns({c: spans(text, F.col(f"{c}_m"), p) for c, p in zip(inner, patterns, strict=True)})
     long_enough = F.filter(inner[0], lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 12)
-    base = F.concat(*[F.transform(a, lambda x, i=i: F.struct(F.lit(i).alias("kind"), x["s"].alias("s"), x["e"].alias("e"))) for i, a in enumerate([long_enough, F.col(inner[1]), F.col(inner[2])])])
+    base = F.concat(*[of_kind(a, i) for i, a in enumerate([long_enough, F.col(inner[1]), F.col(inner[2])])])
     tried = F.filter(F.transform(inner[3], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), p_value(x["m"]).alias("p"))), lambda x: x["p"].isNotNull())
     rows = stage(found.select(*docs.columns, base.alias("__base"), tried.alias("__tried")))
 
@@ -131,11 +131,18 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01) -> tuple[Da
             if 10 ** (-b / PER_DECADE) * totals.m <= fdr * seen:
                 limit = b
     taken = F.filter("__tried", lambda x: (bin_of(x["p"], x["e"] - x["s"], totals.mean or 1.0) >= limit) & ~F.exists("__base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    extra = F.transform(taken, lambda x: F.struct(F.lit(3).alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
-    by_place = F.array_sort(F.transform(F.concat("__base", extra), lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"))))
+    by_place = F.array_sort(F.transform(F.concat("__base", of_kind(taken, 3)), lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"))))
     return rows.withColumn(name, by_place).drop("__base", "__tried"), name
 
 
+def of_kind(found: Column, kind: int) -> Column:
+    return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
+
+
+def count_of(found: Column, kind: int) -> Column:
+    return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long")
+
+
 def bin_of(p: Column, n: Column, mean: float) -> Column:
     """Steps of 10^-0.01 down to the p-value over its weight, rounded to the larger p."""
     return F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(-F.log10(p * F.lit(float(mean)) / n) * PER_DECADE).cast("int")))

@@ -69,9 +69,10 @@ def keep_documents(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     """The rows of ``docs`` that stay, with their columns. The text is shuffled only where many rows go."""
     judged = dedup(docs, index, id_col, text_col)
     dropped = stage(judged.where(~F.col("kept")).select("doc_id", "digest").distinct())
-    key, mark = unused(docs, "digest"), F.col(id_col)
+    key, id_key, digest_key = (unused(docs, c) for c in ("digest", "__id", "__digest"))
     rows = docs.withColumn(key, digest_of(F.col(text_col)))
-    rows = rows.join(dropped.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), mark.eqNullSafe(F.col("__id")) & (F.col(key) == F.col("__digest")), "left_anti")
+    dropped = dropped.select(F.col("doc_id").alias(id_key), F.col("digest").alias(digest_key))
+    rows = rows.join(dropped, F.col(id_col).eqNullSafe(F.col(id_key)) & (F.col(key) == F.col(digest_key)), "left_anti")
     repeated = judged.where("kept").groupBy("doc_id", "digest").count().where("count > 1")
     if not repeated.isEmpty():  # rows repeated with id and text: the first of each, combined before the shuffle
         rows = rows.dropDuplicates([id_col, key])

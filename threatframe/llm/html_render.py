@@ -150,7 +150,7 @@ class Lines:
             first, *rest = value.split("\n")
             self.now.append(first)
             for line in rest:
-                self.done.append("".join(self.now))
+                self.add("".join(self.now))
                 self.now = [line]
         elif value:
             value = SPACE.sub(" ", value)
@@ -159,13 +159,16 @@ class Lines:
             if value:
                 self.now.append(value)
 
+    def add(self, line: str) -> None:
+        if self.gap and self.done:
+            self.done.append("")
+        self.done.append(line)
+        self.gap = False
+
     def end(self, gap: bool = False) -> None:
         line = "".join(self.now).rstrip(" ")
         if line:
-            if self.gap and self.done:
-                self.done.append("")
-            self.done.append(line)
-            self.gap = False
+            self.add(line)
         self.now = []
         self.gap |= gap
 

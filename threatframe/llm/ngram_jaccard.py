@@ -69,7 +69,7 @@ def shingles(text: str, n: int, words: Words) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, n: int, share: float | None) -> DataFrame:
-    """doc_id, n_shingles, digest of every row, and ``head``: all hashes, those below ``share`` of their range, or none for 0."""
+    """doc_id, mark, n_shingles, digest of every row, and ``head``: all hashes, those below ``share`` of their range, or none for 0."""
     bound = np.uint64(int(share * 2**63) * 2) if share else None
 
     def rows(batches):
@@ -78,12 +78,12 @@ def shingled(docs: DataFrame, n: int, share: float | None) -> DataFrame:
             texts = batch["text"].tolist()
             for low, high in slices([len(t) for t in texts], AT_ONCE):
                 sets = [shingles(t, n, words) for t in texts[low:high]]
-                frame = pd.DataFrame({"doc_id": batch["doc_id"].iloc[low:high].astype("Int64"), "n_shingles": np.array([len(s) for s in sets], dtype=np.int64), "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]})
+                frame = pd.DataFrame({"doc_id": batch["doc_id"].iloc[low:high].astype("Int64"), "mark": batch["mark"].iloc[low:high], "n_shingles": np.array([len(s) for s in sets], dtype=np.int64), "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]})
                 if share != 0:
                     frame["head"] = [(s if bound is None else s[: np.searchsorted(s, bound)]).view(np.int64) for s in sets]
                 yield frame
 
-    schema = "doc_id long, n_shingles long, digest binary" + (", head array<long>" if share != 0 else "")
+    schema = "doc_id long, mark long, n_shingles long, digest binary" + (", head array<long>" if share != 0 else "")
     return docs.mapInPandas(rows, schema)
 
 
@@ -136,9 +136,10 @@ def postings(sets: DataFrame, percent: int, frequent: int) -> DataFrame:
 COUNTED = 0.34
 
 
-def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, stars: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; documents link at 100 * shared >= percent * united n-grams."""
-    texts = id_and_text(docs, id_col, text_col)
+def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, stars: int = 2, id_col: str = "doc_id", text_col: str = "text",
+         marked: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id (if ``marked``, also the text's hash) of every row; documents link at 100 * shared >= percent * united n-grams."""
+    texts = id_and_text(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
     light = stage(shingled(texts, n, 0))
     sets = shingled(texts, n, COUNTED).where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("head").alias("tokens"))
     sets = stage(sets.withColumn("uid", F.monotonically_increasing_id()))
@@ -195,7 +196,7 @@ def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, sta
     least = stage(members.groupBy("c").agg(F.min("first_id").alias("component_id")))
     by_digest = stage(members.join(least, "c").select("digest", "component_id"))
     out = light.join(by_digest, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", *(["mark"] if marked else []), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def full_sets(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -215,14 +216,14 @@ def verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` with one document of each class: the one with the smallest id, of rows repeated with that id the first.
-    Documents without words stay."""
-    linked = link(docs, id_col=id_col, text_col=text_col, **settings)
-    dropped = stage(linked.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct())
-    rows = docs.join(dropped, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
-    repeated = linked.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        empty = unused(docs, "empty")
-        rows = rows.withColumn(empty, F.when(F.trim(F.translate(F.coalesce(F.col(text_col), F.lit("")), "\t\n\x0b\x0c\r", "     ")) == "", F.monotonically_increasing_id()))
-        rows = rows.dropDuplicates([id_col, empty]).drop(empty)
-    return rows
+    """The rows of ``docs`` with one document of each class: the one with the smallest id. Documents without words stay. Of rows
+    repeated with id and text the first stays; rows that share an id, but not their text, are told apart."""
+    linked = link(docs, id_col=id_col, text_col=text_col, marked=True, **settings)
+    id_key, mark = unused(docs, "dropped"), unused(docs, "mark")
+    staying = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    dropped = stage(linked.where(~staying).select(F.col("doc_id").alias(id_key), F.col("mark").alias(f"{mark}_dropped")).distinct())
+    rows = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = rows.join(dropped, F.col(id_col).eqNullSafe(F.col(id_key)) & (F.col(mark) == F.col(f"{mark}_dropped")), "left_anti")
+    if not linked.where(staying).groupBy("doc_id", "mark").count().where("count > 1").isEmpty():
+        rows = rows.dropDuplicates([id_col, mark])
+    return rows.drop(mark)

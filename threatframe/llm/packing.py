@@ -123,6 +123,11 @@ def exact_fill(gap: int, have: np.ndarray, left: np.ndarray) -> tuple[int, ...]
 
 
 def plan(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
+    """The better plan of two: with exact fills, or (rarely) best fit alone."""
+    return min((plan_with(counts, capacity, exact) for exact in (True, False)), key=lambda p: p[1])
+
+
+def plan_with(counts: dict[int, int], capacity: int, exact: bool) -> tuple[np.ndarray, int]:
     """Plan rows (length, from_rank, first_sequence, times, offset) sorted by length and rank, and the number of sequences.
 
     Rank r of a length is in the row with the largest from_rank <= r: sequence first + (r - from) // times, at
@@ -139,7 +144,7 @@ def plan(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
         left[top] -= 1
         while gap > 0:
             now = have[left[have] > 0]
-            if combination := exact_fill(gap, now, left):
+            if exact and (combination := exact_fill(gap, now, left)):
                 for x in combination:
                     take[x] += 1
                     left[x] -= 1

@@ -60,7 +60,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, name = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found, name = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     count = [secrets.count_of(F.col(name), i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
     return found.select("doc_id", *count, F.sha2(secrets.listing(F.col(name), 2), 256).alias("base_sha256"), secrets.listing(F.col(name)).alias("spans"))
 

@@ -101,10 +101,11 @@ def p_value(run: Column) -> Column:
     return result
 
 
-def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01) -> tuple[DataFrame, str]:
+def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01, keep_text: bool = True) -> tuple[DataFrame, str]:
     """Every row of ``docs`` with a column of spans array<struct<kind, s, e>>, sorted by start, then kind as listed; and that column's name.
 
-    ``kind`` is the place in ``KINDS``. The rows are written to the shared folder once, with candidates not yet decided.
+    ``kind`` is the place in ``KINDS``. The rows are written to the shared folder once, with candidates not yet decided; without
+    ``keep_text`` that leaves the text out, and so does the result.
     """
     name, text = unused(docs, "spans"), F.coalesce(F.col(text_col), F.lit(""))
     inner = [f"__{k}" for k in KINDS]
@@ -118,7 +119,8 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01) -> tuple[Da
     long_enough = F.filter(inner[0], lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 12)
     base = F.concat(*[of_kind(a, i) for i, a in enumerate([long_enough, F.col(inner[1]), F.col(inner[2])])])
     tried = F.filter(F.transform(inner[3], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), p_value(x["m"]).alias("p"))), lambda x: x["p"].isNotNull())
-    rows = stage(found.select(*docs.columns, base.alias("__base"), tried.alias("__tried")))
+    kept = [c for c in docs.columns if keep_text or c != text_col]
+    rows = stage(found.select(*kept, base.alias("__base"), tried.alias("__tried")))
 
     each = rows.select(F.explode("__tried").alias("x")).select((F.col("x.e") - F.col("x.s")).alias("n"), F.col("x.p").alias("p"))
     totals = each.agg(F.count(F.lit(1)).alias("m"), F.avg("n").alias("mean")).first()

@@ -69,7 +69,7 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, i
     rule = F.concat("host", "path")
     entries = rules.select(F.concat(F.lit("r"), rule).alias("key"), rule.alias("rule"), "verdict").where("rule is not null").groupBy("key", "rule").agg(F.max("verdict").alias("verdict"))
     if listed is not None:
-        whole = listed.select(F.concat(F.lit("u"), host_of(F.col("url")), path_of(F.col("url"))).alias("key"), F.lit(None).cast("string").alias("rule"), F.lit("block").alias("verdict"))
+        whole = listed.select(F.concat(F.lit("u"), host_of(F.col("url")), path_of(F.col("url"))).alias("key"), F.lit(None).cast("string").alias("rule"), F.lit("block").alias("verdict")).where("key <> 'u'")
         entries = entries.unionByName(whole.distinct())
     entries = stage(entries)
     # few even for long rule lists: at most (labels of a host) x (distinct lengths of a path)
@@ -85,7 +85,7 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = None, i
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     labels = F.size(F.split("host", r"\."))
     keys = [F.when((labels >= s.n) & (F.length("path") >= s.l), F.concat(F.lit("r"), F.substring_index("host", ".", -s.n), F.substring("path", 1, s.l))) for s in shapes]
-    keys.append(F.concat(F.lit("u"), "host", "path") if listed is not None else F.lit(None).cast("string"))
+    keys.append(F.when(F.col("host") != "", F.concat(F.lit("u"), "host", "path")) if listed is not None else F.lit(None).cast("string"))
     found = rows.select("host", "path").distinct().select("host", "path", F.explode(F.array_compact(F.array(*keys))).alias("key"))
     found = found.where(may_hold(F.xxhash64("key"))).join(entries, "key")
     # smallest of (-length, text) is the longest rule; a listed URL comes after every rule

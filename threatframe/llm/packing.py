@@ -15,7 +15,10 @@ stay null.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -32,13 +35,16 @@ from threatframe.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Words a worker remembers with their ids, and characters it works on at a time.
-REMEMBERED, AT_ONCE = 300_000, 4_000_000
+REMEMBERED, AT_ONCE, PUNCTUATION = 400_000, 4_000_000, ".,;:!?"
 
 
 class WordTokenizer:
     """Ids of whole texts for a tokenizer that never joins across white space: each distinct word is encoded once.
 
-    Words are split at ASCII white space only, which such tokenizers drop; what is inside a word is left to the library.
+    Words are split at ASCII white space only, which such tokenizers drop; what is inside a word is left to the library. New words
+    of letters go to it in long lines, whose ids are cut after each that ends a word; punctuation after letters is looked up
+    by itself. Both hold for tokenizers with a word-end suffix that split letters from punctuation (``lined``); for any
+    other, and for a line with more or fewer ends than words, every word is encoded by itself.
     """
 
     loaded: dict = {}
@@ -49,6 +55,14 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
         self.tokenizer.encode_special_tokens = True
+        model = json.loads(self.tokenizer.to_str())
+        suffix = model["model"].get("end_of_word_suffix")
+        self.lower = "Lowercase" in json.dumps(model["normalizer"])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.lined = bool(suffix) and [len(x.tokens) for x in self.tokenizer.encode_batch(["a", "...", "a..."], add_special_tokens=False)][2] > 1
+        if self.lined:
+            for token, i in self.tokenizer.get_vocab().items():
+                self.ends[i] = token.endswith(suffix)
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -56,19 +70,60 @@ class WordTokenizer:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
+    def each(self, words: list[str]) -> None:
+        for at in range(0, len(words), 10_000):
+            part = words[at : at + 10_000]
+            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[word.encode()] = array("I", code.ids).tobytes()
+
+    def lines(self, words: list[str], size: int = 500) -> None:
+        """Words of letters, ``size`` to a line."""
+        parts = [words[at : at + size] for at in range(0, len(words), size)]
+        for some in range(0, len(parts), 20):
+            own = parts[some : some + 20]
+            for part, code in zip(own, self.tokenizer.encode_batch_fast([" ".join(x) for x in own], add_special_tokens=False), strict=True):
+                ids = np.array(code.ids, dtype="<u4")
+                stops = np.flatnonzero(self.ends[ids]) + 1
+                if len(stops) != len(part) or stops[-1] != len(ids):
+                    self.each(part)
+                    continue
+                data, low = ids.tobytes(), 0
+                for word, high in zip(part, (stops * 4).tolist(), strict=True):
+                    self.known[word.encode()] = data[low:high]
+                    low = high
+
+    def learn(self, words: set[bytes]) -> None:
+        known, joined, odd, letters = self.known, [], set(), set()
+        for word in words:
+            text = word.decode()
+            body = text.rstrip(PUNCTUATION) if self.lined else ""
+            # a letter whose small form is not letters alone would join the punctuation
+            if body.isalpha() and (body.isascii() or unicodedata.normalize("NFC", body).lower().isalpha()):
+                if len(body) == len(text):
+                    letters.add(text)
+                    continue
+                tail = text[len(body) :]
+                joined.append((word, body.encode(), tail.encode()))
+                if joined[-1][1] not in known:
+                    letters.add(body)
+                if joined[-1][2] not in known:
+                    odd.add(tail)
+            else:
+                odd.add(text)
+        self.each(list(odd))
+        self.lines(list(letters))
+        for word, body, tail in joined:
+            known[word] = known[body] + known[tail]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.encode("utf-8", "replace").split() for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({w for ws in words for w in ws if w not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            codes = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, code in zip(part, codes, strict=True):
-                known[word] = np.array(code.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        data = [t.encode("utf-8", "replace") for t in texts]
+        words = [(d.lower() if self.lower else d).split() for d in data]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        self.learn(set().union(*words).difference(self.known))
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, ws)) for ws in words]
 
 
 def tokenize(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ class. Null ids are larger than any other. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -31,19 +31,18 @@ from pyspark.sql import functions as F
 
 from threatframe.llm.common import id_and_text, slices, unused
 from threatframe.llm.graph import components
+from threatframe.llm.url_filter import block_and_masks, build_filter
 from threatframe.session import stage
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-LONGEST, VERIFY_COST = 8, 10.0
-REMEMBERED, AT_ONCE = 500_000, 4_000_000
+LONGEST, VERIFY_COST = 4, 10.0
+REMEMBERED, AT_ONCE, FILTER_BYTES = 500_000, 4_000_000, 64 << 20
 
 
 class Words(dict):
     """64-bit hash of each word met."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
         code = self[word] = xxhash.xxh3_64_intdigest(word)
         return code
 
@@ -54,30 +53,44 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str, n: int, words: Words) -> np.ndarray:
-    """Sorted distinct hashes (uint64) of a text's n-grams."""
-    tokens = text.encode("utf-8", "replace").lower().split()
-    if not tokens:
-        return np.empty(0, dtype=np.uint64)
-    codes = np.array([words[w] for w in tokens], dtype=np.uint64)
-    size = min(n, len(codes))
-    count = len(codes) - size + 1
-    h = np.full(count, size, dtype=np.uint64)
-    for i in range(size):
-        h = mixed(h * MULTIPLIER + codes[i : i + count])
-    return np.unique(h)
+def shingles(texts: list[str], n: int, words: Words) -> list[np.ndarray]:
+    """Sorted distinct hashes (uint64) of each text's n-grams."""
+    if len(words) > REMEMBERED:
+        words.clear()
+    tokens = [t.encode("utf-8", "replace").lower().split() for t in texts]
+    codes = np.fromiter(map(words.__getitem__, itertools.chain.from_iterable(tokens)), dtype=np.uint64, count=sum(map(len, tokens)))
+    h = np.full(max(0, len(codes) - n + 1), n, dtype=np.uint64)
+    for i in range(n):
+        h = h * MULTIPLIER + codes[i : i + len(h)]
+    h, out, at = mixed(h), [], 0
+    for ws in tokens:
+        if len(ws) >= n:
+            out.append(np.unique(h[at : at + len(ws) - n + 1]))
+        elif ws:  # a short text is one n-gram of its own length
+            one = np.full(1, len(ws), dtype=np.uint64)
+            for code in codes[at : at + len(ws)]:
+                one = one * MULTIPLIER + code
+            out.append(mixed(one))
+        else:
+            out.append(h[:0])
+        at += len(ws)
+    return out
+
 
+def shingled(docs: DataFrame, n: int, share: float | None, wanted=None) -> DataFrame:
+    """doc_id, mark, n_shingles, digest of every row, and ``head``: all hashes, those below ``share`` of their range, or none for 0.
 
-def shingled(docs: DataFrame, n: int, share: float | None) -> DataFrame:
-    """doc_id, mark, n_shingles, digest of every row, and ``head``: all hashes, those below ``share`` of their range, or none for 0."""
+    ``wanted``, a broadcast Bloom filter over the hash of ids, leaves out rows that it can't hold."""
     bound = np.uint64(int(share * 2**63) * 2) if share else None
 
     def rows(batches):
         words = Words()
         for batch in batches:
+            if wanted is not None:
+                batch = batch[holds(wanted.value, batch["key"].to_numpy())]
             texts = batch["text"].tolist()
             for low, high in slices([len(t) for t in texts], AT_ONCE):
-                sets = [shingles(t, n, words) for t in texts[low:high]]
+                sets = shingles(texts[low:high], n, words)
                 frame = pd.DataFrame({"doc_id": batch["doc_id"].iloc[low:high].astype("Int64"), "mark": batch["mark"].iloc[low:high], "n_shingles": np.array([len(s) for s in sets], dtype=np.int64), "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]})
                 if share != 0:
                     frame["head"] = [(s if bound is None else s[: np.searchsorted(s, bound)]).view(np.int64) for s in sets]
@@ -92,106 +105,120 @@ def unsigned(column):
     return column.bitwiseXOR(F.lit(-(2**63)))
 
 
-def prefix_plan(n: int, dfs: np.ndarray, percent: int) -> tuple[int, int]:
-    """l and prefix length for a set of n n-grams with these frequencies, in order (those beyond the array count as 1)."""
+def prefix_plan(n: int, places: np.ndarray, dfs: np.ndarray, percent: int) -> tuple[int, int]:
+    """l and prefix length for a set of n n-grams, of which those at ``places`` of the order (ascending) are in ``dfs`` sets."""
     base = n - -(-percent * n // 100)
     most = max(1, min(LONGEST, n - base))
-    listed = np.cumsum(np.r_[dfs - 1.0, np.zeros(max(0, base + most - len(dfs)))])
-    costs = [listed[base + k - 1] * (1 + VERIFY_COST / k) for k in range(1, most + 1)]
+    listed = np.cumsum(np.r_[0.0, dfs - 1.0])
+    costs = [listed[np.searchsorted(places, base + k)] * (1 + VERIFY_COST / k) for k in range(1, most + 1)]
     best = 1 + int(np.argmin(costs))
     return best, base + best
 
 
-def postings(sets: DataFrame, percent: int, frequent: int) -> DataFrame:
-    """(h, uid, n, l, central) of each n-gram in a set's prefix that other sets may share. ``sets``: uid, n, tokens, inside
-    (whether the tokens are only the counted third), known array<struct<h, df>> of those that several sets have."""
+def postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(h, uid, n, l, central) of each n-gram in a set's prefix that several sets have. ``sets``: uid, n, k (how many of its
+    n-grams have a place), known array<struct<h, df, rank, place>>: those of several sets, with their place by hash."""
 
     def listed(batches):
         for batch in batches:
             out = []
-            for uid, n, tokens, known in zip(batch["uid"], batch["n"], batch["tokens"], batch["known"], strict=True):
-                tokens = np.asarray(tokens, dtype=np.int64).view(np.uint64)
-                h = np.array([x["h"] for x in known], dtype=np.int64).view(np.uint64)
-                d = np.array([x["df"] for x in known], dtype=np.int64)
-                rank = np.array([x["rank"] for x in known], dtype=np.int64)
-                df, level = np.ones(len(tokens), dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)
-                at = np.searchsorted(tokens, h)
-                df[at], level[at] = d, rank
-                bound = batch_bound
-                level = np.where(level == 2, 2, np.where(tokens >= bound, 1, 0))
-                order = np.lexsort((tokens, np.where(level == 2, df, 0), level))
-                matches, length = prefix_plan(int(n), df[order], percent)
-                chosen = order[:length]
-                chosen = chosen[df[chosen] > 1]
-                central = float(np.log(df).sum() / len(df)) if len(df) else 0.0
+            for uid, n, size, known in zip(batch["uid"], batch["n"], batch["k"], batch["known"], strict=True):
+                h, df, rank, place = np.array([(x["h"], x["df"], x["rank"], x["place"]) for x in known], dtype=np.int64).T
+                order = np.argsort(place)
+                h, df, rank, place = h[order], df[order], rank[order], place[order]
+                last = rank == 2
+                # frequent ones leave their places and follow all others, by frequency, then hash
+                ahead = place - np.cumsum(last)
+                behind = np.flatnonzero(last)
+                behind = behind[np.lexsort((h[behind].view(np.uint64), df[behind]))]
+                final = np.r_[ahead[~last], size - len(behind) + np.arange(len(behind))]
+                at = np.r_[np.flatnonzero(~last), behind]
+                matches, length = prefix_plan(int(n), final, df[at], percent)
+                chosen = at[: np.searchsorted(final, length)]
                 if len(chosen):
-                    out.append(pd.DataFrame({"h": tokens[chosen].view(np.int64), "uid": uid, "n": n, "l": matches, "central": central}))
+                    out.append(pd.DataFrame({"h": h[chosen], "uid": uid, "n": n, "l": matches, "central": float(np.log(df).sum() / size)}))
             if out:
                 yield pd.concat(out, ignore_index=True)
 
-    batch_bound = np.uint64(int(COUNTED * 2**63) * 2)
-    return sets.select("uid", "n", "tokens", "known").mapInPandas(listed, "h long, uid long, n long, l int, central double")
+    return sets.select("uid", "n", "k", "known").mapInPandas(listed, "h long, uid long, n long, l int, central double")
 
 
 COUNTED = 0.34
 
 
+def shared_places(sets: DataFrame, column: str, several: DataFrame, first_place: int = 0) -> DataFrame:
+    """(uid, h, df, rank, place) of the n-grams in ``column`` (sorted) that ``several`` (h, df, rank) has; a Bloom filter over
+    these keeps most others out of the shuffle."""
+    words = sets.sparkSession.sparkContext.broadcast(build_filter(several.select("h"), 12, FILTER_BYTES))
+
+    def possible(batches):
+        for batch in batches:
+            sizes = batch[column].map(len).to_numpy()
+            if not sizes.sum():
+                continue
+            h = np.concatenate(batch[column].to_numpy()).astype(np.int64)
+            begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+            uid, place = np.repeat(batch["uid"].to_numpy(), sizes), np.arange(len(h)) - begin
+            hit = holds(words.value, h)
+            yield pd.DataFrame({"uid": uid[hit], "h": h[hit], "place": place[hit]})
+
+    return sets.select("uid", column).mapInPandas(possible, "uid long, h long, place long").join(several, "h")
+
+
 def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, stars: int = 2, id_col: str = "doc_id", text_col: str = "text",
          marked: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (if ``marked``, also the text's hash) of every row; documents link at 100 * shared >= percent * united n-grams."""
-    texts = id_and_text(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
+    texts = id_and_text(docs, id_col, text_col).withColumns({"mark": F.xxhash64("text"), "key": F.xxhash64("doc_id")})
     light = stage(shingled(texts, n, 0))
     sets = shingled(texts, n, COUNTED).where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("head").alias("tokens"))
-    sets = stage(sets.withColumn("uid", F.monotonically_increasing_id()))
+    sets = stage(sets.withColumns({"uid": F.monotonically_increasing_id(), "k": F.size("tokens")}))
 
     # frequencies within the counted third, and the n-grams of it that several sets have
-    entries = sets.select("uid", F.explode("tokens").alias("h"))
+    entries = sets.select(F.explode("tokens").alias("h"))
     several = stage(entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumn("rank", F.when(F.col("df") >= frequent, 2).otherwise(0)))
-    known = stage(entries.join(several, "h").groupBy("uid").agg(F.collect_list(F.struct("h", "df", "rank")).alias("known"), F.sum(F.when(F.col("rank") == 2, 1).otherwise(0)).alias("last")))
-    none = F.array().cast("array<struct<h:bigint,df:bigint,rank:int>>")
-    joined = sets.join(known, "uid", "left")
-    rare = F.size("tokens") - F.coalesce("last", F.lit(0))
+    entry = F.struct("h", "df", "rank", "place")
+    known = stage(shared_places(sets, "tokens", several).groupBy("uid").agg(F.collect_list(entry).alias("known"), F.sum(F.when(F.col("rank") == 2, 1).otherwise(0)).alias("last")))
+    none = F.array().cast("array<struct<h:bigint,df:bigint,rank:int,place:bigint>>")
+    joined = sets.select("uid", "n", "k", "digest", "first_id").join(known, "uid", "left")
     needed = F.col("n") - F.ceil(F.col("n") * percent / 100) + F.least(F.lit(LONGEST), F.ceil(F.col("n") * percent / 100))
-    inside = rare >= needed
-    enough = joined.where(inside & F.col("known").isNotNull()).select("uid", "n", "tokens", "known")
+    inside = F.col("k") - F.coalesce("last", F.lit(0)) >= needed
+    enough = joined.where(inside & F.col("known").isNotNull())
     short = stage(joined.where(~inside).select("uid", "n", "digest", "first_id", F.coalesce("known", none).alias("known")))
 
     # the others in full
     full = stage(full_sets(texts, short.select("uid", "digest", "first_id"), n))
-    beyond = full.select("uid", F.explode("tokens").alias("h")).where(unsigned(F.col("h")) >= F.lit(int(COUNTED * 2**63) * 2 - 2**63))
-    again = stage(beyond.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumn("rank", F.when(F.col("df") >= frequent, 2).otherwise(1)))
-    more = beyond.join(again, "h").groupBy("uid").agg(F.collect_list(F.struct("h", "df", "rank")).alias("more"))
-    lacking = short.join(full.select("uid", "tokens"), "uid").join(more, "uid", "left").select("uid", "n", "tokens", F.concat("known", F.coalesce("more", none)).alias("known")).where("size(known) > 0")
-    lists = stage(postings(enough, percent, frequent).unionByName(postings(lacking, percent, frequent)))
-
-    # full sets of whatever may be in a pair
-    ids = lists.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
-    lists = stage(lists.join(ids, "h"))
-    wanted = lists.select("uid").distinct()
-    rest = sets.select("uid", "digest", "first_id").join(wanted, "uid").join(short.select("uid"), "uid", "left_anti")
-    tokens = stage(full_sets(texts, rest, n).unionByName(full.join(wanted, "uid", "left_semi")))
-
+    bound = int(COUNTED * 2**63) * 2 - 2**63
+    beyond = full.select(F.explode("tokens").alias("h")).where(unsigned(F.col("h")) >= F.lit(bound))
+    again = beyond.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumn("rank", F.when(F.col("df") >= frequent, 2).otherwise(1))
+    more = shared_places(full, "tokens", stage(again)).groupBy("uid").agg(F.collect_list(entry).alias("more"))
+    lacking = short.join(more, "uid", "left").select("uid", "n", F.col("n").alias("k"), F.concat("known", F.coalesce("more", none)).alias("known")).where("size(known) > 0")
+    lists = stage(postings(enough, percent).unionByName(postings(lacking, percent)))
+    several = lists.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
+    lists = stage(lists.join(several, "h"))
+
+    names = sets.select("uid", "digest", "first_id")
     classed, links = None, None
     for turn in range(stars + 1):
-        now = lists.join(classed.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid")).drop("component") if classed is not None else lists.withColumn("c", F.col("uid"))
-        now = stage(now)
+        now = lists.withColumn("c", F.col("uid")) if classed is None else stage(lists.join(classed.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid")).drop("component"))
         centre = F.max(F.struct(F.col("central"), (-F.col("uid")).alias("uid"), "n", "l", "c"))
-        mixed_lists = stage(now.groupBy("h").agg(centre.alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h", "p"))
-        fit = "100 * least(n, m) >= {} * greatest(n, m)".format(percent)
+        several = stage(now.groupBy("h").agg(centre.alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h", "p"))
         if turn < stars:
-            pairs = now.join(mixed_lists, "h").select(F.col("uid").alias("x"), "n", "l", "c", (-F.col("p.uid")).alias("y"), F.col("p.n").alias("m"), F.col("p.l").alias("k"), F.col("p.c").alias("d"))
+            pairs = now.join(several, "h").select(F.col("uid").alias("x"), "n", "l", "c", (-F.col("p.uid")).alias("y"), F.col("p.n").alias("m"), F.col("p.l").alias("k"), F.col("p.c").alias("d"))
         else:
-            still = now.join(mixed_lists.select("h"), "h", "left_semi")
+            still = stage(now.join(several.select("h"), "h", "left_semi"))
             left = still.select("h", F.col("uid").alias("x"), "n", "l", "c")
             right = still.select("h", F.col("uid").alias("y"), F.col("n").alias("m"), F.col("l").alias("k"), F.col("c").alias("d"))
             pairs = left.join(right, "h").where("x < y")
-        pairs = pairs.where("c <> d").where(fit).groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"), F.least(F.first("l"), F.first("k")).alias("asked"))
+        pairs = pairs.where("c <> d").where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+        pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"), F.least(F.first("l"), F.first("k")).alias("asked"))
         pairs = stage(pairs.where("shared >= asked").select("x", "y", "n", "m"))
+        ids = pairs.select(F.col("x").alias("uid")).unionByName(pairs.select(F.col("y").alias("uid"))).distinct()
+        tokens = stage(full_sets(texts, stage(names.join(ids, "uid")), n))
         new = verify(pairs, tokens, percent)
         links = stage(new if links is None else links.unionByName(new))
         classed = stage(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
 
-    members = sets.select("uid", "digest", "first_id").join(classed.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid"))
+    members = names.join(classed.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid"))
     members = stage(members.select("digest", "first_id", "c"))
     least = stage(members.groupBy("c").agg(F.min("first_id").alias("component_id")))
     by_digest = stage(members.join(least, "c").select("digest", "component_id"))
@@ -200,11 +227,18 @@ def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, sta
 
 
 def full_sets(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(uid, tokens) of the sets ``wanted`` (uid, digest, first_id), from a document that has the set."""
-    ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
-    rows = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    found = shingled(rows, n, None).select("digest", F.col("head").alias("tokens"))
-    return found.join(wanted.select("digest", "uid"), "digest").groupBy("uid").agg(F.first("tokens").alias("tokens"))
+    """(uid, tokens) of the sets ``wanted`` (uid, digest, first_id), from a document that has the set. A Bloom filter over the
+    ids picks the documents, so that texts are not shuffled; the join by digest is exact."""
+    words = build_filter(wanted.select(F.xxhash64("first_id").alias("h")), 16, FILTER_BYTES)
+    found = shingled(texts, n, None, texts.sparkSession.sparkContext.broadcast(words)).select("digest", F.col("head").alias("tokens"))
+    one = found.join(wanted.select("digest", "uid"), "digest")
+    return one.groupBy("uid").agg(F.first("tokens").alias("tokens"))
+
+
+def holds(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes the filter may hold."""
+    block, masks = block_and_masks(hashes, len(words))
+    return ((words[block] & masks) == masks).all(axis=1)
 
 
 def verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:

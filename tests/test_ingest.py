@@ -159,3 +159,13 @@ def test_events_and_knowledge_round_trip(spark, tmp_path):
     nodes, edges = tables.read_graph(spark, str(tmp_path / "kb"))
     assert nodes.count() == 28 and {r.attack for r in graph.related_attacks(spark.createDataFrame([("multiple_failed_logins",)], "indicator string"), edges).collect()} == {"brute_force"}
     assert spark.read.json(str(tmp_path / "kb" / "rules")).count() == 22 == len(rules.RULES)
+
+
+def test_xml_leaves_keep_their_text(spark):
+    from threatframe.sources.xml_logs import generic_events
+
+    element = """<?xml version="1.0"?><Log id="007"><User>007</User><Service>1.10</Service><Code> 1e5 </Code><Flag>true</Flag><Raw><![CDATA[0x1 < 2]]></Raw><Note>a="1" &gt; b</Note></Log>"""
+    row = generic_events(spark.createDataFrame([(element,)], "value string")).events.first()
+    assert row.user_id == "007" and row.service == "1.10"
+    got = row.attributes
+    assert {k: got[k].strip() for k in ("User", "Service", "Code", "Flag", "Raw", "Note", "id")} == {"User": "007", "Service": "1.10", "Code": "1e5", "Flag": "true", "Raw": "0x1 < 2", "Note": 'a="1" > b', "id": "007"}

@@ -134,3 +134,32 @@ def test_missing_data_note(spark):
     out = merge.penalise_missing(merge.merge(rows)).first()
     assert out.certainty == pytest.approx(0.8 * 0.65) and out.missing_fields == ["user_id", "source_ip"]
     assert out.explanation.endswith("Missing fields: user_id, source_ip. Certainty adjusted from 80.0% to 52.0%.")
+
+
+def test_combine_group_is_the_fold_in_any_order(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from threatframe.functions import certainty
+
+    def fold(values):
+        out = None
+        for b in values:
+            a = out
+            if a is None:
+                out = b
+            elif a >= 0 and b >= 0:
+                out = a + b * (1 - a)
+            elif a < 0 and b < 0:
+                out = a + b * (1 + a)
+            else:
+                out = (a + b) / (1 - min(abs(a), abs(b)))
+        return out or 0.0
+
+    r = random.Random(2)
+    groups = {g: [r.uniform(-0.95, 0.95) for _ in range(r.randint(1, 12))] for g in range(60)} | {100: [1.0, -0.5, 0.2], 101: [-1.0, 0.7], 102: [1.0, -1.0]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [(103, None)]
+    got = {x.g: x.c for x in spark.createDataFrame(rows, "g int, v double").groupBy("g").agg(certainty.combine_group(F.col("v")).alias("c")).collect()}
+    assert all(abs(got[g] - fold(groups[g])) < 1e-9 for g in range(60))
+    assert (got[100], got[101], got[102], got[103]) == (1.0, -1.0, 0.0, 0.0)

@@ -65,3 +65,13 @@ def test_score(spark, level, cf, score):
 
     row = spark.range(1).select(threat_score(level_number(F.lit(level)), F.lit(cf), F.lit(1)).alias("s")).first()
     assert row.s == pytest.approx(score)
+
+
+def test_own_pattern_under_a_known_id(spark):
+    from dataclasses import replace
+
+    from threatframe.config import SIGNATURES
+
+    own = [replace(s, pattern="evilcorp") for s in SIGNATURES if s.rule_id == "SIG-MAL-001"]
+    rows = spark.createDataFrame([("evilcorp beacon",), ("mimikatz",)], "t string")
+    assert [r.t for r in signature.matches(rows, F.col("t"), own).collect()] == ["evilcorp beacon"]

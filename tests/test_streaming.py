@@ -62,10 +62,17 @@ def test_profiles_and_baselines_keep_state(spark, tmp_path):
     assert z["e00"] == (0, 0.0) and z["odd"][0] == 14 and z["odd"][1] > 3
 
 
-def test_merge_each_batch(spark, tmp_path):
-    stream = as_stream(spark, tmp_path, [[dict(t=1, user_id="a", source_ip="i", raw_log="mimikatz")], [dict(t=2, user_id="a", source_ip="i", raw_log="mimikatz now")]])
-    rows = run.run_available(windows.signatures(stream), windows.merge_each_batch)
-    assert rows.count() == 2 and {r.batch for r in rows.collect()} == {0, 1}
+def test_merge_over_batches_equals_one_batch(spark, tmp_path):
+    rows = [dict(event_id="x1", t=1, user_id="a", source_ip="i", raw_log="mimikatz"), dict(event_id="x2", t=2, user_id="a", source_ip="i", raw_log="mimikatz now"), dict(event_id="x3", t=3, user_id="b", source_ip="i", raw_log="nmap -sS")]
+    columns = ["anomaly_id", "n_members", "threat_score", "certainty", "explanation"]
+
+    def anomalies(folder, parts):
+        folder.mkdir()
+        stored = run.run_available(windows.signatures(as_stream(spark, folder, parts)), windows.merge_each_batch)
+        return stored.select("batch").distinct().count(), sorted(tuple(r) for r in windows.merged(stored).select(columns).collect())
+
+    split, whole = anomalies(tmp_path / "split", [rows[:1], rows[1:2], rows[2:]]), anomalies(tmp_path / "whole", [rows])
+    assert split[0] > 1 and whole[0] == 1 and split[1] == whole[1] and len(whole[1]) == 2
 
 
 def test_sessions_and_frequency(spark, tmp_path):

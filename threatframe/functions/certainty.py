@@ -32,14 +32,19 @@ def noisy_or(factor: Column) -> Column:
     return F.coalesce(1 - F.product(1 - factor), F.lit(0.0))
 
 
-def combine_group(order: list[str], factor: Column) -> Column:
-    """Aggregate for factors of any sign, folded in the given order.
+def combine_group(factor: Column) -> Column:
+    """Aggregate for factors of any sign, in any order; combined map-side, no array.
 
-    Keeps one array per group, so it is for groups of bounded size, such as the evidence of
-    one anomaly or the conditions of one rule; long same-sign groups use :func:`noisy_or`.
+    With f(x) = -ln(1 - x) for x >= 0 and ln(1 + x) below, combining is adding: f(combine(a, b)) = f(a) + f(b).
+    The ends 1 and -1 win over anything between them. Only with both of them in a group does the fold
+    depend on order; such a group is undecided and gives 0. Nulls are left out; no factor gives 0.
     """
-    rows = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], factor.alias("_cf"))))
-    return combine_array(F.transform(rows, lambda r: r["_cf"]))
+    sure = F.count_if(factor >= 1)
+    never = F.count_if(factor <= -1)
+    inner = F.when(F.abs(factor) < 1, F.when(factor >= 0, -F.log1p(-factor)).otherwise(F.log1p(factor)))
+    total = F.coalesce(F.sum(inner), F.lit(0.0))
+    back = F.when(total >= 0, -F.expm1(-total)).otherwise(F.expm1(total))
+    return F.when((sure > 0) & (never > 0), F.lit(0.0)).when(sure > 0, F.lit(1.0)).when(never > 0, F.lit(-1.0)).otherwise(back)
 
 
 def sequential(rule: Column, evidence: Column) -> Column:

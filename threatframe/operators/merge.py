@@ -36,12 +36,16 @@ def merge(findings: DataFrame, weights: dict[str, float] | None = LAYER_WEIGHTS)
     map-side, so the second, which builds the evidence array, sees at most one row per rule.
     The member events stay a table of their own, see :func:`members`.
     """
-    order = lookup(F.col("detection_layer"), LAYER_ORDER, 9)
+    return finish(partials(findings, weights), weights)
+
+
+def partials(findings: DataFrame, weights: dict[str, float] | None = LAYER_WEIGHTS) -> DataFrame:
+    """First aggregation: one row per (anomaly, layer, rule)."""
     weight = lookup(F.col("detection_layer"), weights, 1.0) if weights else F.lit(1.0)
     evidence = F.struct("rule_name", "description", "certainty", "matched_facts", "attrs", "recommendation",
                         "threat_level", "threat_score")
     first_key = F.struct(F.col("first_ts"), F.col("event_id"), F.col("description"))
-    per_rule = keyed(findings).groupBy("anomaly_id", *GROUP, "detection_layer", "rule_id").agg(
+    return keyed(findings).groupBy("anomaly_id", *GROUP, "detection_layer", "rule_id").agg(
         F.min_by(evidence, first_key).alias("ev"),
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("threat_score") * weight).alias("weighted"),
@@ -51,6 +55,19 @@ def merge(findings: DataFrame, weights: dict[str, float] | None = LAYER_WEIGHTS)
         F.min("first_ts").alias("first_ts"),
         F.min(first_key).alias("place"),
         F.max("last_ts").alias("last_ts"))
+
+
+def combine_partials(rows: DataFrame) -> DataFrame:
+    """Rows of several first aggregations, such as those of micro-batches, as one would have them."""
+    return rows.groupBy("anomaly_id", *GROUP, "detection_layer", "rule_id").agg(
+        F.min_by("ev", "place").alias("ev"), F.sum("n").alias("n"), F.sum("weighted").alias("weighted"), F.max("top").alias("top"),
+        F.product("doubt").alias("doubt"), F.max("level").alias("level"), F.min("first_ts").alias("first_ts"),
+        F.min("place").alias("place"), F.max("last_ts").alias("last_ts"))
+
+
+def finish(per_rule: DataFrame, weights: dict[str, float] | None = LAYER_WEIGHTS) -> DataFrame:
+    """Second aggregation: anomalies from rows per rule."""
+    order = lookup(F.col("detection_layer"), LAYER_ORDER, 9)
     # evidence in the order layer, time, event; the map is kept out of the sorted part
     position = F.struct(order.alias("layer_order"), "place", "rule_id", "detection_layer")
     groups = per_rule.groupBy("anomaly_id", *GROUP).agg(

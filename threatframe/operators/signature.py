@@ -14,7 +14,8 @@ from threatframe.operators.findings import finding
 FLAGS = "(?iUd)"
 
 # Words a text must hold for a signature to be possible: one of each group. They only spare the
-# regular expression, whose result decides. Signatures without an entry are always tried.
+# regular expression, whose result decides. Signatures without an entry are always tried, and so is
+# one that has the id of an entry, but another pattern than the fixed signature of that id.
 NEEDED_WORDS = {
     "SIG-AUTH-001": [["failed password for "], [" from "]],
     "SIG-AUTH-002": [["failed"], ["password"], ["login", "auth"], ["user"]],
@@ -35,6 +36,8 @@ NEEDED_WORDS = {
     "SIG-NET-002": [["/"], ["get", "post"]],
 }
 
+FIXED_PATTERNS = {s.rule_id: s.pattern for s in SIGNATURES}
+
 
 def quoted(text: str) -> str:
     """A SQL string literal."""
@@ -70,7 +73,7 @@ def event_text() -> Column:
 def hit(signature: Signature, text: str = "_text", fold: str = "_fold") -> str:
     """SQL condition: the signature is found in column ``text``, whose folded form is ``fold``."""
     tests = ["(" + " OR ".join(f"contains({fold}, {quoted(w)})" for w in words) + ")"
-             for words in NEEDED_WORDS.get(signature.rule_id, [])]
+             for words in (NEEDED_WORDS.get(signature.rule_id, []) if FIXED_PATTERNS.get(signature.rule_id) == signature.pattern else [])]
     return " AND ".join([*tests, f"{text} RLIKE {quoted(FLAGS + signature.pattern)}"])
 
 

@@ -732,7 +732,7 @@ SELECT o_custkey, round(arg_max(acc, n), 6) + 0.0 AS combined FROM fold GROUP BY
 def _(spark, sf):
     factor = certainty.clamp(F.col("o_totalprice") / 250000 - 1, -0.9, 0.9)
     return table(spark, sf, "orders").groupBy("o_custkey").agg(
-        (F.round(certainty.combine_group(["o_orderdate", "o_orderkey"], factor), 6) + 0.0).alias("combined"))
+        (F.round(certainty.combine_group(factor), 6) + 0.0).alias("combined"))
 
 
 @query("cf_weighted", """SELECT l_suppkey, round(greatest(-1, least(1, sum((l_discount * 20 - 1) * l_quantity) / sum(l_quantity))), 6) + 0.0 AS weighted FROM lineitem GROUP BY l_suppkey""")
@@ -1129,7 +1129,7 @@ SELECT anomaly_id, anomaly_type, n_members, round(composite, 6) AS threat_score,
 def _(spark, sf):
     from threatframe.streaming import run, windows
 
-    rows = run.run_available(windows.signatures(_stream(spark, sf)), windows.merge_each_batch)
+    rows = windows.merged(run.run_available(windows.signatures(_stream(spark, sf)), windows.merge_each_batch))
     return rows.select("anomaly_id", "anomaly_type", "n_members", r6("threat_score", "threat_score"), r6("certainty", "certainty"))
 
 
@@ -1209,14 +1209,14 @@ def _(spark, sf):
     return syslog_events(_ingest_lines(spark, sf, element)).events.select(us("ts", "ts_us"), "message", a["severity"].alias("severity"), a["hostname"].alias("hostname"))
 
 
-@query("ingest_generic_xml", with_events() + "SELECT event_id, ts_us, source_ip, user_id, service, event_type FROM le")
+@query("ingest_generic_xml", with_events() + "SELECT event_id, ts_us, source_ip, '00' || k || '.10' AS user_id, service, event_type FROM le")
 def _(spark, sf):
     from threatframe.sources.xml_logs import generic_events
 
-    element = F.concat(F.lit("<Log><EventID>e"), "event_id", F.lit("</EventID><Timestamp>"), _iso("ts"), F.lit("</Timestamp><SourceIP>"), "source_ip", F.lit("</SourceIP><UserID>"), "user_id",
-                       F.lit("</UserID><Service>"), "service", F.lit("</Service><EventType>"), "event_type", F.lit("</EventType></Log>"))
+    element = F.concat(F.lit("<Log><EventID>"), "event_id", F.lit("</EventID><Timestamp>"), _iso("ts"), F.lit("</Timestamp><SourceIP>"), "source_ip", F.lit("</SourceIP><UserID>00"), F.col("k").cast("string"),
+                       F.lit(".10</UserID><Service>"), "service", F.lit("</Service><EventType>"), "event_type", F.lit("</EventType></Log>"))
     return generic_events(_ingest_lines(spark, sf, element)).events.select(
-        F.substring("event_id", 2, 40).alias("event_id"), us("ts", "ts_us"), "source_ip", "user_id", "service", "event_type")
+        "event_id", us("ts", "ts_us"), "source_ip", "user_id", "service", "event_type")
 
 
 @query("ingest_quality", with_events() + "SELECT 'cef' AS source_format, count(*) FILTER (k % 4 <> 0) AS parsed, count(*) FILTER (k % 4 = 0) AS errors, round(count(*) FILTER (k % 4 <> 0) / count(*), 6) AS success_rate FROM le")

@@ -16,6 +16,8 @@ OPTIONS = {"mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorrupt
 WINDOWS = ("System struct<EventID: string, TimeCreated: struct<_SystemTime: string, _VALUE: string>, Level: string, "
            "Computer: string>, EventData struct<Data: array<struct<_Name: string, _VALUE: string>>>, "
            "RenderingInfo struct<Message: string>, _corrupt_record string")
+# a private-use character, taken out of the values again
+MARK = "\ue000"
 SYSLOG_TAGS = {"timestamp": ["Timestamp", "timestamp"], "message": ["Message", "message", "msg"],
                "severity": ["Severity", "severity", "priority"], "facility": ["Facility", "facility"],
                "hostname": ["Hostname", "hostname", "host"]}
@@ -143,11 +145,18 @@ def named_values(schema: T.StructType, column: str) -> list[Column]:
     return [F.filter(F.coalesce(a, F.array().cast("array<struct<key:string,value:string>>")), lambda e: e["key"].isNotNull()) for a in found]
 
 
+def marked(value: Column) -> Column:
+    """The element with a mark before every text and attribute value, so that a parser which infers types leaves them as text."""
+    body = F.regexp_replace(value, r"(?s)<\?.*?\?>", "")
+    body = F.regexp_replace(body, r"(?s)>(\s*)([^<\s][^<]*)<", f">$1{MARK}$2<")
+    return F.regexp_replace(F.regexp_replace(body, r"<!\[CDATA\[", f"<![CDATA[{MARK}"), r"(\s[\w:.-]+\s*=\s*[\"'])", f"$1{MARK}")
+
+
 def generic_events(rows: DataFrame, column: str = "value", schema: T.StructType | None = None) -> Ingest:
     """Events from a column of elements of any shape.
 
-    With ``schema`` (see :func:`infer_schema`) values keep their exact text. Without it the
-    element is parsed to a variant, which reads numbers as numbers.
+    Values keep the text they have. With ``schema`` (see :func:`infer_schema`) the element is parsed to
+    that shape, without it to a variant whose leaves are text.
     """
     rows = rows.select(F.col(column).alias("value"))
     if schema is not None:
@@ -160,9 +169,10 @@ def generic_events(rows: DataFrame, column: str = "value", schema: T.StructType
     else:
         check = F.from_xml("value", "_corrupt_record string", OPTIONS)
         parsed = rows.withColumn("_bad", check["_corrupt_record"].isNotNull() | check.isNull()).withColumn(
-            "x", F.expr("CASE WHEN NOT _bad THEN from_xml(value, 'variant', map('ignoreNamespace', 'true')) END"))
+            "x", F.when(~F.col("_bad"), F.from_xml(marked(F.col("value")), F.lit("variant"), {"ignoreNamespace": "true"})))
         bad = F.col("_bad")
-        flat = F.transform_keys(flatten(F.col("x"), separator="_"), lambda k, v: F.regexp_replace(F.replace(k, F.lit("__"), F.lit("_")), "_VALUE$|^_", ""))
+        leaves = F.transform_values(flatten(F.col("x"), separator="_"), lambda k, v: F.replace(v, F.lit(MARK), F.lit("")))
+        flat = F.transform_keys(leaves, lambda k, v: F.regexp_replace(F.replace(k, F.lit("__"), F.lit("_")), "_VALUE$|^_", ""))
     rejected = parsed.filter(bad).select(F.lit("xml_generic").alias("source"), "value")
     good = parsed.filter(~bad).withColumn("_flat", flat)
     lower = F.transform_keys("_flat", lambda k, v: F.lower(F.element_at(F.split(k, "_"), -1)))

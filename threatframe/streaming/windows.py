@@ -84,11 +84,17 @@ def sessions(events: DataFrame, seconds: int = SESSION_SECONDS, delay: str = DEL
 
 
 def merge_each_batch(findings: DataFrame, out: str, checkpoint: str):
-    """Merge and score the findings of every micro-batch and store them under its number.
+    """Store the mergeable rows (one per anomaly, layer and rule) of every micro-batch under its number.
 
-    A batch that is retried overwrites its own folder, so the result holds each batch once.
+    A batch that is retried overwrites its own folder, so each batch counts once. :func:`merged` finishes
+    them: an anomaly seen in several batches is one row, with the score it has in a single batch.
     """
     def write(batch: DataFrame, number: int) -> None:
-        merge.penalise_missing(merge.rescore(merge.merge(batch))).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        merge.partials(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return findings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def merged(partials: DataFrame) -> DataFrame:
+    """Anomalies over the stored rows of all batches."""
+    return merge.penalise_missing(merge.rescore(merge.finish(merge.combine_partials(partials.drop("batch")))))

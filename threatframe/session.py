@@ -65,11 +65,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as the table at ``path``. Its shuffle files go when the table is complete, and not only when the driver collects garbage."""
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write rows to a table in the shared folder and read it back.
 
     For rows many plans read: unlike a checkpoint, each reader then scans only its columns.
     """
-    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}")
+
+
+class Scratch:
+    """Named tables of one job in the shared folder, each dropped once all that is made from it is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        return written(df, f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables. Only for tables that no plan still to be run reads: a lost task of such a plan could not be repeated."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

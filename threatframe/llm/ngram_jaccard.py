@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from threatframe.llm.common import id_and_text, slices, unused
 from threatframe.llm.graph import components
 from threatframe.llm.url_filter import block_and_masks, build_filter
-from threatframe.session import stage
+from threatframe.session import Scratch, stage
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LONGEST, VERIFY_COST = 4, 10.0
@@ -169,59 +169,68 @@ def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, sta
          marked: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (if ``marked``, also the text's hash) of every row; documents link at 100 * shared >= percent * united n-grams."""
     texts = id_and_text(docs, id_col, text_col).withColumns({"mark": F.xxhash64("text"), "key": F.xxhash64("doc_id")})
+    tables = Scratch(docs.sparkSession)
     light = stage(shingled(texts, n, 0))
     sets = shingled(texts, n, COUNTED).where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("head").alias("tokens"))
-    sets = stage(sets.withColumns({"uid": F.monotonically_increasing_id(), "k": F.size("tokens")}))
+    sets = tables.write("sets", sets.withColumns({"uid": F.monotonically_increasing_id(), "k": F.size("tokens")}))
+    names = tables.write("names", sets.select("uid", "n", "k", "digest", "first_id"))
 
     # frequencies within the counted third, and the n-grams of it that several sets have
     entries = sets.select(F.explode("tokens").alias("h"))
-    several = stage(entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumn("rank", F.when(F.col("df") >= frequent, 2).otherwise(0)))
+    several = tables.write("several", entries.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumn("rank", F.when(F.col("df") >= frequent, 2).otherwise(0)))
     entry = F.struct("h", "df", "rank", "place")
-    known = stage(shared_places(sets, "tokens", several).groupBy("uid").agg(F.collect_list(entry).alias("known"), F.sum(F.when(F.col("rank") == 2, 1).otherwise(0)).alias("last")))
+    known = tables.write("known", shared_places(sets, "tokens", several).groupBy("uid").agg(F.collect_list(entry).alias("known"), F.sum(F.when(F.col("rank") == 2, 1).otherwise(0)).alias("last")))
+    tables.drop("sets", "several")
     none = F.array().cast("array<struct<h:bigint,df:bigint,rank:int,place:bigint>>")
-    joined = sets.select("uid", "n", "k", "digest", "first_id").join(known, "uid", "left")
+    joined = names.join(known, "uid", "left")
     needed = F.col("n") - F.ceil(F.col("n") * percent / 100) + F.least(F.lit(LONGEST), F.ceil(F.col("n") * percent / 100))
     inside = F.col("k") - F.coalesce("last", F.lit(0)) >= needed
     enough = joined.where(inside & F.col("known").isNotNull())
-    short = stage(joined.where(~inside).select("uid", "n", "digest", "first_id", F.coalesce("known", none).alias("known")))
+    short = tables.write("short", joined.where(~inside).select("uid", "n", "digest", "first_id", F.coalesce("known", none).alias("known")))
 
     # the others in full
-    full = stage(full_sets(texts, short.select("uid", "digest", "first_id"), n))
+    full = tables.write("full", full_sets(texts, short.select("uid", "digest", "first_id"), n))
     bound = int(COUNTED * 2**63) * 2 - 2**63
     beyond = full.select(F.explode("tokens").alias("h")).where(unsigned(F.col("h")) >= F.lit(bound))
     again = beyond.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumn("rank", F.when(F.col("df") >= frequent, 2).otherwise(1))
-    more = shared_places(full, "tokens", stage(again)).groupBy("uid").agg(F.collect_list(entry).alias("more"))
+    more = shared_places(full, "tokens", tables.write("again", again)).groupBy("uid").agg(F.collect_list(entry).alias("more"))
     lacking = short.join(more, "uid", "left").select("uid", "n", F.col("n").alias("k"), F.concat("known", F.coalesce("more", none)).alias("known")).where("size(known) > 0")
-    lists = stage(postings(enough, percent).unionByName(postings(lacking, percent)))
+    lists = tables.write("postings", postings(enough, percent).unionByName(postings(lacking, percent)))
+    tables.drop("known", "short", "full", "again")
     several = lists.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
-    lists = stage(lists.join(several, "h"))
+    lists = tables.write("lists-0", lists.join(several, "h").withColumn("c", F.col("uid")))
+    tables.drop("postings")
 
-    names = sets.select("uid", "digest", "first_id")
-    classed, links = None, None
+    links, classed = None, None
     for turn in range(stars + 1):
-        now = lists.withColumn("c", F.col("uid")) if classed is None else stage(lists.join(classed.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid")).drop("component"))
         centre = F.max(F.struct(F.col("central"), (-F.col("uid")).alias("uid"), "n", "l", "c"))
-        several = stage(now.groupBy("h").agg(centre.alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h", "p"))
+        several = tables.write("centres", lists.groupBy("h").agg(centre.alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h", "p"))
         if turn < stars:
-            pairs = now.join(several, "h").select(F.col("uid").alias("x"), "n", "l", "c", (-F.col("p.uid")).alias("y"), F.col("p.n").alias("m"), F.col("p.l").alias("k"), F.col("p.c").alias("d"))
+            pairs = lists.join(several, "h").select(F.col("uid").alias("x"), "n", "l", "c", (-F.col("p.uid")).alias("y"), F.col("p.n").alias("m"), F.col("p.l").alias("k"), F.col("p.c").alias("d"))
         else:
-            still = stage(now.join(several.select("h"), "h", "left_semi"))
-            left = still.select("h", F.col("uid").alias("x"), "n", "l", "c")
+            still = tables.write("still", lists.join(several.select("h"), "h", "left_semi").select("h", "uid", "n", "l", "c"))
             right = still.select("h", F.col("uid").alias("y"), F.col("n").alias("m"), F.col("l").alias("k"), F.col("c").alias("d"))
-            pairs = left.join(right, "h").where("x < y")
+            pairs = still.withColumnRenamed("uid", "x").join(right, "h").where("x < y")
         pairs = pairs.where("c <> d").where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
         pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"), F.least(F.first("l"), F.first("k")).alias("asked"))
-        pairs = stage(pairs.where("shared >= asked").select("x", "y", "n", "m"))
+        pairs = tables.write("pairs", pairs.where("shared >= asked").select("x", "y", "n", "m"))
         ids = pairs.select(F.col("x").alias("uid")).unionByName(pairs.select(F.col("y").alias("uid"))).distinct()
-        tokens = stage(full_sets(texts, stage(names.join(ids, "uid")), n))
+        tokens = tables.write("tokens", full_sets(texts, tables.write("wanted", names.select("uid", "digest", "first_id").join(ids, "uid")), n))
         new = verify(pairs, tokens, percent)
-        links = stage(new if links is None else links.unionByName(new))
+        links = tables.write(f"links-{turn}", new if links is None else links.unionByName(new))
+        tables.drop("pairs", "wanted", "tokens", "still", f"links-{turn - 1}")
         classed = stage(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
-
-    members = names.join(classed.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid"))
-    members = stage(members.select("digest", "first_id", "c"))
-    least = stage(members.groupBy("c").agg(F.min("first_id").alias("component_id")))
+        if turn < stars:
+            # classes only grow: a list that is one class by now stays one and need not be carried on
+            named = lists.drop("c").join(several.select("h"), "h", "left_semi").join(classed.withColumnRenamed("node", "uid"), "uid", "left")
+            lists = tables.write(f"lists-{turn + 1}", named.withColumn("c", F.coalesce("component", "uid")).drop("component"))
+        tables.drop(f"lists-{turn}", "centres")
+
+    members = names.select("uid", "digest", "first_id").join(classed.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid"))
+    members = tables.write("members", members.select("digest", "first_id", "c"))
+    least = tables.write("least", members.groupBy("c").agg(F.min("first_id").alias("component_id")))
     by_digest = stage(members.join(least, "c").select("digest", "component_id"))
+    tables.drop("names", f"links-{stars}", "members", "least")
     out = light.join(by_digest, "digest", "left")
     return out.select("doc_id", *(["mark"] if marked else []), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 

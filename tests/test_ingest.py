@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,44 @@ def test_equal_records_share_an_id_whatever_the_field_order(spark):
     assert json_events(df).events.select("event_id").distinct().count() == 2
 
 
+def test_nothing_is_lost_silently(spark, tmp_path):
+    junk = ['{"user":"a"} trailing', '{"user":"a"}] {}', '{"user":"a"},{"user":"b"}', '{"user":"a"}{"user":"b"}', '[{"user":"a"}] x']
+    got = read_json(spark, write(tmp_path, "junk.json", "\n".join([*junk, '{"user":"ok"}  '])))
+    assert [r.user_id for r in got.events.collect()] == ["ok"] and sorted(r.value for r in got.rejected.collect()) == sorted(junk)
+    broken = write(tmp_path, "broken.json", "\n".join(["{broken", *[json.dumps({"user": f"u{i}"}) for i in range(4)]]))
+    got = read_json(spark, broken)
+    assert got.events.count() == 4 and [r.value for r in got.rejected.collect()] == ["{broken"]
+
+
+def test_layout_is_decided_for_each_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = "\n".join(json.dumps({"user": f"l{i}"}) for i in range(4))
+    array = "[\n" + "\n,\n".join(json.dumps({"user": f"a{i}"}) for i in range(4)) + "\n]"
+    for name, text in {"lines.json": lines, "array one.json": array, "flat.json": '[{"user":"f0"}]', "object.json": '{\n"user": "o0"\n}', "empty.json": "", "odd.json": '{"user":"x0"}\n}\n[\n'}.items():
+        write(tmp_path / "in", name, text)
+    got = read_json(spark, str(tmp_path / "in"))
+    assert sorted(r.user_id for r in got.events.collect()) == sorted([f"l{i}" for i in range(4)] + [f"a{i}" for i in range(4)] + ["f0", "o0", "x0"])
+    assert sorted(r.value for r in got.rejected.collect()) == ["[", "}"]
+
+
+def test_deep_records_keep_all_keys(spark):
+    text = '{"a":' * 12 + '"x"' + "}" * 12
+    row = json_events(spark.createDataFrame([(text,), ('{"m": "[{[{ text", "n": {}}',)], "value string")).events.collect()
+    assert {k: v for r in row for k, v in r.attributes.items()} == {".".join("a" * 12): "x", "m": "[{[{ text"}
+
+
+def test_xml_formats_are_decided_for_each_file(spark, tmp_path):
+    (tmp_path / "xml").mkdir()
+    for name, text in {"win one.xml": f"<Events>{WIN}</Events>", "sys.xml": "<syslog><Entry><Timestamp>2024-01-06 10:00:00</Timestamp><Message>m1</Message></Entry></syslog>",
+                       "own.xml": '<Logs><Log UserID="u1"/><Log UserID="u2" />\n<Log><UserID>u3</UserID></Log><Log UserID="u4"/></Logs>',
+                       "prefixed.xml": "<e:Events>" + re.sub(r"<(/?)(?=\w)", r"<\1e:", WIN).replace("xmlns=", "xmlns:e=") + "</e:Events>", "junk.xml": "no tags"}.items():
+        write(tmp_path / "xml", name, text)
+    got = read_logs(spark, str(tmp_path / "xml"), "xml")
+    assert sorted((r.source_format, r.user_id) for r in got.events.select("source_format", "user_id").fillna("").collect()) == sorted(
+        [("xml_windows_event", "bob"), ("xml_windows_event", "bob"), ("xml_syslog", ""), *[("xml_generic", f"u{i}") for i in range(1, 5)]])
+    assert [r.value for r in got.rejected.collect()] == ["no tags"]
+
+
 def test_flatten_depth_loses_nothing(spark):
     df = spark.createDataFrame([('{"a": {"b": {"c": {"d": 1}}}, "e": {}, "f": []}',)], "value string").select(F.try_parse_json("value").alias("v"))
     assert df.select(flatten(F.col("v"), 1)).first()[0] == {"a.b": '{"c":{"d":1}}'}

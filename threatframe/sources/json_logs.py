@@ -17,12 +17,33 @@ def path_get(record: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(record, "$" + steps, kind)
 
 
-def flatten(record: Column, depth: int = 6, separator: str = ".") -> Column:
+def strict(text: Column) -> Column:
+    """The text as a variant if it is one JSON value and nothing else, or null.
+
+    Parsing alone ends with the first value and ignores what follows. Here the text is the first item of an array whose second
+    is the text's hash; that one is only found where the value ends with the text.
+    """
+    mark = F.xxhash64(text)
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
+    return F.when(F.try_variant_get(pair, "$[1]", "bigint") == mark, F.try_variant_get(pair, "$[0]", "variant"))
+
+
+def levels(text: Column, *openings: str) -> Column:
+    """A bound of the nesting depth: how many opening characters there are, 1 at least."""
+    rest = text
+    for opening in openings:
+        rest = F.replace(rest, F.lit(opening), F.lit(""))
+    return F.greatest(F.lit(1), F.length(text) - F.length(rest))
+
+
+def flatten(record: Column, depth: int | Column | None = None, separator: str = ".") -> Column:
     """Leaves of a variant object as a map from dotted and indexed keys (``a.b``, ``a[0].c``) to text.
 
-    Arrays directly inside arrays and what lies deeper than ``depth`` stay as JSON text, so
-    nothing is lost. One expression per level, no shuffle.
+    Arrays directly inside arrays and what lies deeper than ``depth`` (default: nothing does) stay as JSON text, so
+    nothing is lost. One expression, no shuffle.
     """
+    depth = levels(record.cast("string"), "{", "[") if depth is None else F.lit(depth)
+
     def entries(value, prefix, parent_is_array):
         objects = F.try_variant_get(value, "$", "map<string,variant>")
         arrays = F.try_variant_get(value, "$", "array<variant>")
@@ -37,15 +58,22 @@ def flatten(record: Column, depth: int = 6, separator: str = ".") -> Column:
         e["key"].alias("key"), e["value"].alias("value"), F.lit(False).alias("in_array")))
     kind = "array<struct<key: string, value: variant, in_array: boolean>>"
 
-    def open_level(entries_, _):
-        # most records are flat or nearly so: a level is only opened where there is one
-        nested = F.exists(entries_, lambda e: F.substring(e["value"].cast("string"), 1, 1).isin("{", "["))
-        opened = F.flatten(F.transform(entries_, lambda e: entries(e["value"], e["key"], e["in_array"])))
-        return F.when(nested, opened.cast(kind)).otherwise(entries_)
+    def opens(e):
+        # the first character spares most values the look inside; text may begin like an object
+        found = F.try_variant_get(e["value"], "$", "map<string,variant>").isNotNull() | (
+            ~e["in_array"] & F.try_variant_get(e["value"], "$", "array<variant>").isNotNull())
+        return F.substring(e["value"].cast("string"), 1, 1).isin("{", "[") & found
+
+    def state(entries_):
+        return F.struct(entries_.alias("entries"), F.coalesce(F.exists(entries_, opens), F.lit(False)).alias("nested"))
+
+    def open_level(at, _):
+        # most records are flat or nearly so: a level is only opened where there is one, and nothing is done after the last
+        opened = F.flatten(F.transform(at["entries"], lambda e: entries(e["value"], e["key"], e["in_array"])))
+        return F.when(at["nested"], state(opened.cast(kind))).otherwise(at)
 
     # a loop inside the expression keeps it small: each level refers to the one before it three times
-    if depth:
-        top = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), top.cast(kind), open_level)
+    top = F.aggregate(F.sequence(F.lit(1), depth), state(top.cast(kind)), open_level)["entries"]
     return F.map_from_entries(F.transform(top, lambda e: F.struct(e["key"].alias("key"), e["value"].cast("string").alias("value"))))
 
 
@@ -56,15 +84,16 @@ def unwrap(attributes: Column) -> Column:
 
 
 def json_events(lines: DataFrame, column: str = "value", schema: dict[str, str] | None = None, wrapped: bool = False,
-                source_format: str = "json", depth: int = 6) -> Ingest:
+                source_format: str = "json", depth: int | None = None) -> Ingest:
     """Events from a column of JSON objects as text, on a batch or a stream.
 
-    ``schema`` maps standard fields (timestamp, message, user, source_ip) to paths tried first.
+    ``schema`` maps standard fields (timestamp, message, user, source_ip) to paths tried first. Text that is not one object
+    and nothing else is rejected.
     """
     schema = schema or {}
     # through a generator, so that the filters below use the parsed record instead of parsing again
     rows = lines.filter(F.trim(column) != "").select(F.col(column).alias("value"), F.explode_outer(
-        F.array(F.try_parse_json(column))).alias("record"))
+        F.array(strict(F.col(column)))).alias("record"))
     # a null member map means the text is no JSON object
     is_record = F.try_variant_get("record", "$", "map<string,variant>").isNotNull()
     rejected = rows.filter(~is_record).select(F.lit(source_format).alias("source"), "value")
@@ -78,7 +107,7 @@ def json_events(lines: DataFrame, column: str = "value", schema: dict[str, str]
     found = [F.when(F.try_variant_get("record", path, "string").isNotNull(), F.struct(
         F.try_variant_get("record", path, "string").alias("text"),
         F.schema_of_variant(F.try_variant_get("record", path, "variant")).alias("kind"))) for path in paths]
-    rows = rows.withColumn("_ts", F.coalesce(*found)).withColumn("_flat", flatten(F.col("record"), depth))
+    rows = rows.withColumn("_ts", F.coalesce(*found)).withColumn("_flat", flatten(F.col("record"), levels(F.col("value"), "{", "[") if depth is None else depth))
     if wrapped:
         rows = rows.withColumn("_flat", unwrap(F.col("_flat")))
     flat = F.col("_flat")
@@ -111,24 +140,48 @@ def records(documents: DataFrame, column: str = "value", member: str | None = No
     Elements keep the text they have in the file, including the order of their fields.
     """
     text = F.col(column)
-    inner = F.get_json_object(text, f"$.{member}") if member else F.lit(None).cast("string")
+    inner = F.when(strict(text).isNotNull(), F.get_json_object(text, f"$.{member}")) if member else F.lit(None).cast("string")
     body = F.coalesce(inner, text)
-    parts = F.when(F.ltrim(body).startswith("["), F.from_json(body, "array<string>"))
+    # an array with anything after it is left whole, and rejected as a record
+    parts = F.when(F.ltrim(body).startswith("[") & strict(body).isNotNull(), F.from_json(body, "array<string>"))
     return documents.select(F.explode(F.coalesce(parts, F.array(body))).alias("value"))
 
 
+def document_files(spark: SparkSession, path: str) -> list[str]:
+    """Files that are one JSON value over several lines; all others hold one value per line.
+
+    A line that is a value of its own inside such a file is followed by a line that begins with a comma or a closing bracket, and the file
+    begins with a line that isn't complete. Only files where that can be are read as a whole, and there the whole decides.
+    """
+    begin, name = F.substring(F.trim("value"), 1, 1), F.col("_metadata.file_path")
+    lines = spark.read.text(path).select("value", name.alias("file")).filter(F.trim("value") != "")
+    lines = lines.select("file", begin.alias("begin"), strict(F.col("value")).isNotNull().alias("whole"))
+    seen = lines.groupBy("file").agg(
+        F.bool_or(F.col("begin").isin("{", "[") & ~F.col("whole")).alias("open"), F.bool_or("whole").alias("whole"),
+        F.bool_or(F.col("begin").isin(",", "]", "}")).alias("closing"))
+    possible = [row["file"] for row in seen.filter(F.col("open") & (F.col("closing") | ~F.col("whole"))).select("file").collect()]
+    if not possible:
+        return []
+    texts = spark.read.text(path, wholetext=True).filter(name.isin(possible)).filter(strict(F.col("value")).isNotNull())
+    return [row["file"] for row in texts.select(name.alias("file")).collect()]
+
+
 def read_json(spark: SparkSession, path: str, layout: str = "auto", schema: dict[str, str] | None = None,
               wrapped: bool = False, flavour: str | None = None) -> Ingest:
     """Events from JSON files.
 
     ``layout`` is ``lines`` (one object per line, files are split), ``document`` (a file is one
-    array or object and is read as a whole) or ``auto``: lines if the first non-blank line is a
-    complete value. ``flavour`` is None, ``cloudtrail`` or ``windows``.
+    array or object and is read as a whole) or ``auto``: decided for each file, see :func:`document_files`.
+    ``flavour`` is None, ``cloudtrail`` or ``windows``.
     """
+    name = F.col("_metadata.file_path")
     if layout == "auto":
-        head = spark.read.text(path).filter(F.trim("value") != "").select(F.try_parse_json("value").isNotNull().alias("ok")).first()
-        layout = "lines" if head is None or head["ok"] else "document"
-    texts = spark.read.text(path, wholetext=layout == "document")
+        whole = document_files(spark, path)
+        texts = spark.read.text(path).filter(~name.isin(whole)) if whole else spark.read.text(path)
+        if whole:
+            texts = texts.unionByName(spark.read.text(path, wholetext=True).filter(name.isin(whole)))
+    else:
+        texts = spark.read.text(path, wholetext=layout == "document")
     member = "Records" if flavour == "cloudtrail" else None
     rows = records(texts.filter(F.trim("value") != ""), member=member)
     return json_events(rows, schema=schema or SCHEMAS.get(flavour or ""), wrapped=wrapped,

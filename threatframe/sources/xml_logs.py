@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from threatframe.config import XML_EVENT_TAGS
 from threatframe.operators.typing import windows_event_type
-from threatframe.sources.common import Ingest, as_events, epoch_text, text_timestamp
-from threatframe.sources.json_logs import flatten
+from threatframe.sources.common import EVENT_SCHEMA, Ingest, as_events, epoch_text, text_timestamp
+from threatframe.sources.json_logs import flatten, levels
 
 OPTIONS = {"mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record",
            "inferSchema": "false"}
@@ -23,12 +24,17 @@ SYSLOG_TAGS = {"timestamp": ["Timestamp", "timestamp"], "message": ["Message", "
                "hostname": ["Hostname", "hostname", "host"]}
 
 
-def xml_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
-    """Elements with the given tag, as text. Files are cut at closing tags, so large files are read in parallel."""
+def xml_records(spark: SparkSession, path: str, tag: str, files: list[str] | None = None) -> DataFrame:
+    """Elements with the given tag (with its prefix, if it has one), as text. Files are cut at closing tags, so large files
+    are read in parallel; elements that close themselves are taken out of the pieces first. ``files`` limits the files read."""
     pieces = spark.read.text(path, lineSep=f"</{tag}>")
-    start = F.regexp_extract("value", rf"(?s)<{re.escape(tag)}(?=[\s/>]).*", 0)
-    return pieces.select(start.alias("_start")).filter(F.col("_start") != "").select(
-        F.concat("_start", F.lit(f"</{tag}>")).alias("value"))
+    if files is not None:
+        pieces = pieces.filter(F.col("_metadata.file_path").isin(files))
+    empty = rf"""<{re.escape(tag)}(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*)?/>"""
+    start = F.regexp_extract(F.regexp_replace("value", empty, ""), rf"(?s)<{re.escape(tag)}(?=[\s>]).*", 0)
+    open_ = F.when(start != "", F.array(F.concat(start, F.lit(f"</{tag}>")))).otherwise(F.array().cast("array<string>"))
+    alone = F.regexp_extract_all("value", F.lit(empty), F.lit(0))
+    return pieces.select(F.explode(F.concat(alone, open_)).alias("value"))
 
 
 def parse_once(rows: DataFrame, parsed: Column) -> DataFrame:
@@ -171,7 +177,7 @@ def generic_events(rows: DataFrame, column: str = "value", schema: T.StructType
         parsed = rows.withColumn("_bad", check["_corrupt_record"].isNotNull() | check.isNull()).withColumn(
             "x", F.when(~F.col("_bad"), F.from_xml(marked(F.col("value")), F.lit("variant"), {"ignoreNamespace": "true"})))
         bad = F.col("_bad")
-        leaves = F.transform_values(flatten(F.col("x"), separator="_"), lambda k, v: F.replace(v, F.lit(MARK), F.lit("")))
+        leaves = F.transform_values(flatten(F.col("x"), levels(F.col("value"), "<"), separator="_"), lambda k, v: F.replace(v, F.lit(MARK), F.lit("")))
         flat = F.transform_keys(leaves, lambda k, v: F.regexp_replace(F.replace(k, F.lit("__"), F.lit("_")), "_VALUE$|^_", ""))
     rejected = parsed.filter(bad).select(F.lit("xml_generic").alias("source"), "value")
     good = parsed.filter(~bad).withColumn("_flat", flat)
@@ -205,47 +211,70 @@ def _nested(data_type: T.DataType) -> str:
     return "string"
 
 
-def infer_schema(spark: SparkSession, path: str, tag: str) -> T.StructType:
+def infer_schema(spark: SparkSession, path: str, tag: str, files: list[str] | None = None) -> T.StructType:
     """Shape of the elements with this tag, all leaves as text (one distributed pass)."""
+    if files is not None:
+        path = [unquote(name) for name in files]
     return spark.read.option("rowTag", tag).option("inferSchema", "false").option("ignoreNamespace", "true").xml(path).schema
 
 
-def line_events(spark: SparkSession, path: str) -> Ingest:
+def line_events(spark: SparkSession, path: str, files: list[str] | None = None) -> Ingest:
     """Events from files with one element per line; other lines are skipped."""
-    lines = spark.read.text(path).select(F.trim("value").alias("value")).filter(F.col("value").startswith("<"))
-    return generic_events(lines)
-
-
-def root_of(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """Root tag, and whether the first line is a complete element of its own."""
-    opening = F.regexp_extract("value", r"<([A-Za-z_][\w:.-]*)", 1)
-    row = spark.read.text(path).select("value", opening.alias("tag")).filter(F.col("tag") != "").first()
-    if row is None:
-        return "", False
-    line = re.sub(r"^\s*<\?.*?\?>", "", row["value"]).strip()
-    whole = line.endswith(f"</{row['tag']}>") or line.endswith("/>")
-    return row["tag"], whole
-
-
-def read_xml(spark: SparkSession, path: str, kind: str = "auto", tag: str | None = None) -> Ingest:
-    """Events from XML files. ``kind``: windows, syslog, generic, lines, or auto by the root tag."""
+    lines = spark.read.text(path)
+    if files is not None:
+        lines = lines.filter(F.col("_metadata.file_path").isin(files))
+    return generic_events(lines.select(F.trim("value").alias("value")).filter(F.col("value").startswith("<")))
+
+
+def file_kinds(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file: its root tag, whether the root's line is a complete element, how many lines begin with a tag, and for each
+    tag that events can have the name it has there (with its prefix), or the empty text. One pass."""
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    tag = F.regexp_extract("value", r"<([A-Za-z_][\w:.-]*)", 1)
+    line = F.trim(F.regexp_replace("value", r"^\s*<\?.*?\?>", ""))
+    first = F.min_by(F.struct(tag.alias("tag"), (line.rlike("^<[^<]*/>$") | line.endswith(F.concat(F.lit("</"), tag, F.lit(">")))).alias("whole")),
+                     F.when(tag != "", F.col("place")))
+    names = [F.max(F.regexp_extract("value", rf"<((?:[\w.-]+:)?{t})(?:[\s/>]|$)", 1)).alias(f"tag_{t}") for t in dict.fromkeys(("Event", "Entry", *XML_EVENT_TAGS))]
+    begins = F.sum(F.trim("value").startswith("<").cast("int")).alias("begins")
+    return lines.groupBy("file").agg(first.alias("root"), begins, *names)
+
+
+def kind_of(row, kind: str, tag: str | None) -> tuple[str, str]:
+    """Kind and element tag of a file, from its row of :func:`file_kinds`; what is given (not ``auto``, not None) stays."""
+    root, whole_line = (row["root"]["tag"], row["root"]["whole"]) if row["root"] else ("", False)
     if kind == "auto":
-        root, whole_line = root_of(spark, path)
         if root.endswith("Event") or "Events" in root:
             kind = "windows"
         elif "syslog" in root.lower() or root.endswith("Envelope"):
             kind = "syslog"
         else:
-            more = spark.read.text(path).filter(F.trim("value").startswith("<")).limit(2).count() > 1
-            kind = "lines" if whole_line and more else "generic"
-    if kind == "windows":
-        return windows_events(xml_records(spark, path, tag or "Event"))
-    if kind == "syslog":
-        return syslog_events(xml_records(spark, path, tag or "Entry"))
+            kind = "lines" if whole_line and row["begins"] > 1 else "generic"
     if kind == "lines":
-        return line_events(spark, path)
-    if tag is None:
-        text = spark.read.text(path)
-        present = text.agg(*[F.max(F.col("value").rlike(rf"<{t}[\s/>]")).alias(t + str(i)) for i, t in enumerate(XML_EVENT_TAGS)]).first()
-        tag = next((t for t, there in zip(XML_EVENT_TAGS, present) if there), None) or root_of(spark, path)[0]
-    return generic_events(xml_records(spark, path, tag), schema=infer_schema(spark, path, tag))
+        return kind, ""
+    likely = {"windows": ["Event"], "syslog": ["Entry"]}.get(kind, XML_EVENT_TAGS)
+    return kind, tag or next((row[f"tag_{t}"] for t in likely if row[f"tag_{t}"]), likely[0] if kind != "generic" else root)
+
+
+def read_xml(spark: SparkSession, path: str, kind: str = "auto", tag: str | None = None) -> Ingest:
+    """Events from XML files. ``kind``: windows, syslog, generic, lines, or auto by the root tag of each file. A file without a tag has no events; its lines are rejected."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in file_kinds(spark, path).collect():
+        groups.setdefault(kind_of(row, kind, tag), []).append(row["file"])
+    parts = []
+    for (of, name), files in sorted(groups.items()):
+        if of == "lines":
+            parts.append(line_events(spark, path, files))
+        elif not name:
+            junk = spark.read.text(path).filter(F.col("_metadata.file_path").isin(files)).filter(F.trim("value") != "")
+            parts.append(Ingest(spark.createDataFrame([], EVENT_SCHEMA), junk.select(F.lit("xml_generic").alias("source"), "value")))
+        else:
+            rows = xml_records(spark, path, name, files)
+            parts.append(windows_events(rows) if of == "windows" else syslog_events(rows) if of == "syslog"
+                         else generic_events(rows, schema=infer_schema(spark, path, name, files)))
+    if not parts:
+        return Ingest(spark.createDataFrame([], EVENT_SCHEMA), spark.createDataFrame([], "source string, value string"))
+    events, rejected = parts[0].events, parts[0].rejected
+    for part in parts[1:]:
+        events, rejected = events.unionByName(part.events), rejected.unionByName(part.rejected)
+    return Ingest(events, rejected)

@@ -5,7 +5,7 @@ from conftest import make_events
 from pyspark.sql import functions as F
 
 from threatframe.config import RULES, Action, Condition, Rule
-from threatframe.operators import behavioral, explain, facts, merge, rules, statistical
+from threatframe.operators import behavioral, explain, facts, features, merge, rules, statistical
 from threatframe.plans import analysis, jobs
 from threatframe.sources.tables import find_anomaly, read_anomalies, write_anomalies
 
@@ -200,3 +200,16 @@ def test_job(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out" / "rejected")).count() == 1
     assert spark.read.json(str(tmp_path / "out" / "metrics")).first().processed_events == 9
     assert jobs.status(spark).filter("kind = 'rules_by_category'").count() == 8
+
+
+def test_repeated_ids_multiply_no_rows(spark):
+    rows = [{"event_id": "same", "t": 60.0, "user_id": "u", "source_ip": "1.1.1.1", "service": "ssh", "event_type": "authentication", "attributes": {"file_size_mb": i}} for i in range(10)]
+    timed = make_events(spark, rows + [{"event_id": "other", "t": 90.0, "user_id": "v", "source_ip": "1.1.1.2", "service": "web", "event_type": "web_access"}])
+    events = timed.unionByName(timed.filter("event_id = 'other'").withColumn("ts", F.lit(None).cast("timestamp")))
+    z = events.select("event_id", "ts", "user_id", "source_ip", F.lit(4.0).alias("z_score"))
+    frame = rules.event_frame(events, deviations=behavioral.prequential_deviations(events), z_scores=z).collect()
+    assert len(frame) == 12 and all(r.statistical__z_score == 4.0 for r in frame)
+    assert sorted({r.user_id: r.behavioral__confidence for r in frame if r.ts is not None}.items()) == [("u", 0.09), ("v", 0.0)]
+    got = features.with_features(events).collect()
+    assert len(got) == 12 and sorted(r.temporal_time_since_last for r in got if r.temporal_time_since_last is not None) == [0.0] * 9
+    assert {r.freq_event_count for r in got if r.event_id == "other" and r.ts is not None} == {10}

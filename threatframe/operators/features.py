@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from threatframe.config import SESSION_SECONDS, WINDOW_SECONDS
 from threatframe.operators import ordered
 from threatframe.operators.typing import calendar
+from threatframe.session import stage
 
 ORDER = ["ts", "event_id"]
 DIVERSITY = {"user": "user_id", "ip": "source_ip", "service": "service"}
@@ -205,16 +206,23 @@ def trailing_features(events: DataFrame, keys: list[str] | None = None, seconds:
 
 
 def with_features(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Events with calendar, session and trailing features under their full names."""
+    """Events with calendar, session and trailing features under their full names.
+
+    Ids and times may repeat: each row gets a number of its own, written once so that it stays the same, and an id that sorts
+    by id, then number.
+    """
     cal = calendar(F.col("ts"), business_excludes_weekend=True)
-    sessions_ = session_features(events.select("event_id", "ts", "user_id")).select(
-        "event_id", "ts", F.col("session_duration").alias("temporal_session_duration"),
+    rows = stage(events.withColumn("_row", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_row", F.concat_ws("\0", "event_id", F.lpad(F.col("_row").cast("string"), 19, "0")))
+    single = rows.select(F.col("_row").alias("event_id"), "ts", *{*DIVERSITY.values(), *(keys or [])})
+    sessions_ = session_features(single.select("event_id", "ts", "user_id")).select(
+        F.col("event_id").alias("_row"), F.col("session_duration").alias("temporal_session_duration"),
         F.col("time_since_last").alias("temporal_time_since_last"))
-    context = trailing_features(events, keys).drop(*(keys or []))
-    return (events.withColumn("_c", cal).select(
-        *events.columns, *[F.col(f"_c.{f}").alias(f"temporal_{f}")
-                           for f in ("hour", "day_of_week", "is_weekend", "is_business_hours", "is_night")])
-        .join(sessions_, ["event_id", "ts"], "left").join(context, ["event_id", "ts"], "left"))
+    context = trailing_features(single, keys).drop("ts", *(keys or [])).withColumnRenamed("event_id", "_row")
+    return (rows.withColumn("_c", cal).select(
+        "_row", *events.columns, *[F.col(f"_c.{f}").alias(f"temporal_{f}")
+                                   for f in ("hour", "day_of_week", "is_weekend", "is_business_hours", "is_night")])
+        .join(sessions_, "_row", "left").join(context, "_row", "left").drop("_row"))
 
 
 def feature_vector() -> Column:

@@ -209,13 +209,28 @@ EVENT_ATTRIBUTES = ["direction", "query_type", "process_name", "command_line", "
 EVENT_FLAGS = ["usb_inserted", "data_copied_to_removable", "access_granted"]
 
 
+EVENT_KEY = ["event_id", "ts", "user_id", "source_ip"]
+
+
+def with_scores(frame: DataFrame, scores: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """The frame with ``values`` of its events' rows in ``scores``, the first of them decides: events that share id, time, user
+    and address (repeated lines) take the highest. Never more rows than before, and events without a time keep their scores."""
+    key = [name for name in EVENT_KEY if name in scores.columns]
+    best = scores.groupBy(*[F.col(name).alias(f"_{name}") for name in key]).agg(
+        F.max(F.struct(*[value.alias(name) for name, value in values.items()])).alias("_best"))
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return frame.join(best, same, "left").select(*frame.columns, *[F.col(f"_best.{name}").alias(name) for name in values])
+
+
 def event_frame(events: DataFrame, history: DataFrame | None = None, users: DataFrame | None = None,
                 deviations: DataFrame | None = None, z_scores: DataFrame | None = None) -> DataFrame:
     """One row per event with the facts of the event and, where given, of its user and its scores.
 
     ``history`` are the events user habits are taken from, ``users`` holds (user_id, user_role,
     user_clearance_level), ``deviations`` (event_id, ts, deviation_score, profile_events) and
-    ``z_scores`` (event_id, ts, z_score). What is not given stays null, and so do its conditions.
+    ``z_scores`` (event_id, ts, z_score), both best with user_id and source_ip. What is not given stays null, and so do its conditions.
     """
     a = F.col("attributes")
     c = calendar(F.col("ts"))
@@ -232,14 +247,13 @@ def event_frame(events: DataFrame, history: DataFrame | None = None, users: Data
         frame = frame.join(users.select("user_id", F.col("user_role").alias("event__user_role"),
                                         F.col("user_clearance_level").alias("event__user_clearance_level")), "user_id", "left")
     if deviations is not None:
-        frame = frame.join(deviations.select(
-            "event_id", "ts", F.col("deviation_score").alias("behavioral__baseline_deviation_score"),
-            F.least(F.lit(1.0), F.col("profile_events") / 100).alias("behavioral__confidence")), ["event_id", "ts"], "left")
+        frame = with_scores(frame, deviations, {
+            "behavioral__baseline_deviation_score": F.col("deviation_score"),
+            "behavioral__confidence": F.least(F.lit(1.0), F.col("profile_events") / 100)})
     if z_scores is not None:
-        frame = frame.join(z_scores.select(
-            "event_id", "ts", F.col("z_score").alias("statistical__z_score"),
-            F.when(F.col("z_score") > 0, "high").otherwise("low").alias("statistical__outlier_direction")),
-            ["event_id", "ts"], "left")
+        frame = with_scores(frame, z_scores, {
+            "statistical__z_score": F.col("z_score"),
+            "statistical__outlier_direction": F.when(F.col("z_score") > 0, "high").otherwise("low")})
     return frame
 
 

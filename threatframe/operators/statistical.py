@@ -221,7 +221,8 @@ def rate_outliers(events: DataFrame, scope: str = "global", counts: DataFrame |
 
 
 def rate_findings(events: DataFrame, scope: str = "global", seconds: int = WINDOW_SECONDS) -> DataFrame:
-    rows = rate_outliers(events, scope, seconds=seconds)
+    # the passes write rows: only the columns a finding has
+    rows = rate_outliers(events.select("event_id", "ts", "user_id", "source_ip"), scope, seconds=seconds)
     size = F.abs(F.col("z_score"))
     rate = F.col("recent_count") / seconds
     return rows.select(*finding(

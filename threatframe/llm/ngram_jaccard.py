@@ -14,6 +14,7 @@ share) are read again in full; the rest of their n-grams come between, frequent
 Pairs. A list of a shared n-gram is never paired with itself first. In each of ``stars`` rounds all sets of a list are paired
 with its most central one only (whose n-grams occur in most other sets), verified, and merged into classes. What is left are lists
 with several classes; their pairs across classes are all joined, counted and verified, so no link between classes is lost.
+A shared n-gram is only listed for a pair where its places in both sets leave room for enough others (``possible``).
 
 Null text is empty; without words a set is empty and linked with nothing. Rows repeated with id and text are rows of one
 class. Null ids are larger than any other. An empty table gives an empty result.
@@ -116,7 +117,7 @@ def prefix_plan(n: int, places: np.ndarray, dfs: np.ndarray, percent: int) -> tu
 
 
 def postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(h, uid, n, l, central) of each n-gram in a set's prefix that several sets have. ``sets``: uid, n, k (how many of its
+    """(h, uid, n, l, central, at) of each n-gram in a set's prefix that several sets have; ``at`` is its place in the order. ``sets``: uid, n, k (how many of its
     n-grams have a place), known array<struct<h, df, rank, place>>: those of several sets, with their place by hash."""
 
     def listed(batches):
@@ -136,11 +137,20 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
                 matches, length = prefix_plan(int(n), final, df[at], percent)
                 chosen = at[: np.searchsorted(final, length)]
                 if len(chosen):
-                    out.append(pd.DataFrame({"h": h[chosen], "uid": uid, "n": n, "l": matches, "central": float(np.log(df).sum() / size)}))
+                    out.append(pd.DataFrame({"h": h[chosen], "uid": uid, "n": n, "l": matches, "central": float(np.log(df).sum() / size), "at": final[: len(chosen)]}))
             if out:
                 yield pd.concat(out, ignore_index=True)
 
-    return sets.select("uid", "n", "k", "known").mapInPandas(listed, "h long, uid long, n long, l int, central double")
+    return sets.select("uid", "n", "k", "known").mapInPandas(listed, "h long, uid long, n long, l int, central double, at long")
+
+
+def possible(percent: int) -> str:
+    """Condition on a shared n-gram of two sets (n, l, at and m, k, to: size, own l and its place) that holds for the first n-grams
+    a similar pair shares. Such a pair shares ``least`` n-grams or more. Those before the place and those after it bound what can
+    be shared; and as many as are asked for lie where enough others can follow in both sets."""
+    least = f"(({percent} * (n + m) + {99 + percent}) div {100 + percent})"
+    follow = f"at < n - {least} + least(l, k) and to < m - {least} + least(l, k)"
+    return f"100 * least(n, m) >= {percent} * greatest(n, m) and {follow} and least(at, to) + 1 + least(n - at - 1, m - to - 1) >= {least}"
 
 
 COUNTED = 0.34
@@ -203,15 +213,15 @@ def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, sta
 
     links, classed = None, None
     for turn in range(stars + 1):
-        centre = F.max(F.struct(F.col("central"), (-F.col("uid")).alias("uid"), "n", "l", "c"))
+        centre = F.max(F.struct(F.col("central"), (-F.col("uid")).alias("uid"), "n", "l", "c", "at"))
         several = tables.write("centres", lists.groupBy("h").agg(centre.alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h", "p"))
         if turn < stars:
-            pairs = lists.join(several, "h").select(F.col("uid").alias("x"), "n", "l", "c", (-F.col("p.uid")).alias("y"), F.col("p.n").alias("m"), F.col("p.l").alias("k"), F.col("p.c").alias("d"))
+            pairs = lists.join(several, "h").select(F.col("uid").alias("x"), "n", "l", "c", "at", F.col("p.at").alias("to"), (-F.col("p.uid")).alias("y"), F.col("p.n").alias("m"), F.col("p.l").alias("k"), F.col("p.c").alias("d"))
         else:
-            still = tables.write("still", lists.join(several.select("h"), "h", "left_semi").select("h", "uid", "n", "l", "c"))
-            right = still.select("h", F.col("uid").alias("y"), F.col("n").alias("m"), F.col("l").alias("k"), F.col("c").alias("d"))
+            still = tables.write("still", lists.join(several.select("h"), "h", "left_semi").select("h", "uid", "n", "l", "c", "at"))
+            right = still.select("h", F.col("uid").alias("y"), F.col("n").alias("m"), F.col("l").alias("k"), F.col("c").alias("d"), F.col("at").alias("to"))
             pairs = still.withColumnRenamed("uid", "x").join(right, "h").where("x < y")
-        pairs = pairs.where("c <> d").where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+        pairs = pairs.where("c <> d").where(possible(percent))
         pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"), F.least(F.first("l"), F.first("k")).alias("asked"))
         pairs = tables.write("pairs", pairs.where("shared >= asked").select("x", "y", "n", "m"))
         ids = pairs.select(F.col("x").alias("uid")).unionByName(pairs.select(F.col("y").alias("uid"))).distinct()

@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from threatframe import session
 from threatframe.llm import bpe, brown_lm, embedding, exact_dedup, graph, html_render, ngram_jaccard, packing, quality, secrets, url_filter
 from threatframe.llm.common import remainder
 
@@ -183,6 +184,20 @@ def test_exchange_finds_planted_classes():
     assert len({(a, b) for a, b in zip(kinds, found, strict=True)}) == 3
 
 
+def test_rare_words_have_classes_of_their_own(spark):
+    """Words below the share with one ending: by their contexts, not by the ending."""
+    lines = [f"{a} {k}{i}ing {b}" for k, a, b in (("x", "left", "up"), ("y", "right", "down")) for i in range(100) for _ in range(4)]
+    lines += ["left he up", "right she down"] * 100
+    texts = spark.createDataFrame([(i, False, t) for i, t in enumerate(lines)], "doc_id long, held_out boolean, text string")
+    scratch = session.Scratch(spark)
+    blocks = scratch.write("coded", brown_lm.coded(texts, 4096))
+    model, lexicon = brown_lm.fit(texts, blocks.where("ids is not null"), blocks.where("word is not null"), scratch, classes=6, share=0.01)
+    found = {bytes(r.word).decode(): r["class"] for r in lexicon.where("word is not null").select("word", "class").distinct().collect()}
+    assert len(model.units.frequent) == 7 and len(found) == 200
+    kinds = [{c for w, c in found.items() if w[0] == k} for k in "xy"]
+    assert kinds[0].isdisjoint(kinds[1]) and model.members.sum() == 207 and model.transitions.sum() == model.tokens == 4000
+
+
 def edited(words, rate, r):
     return [f"q{r.randint(0, 10**9)}" if r.random() < rate else w for w in words]
 

@@ -1,14 +1,16 @@
 """Language-model scoring with Brown classes: class transitions times word emissions, classes found by exchange.
 
-Tokens are words (runs of anything but ASCII white space, A-Z lower-cased) and one end per text. Units to be classed are the
-words that make up ``share`` of all training tokens or more (1/``share`` at most, whatever the corpus) and, for all other words,
-``shapes`` units made of their last three bytes, so that every word has a class and the table of units is of fixed size.
-
-Counts of all words come from all training texts: texts are dealt into blocks by a hash of id and text, each block lists its
-distinct words with its counts, a sum by word goes back to the blocks that have the word, and a block's texts are scored with the
-words it needs; nothing of the size of the vocabulary is held anywhere. Exchange works on counts of units next to
-context classes, gathered over all training texts (contexts are the most frequent units first, then the classes found so
-far); each unit in turn moves to the class in which the likelihood of its contexts is largest, until none does.
+Tokens are words (runs of anything but ASCII white space, A-Z lower-cased) and one end per text. Words that make up ``share`` of
+all training tokens or more are units of an exchange on the driver (1/``share`` at most, whatever the corpus). Every other word seen
+``least`` times or more gets a class of its own on Spark, from its own contexts. Only rarer words, about whose contexts little is known,
+and unknown ones go by their last three bytes, in ``shapes`` units that take part in the exchange.
+
+Texts are written once as blocks of neighbouring rows: numbers of the tokens within the block, and its distinct words. A word's training
+count, unit and class are joined to the blocks that have it, and each pass over the texts reads a block with its own words; nothing of
+the size of the vocabulary is held anywhere. The first pass takes words but the most frequent by their ending, with the most frequent units as
+contexts; the other ``passes`` gather sparse counts of context classes found so far, per unit and per word. Then units move one by
+one to the class in which the likelihood of all contexts is largest, words all at once to the class whose sums make
+their contexts most likely, in turn until nothing moves; each step gains likelihood, and only class sums travel.
 
 P(w | v) = weight * P(class w | class v) * P(w | class w) + (1 - weight) * P(w), with P(w) the add-one unigram share, add-one
 transitions, and emissions that keep ``spare`` of a count for each word of the class and for unknown ones. A text begins after an
@@ -20,16 +22,18 @@ all words are unknown (N = V = 0). An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threatframe.llm.common import id_and_text, slices
-from threatframe.session import stage
+from threatframe.llm.common import slices
+from threatframe.session import Scratch
 
 END = b" "  # no word has a space
 AT_ONCE, FLUSH = 4_000_000, 400_000
@@ -66,29 +70,144 @@ class Units:
         return np.fromiter(map(cache.__getitem__, words), dtype=np.int64, count=len(words))
 
 
-def block_words(texts: DataFrame, blocks: int) -> DataFrame:
-    """(block, word, n) with n the training count of each distinct word of a block; rows are partial, several per word."""
+class Numbers(dict):
+    """Number of each word in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def coded(texts: DataFrame, block_bytes: int) -> DataFrame:
+    """Blocks of neighbouring rows, with two kinds of rows: of texts (``ids``: number of each token in its block) and of the block's distinct
+    words (``n``: training count; the end is number 0)."""
+
+    def in_blocks(batches):
+        made, rows, numbers, size = 0, [], Numbers({END: 0}), 0
+
+        def frames():
+            block = (TaskContext.get().partitionId() << 32) | made
+            count = np.zeros(len(numbers), dtype=np.int64)
+            for _, held, ids in rows:
+                if not held:
+                    count += np.bincount(ids, minlength=len(count))
+            docs = pd.DataFrame([(d, h, ids.tobytes()) for d, h, ids in rows], columns=["doc_id", "held_out", "ids"]).astype({"doc_id": "Int64"})
+            yield docs.assign(block=block, local=None, word=None, n=None)[CODED]
+            words = pd.DataFrame({"local": np.arange(len(count)), "word": list(numbers), "n": count})
+            yield words.assign(block=block, doc_id=None, held_out=None, ids=None)[CODED]
+
+        for batch in batches:
+            for doc_id, held, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):
+                words = tokens_of(text)
+                rows.append((None if pd.isna(doc_id) else int(doc_id), bool(held), np.fromiter(map(numbers.__getitem__, words), dtype="<i4", count=len(words))))
+                size += len(text) + 100
+                if size >= block_bytes:
+                    yield from frames()
+                    made, rows, numbers, size = made + 1, [], Numbers({END: 0}), 0
+        if rows:
+            yield from frames()
+
+    return texts.select("doc_id", "held_out", "text").mapInPandas(in_blocks, "block long, doc_id long, held_out boolean, ids binary, local int, word binary, n long")
+
+
+CODED = ["block", "doc_id", "held_out", "ids", "local", "word", "n"]
+ENTRY = np.dtype([("context", "<u2"), ("n", "<i8")])
+
+
+def packed(table: np.ndarray) -> list[bytes]:
+    """The entries of each row that are not zero."""
+    at, context = np.nonzero(table)
+    entries = np.empty(len(at), dtype=ENTRY)
+    entries["context"], entries["n"] = context, table[at, context]
+    data = entries.tobytes()
+    ends = (np.cumsum(np.bincount(at, minlength=len(table))) * ENTRY.itemsize).tolist()
+    return [data[low:high] for low, high in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+
+
+def unpacked(rows: list[bytes], width: int) -> np.ndarray:
+    entries = np.frombuffer(b"".join(rows), dtype=ENTRY)
+    at = np.repeat(np.arange(len(rows)), [len(r) // ENTRY.itemsize for r in rows])
+    return np.bincount(at * width + entries["context"], weights=entries["n"], minlength=len(rows) * width).reshape(len(rows), width)
+
+
+def block_classes(words: pd.DataFrame, label: np.ndarray) -> tuple[pd.DataFrame, np.ndarray]:
+    """The words of a block by number, and their classes: own ones (``class``), else those of their units."""
+    words = words.sort_values("local")
+    own = words["class"].to_numpy(dtype=np.float64, na_value=-1).astype(np.int64)
+    return words, np.where(own >= 0, own, label[words["unit"].to_numpy(dtype=np.int64)])
+
+
+def laid_out(rows: pd.DataFrame) -> np.ndarray:
+    """Numbers of the tokens of texts laid end to end."""
+    return np.frombuffer(b"".join(rows["ids"]), dtype="<i4")
+
+
+def gathered(training: DataFrame, lexicon: DataFrame, label: np.ndarray, classes: int) -> DataFrame:
+    """(unit, word, class, contexts): sparse counts of each unit (word is null) and of each word with contexts of its own (unit is -1)."""
+    shared, width = training.sparkSession.sparkContext.broadcast(label), 2 * classes
+
+    def tally(key, rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"unit": [], "word": [], "class": [], "part": []})
+        words, c = block_classes(words, shared.value)
+        own, unit = words["word"].notna().to_numpy(), words["unit"].to_numpy(dtype=np.int64)
+        keys, row = np.unique(np.where(own, -1 - np.arange(len(words)), unit), return_inverse=True)
+        tokens = np.r_[0, laid_out(rows)]
+        at, context = row[tokens] * width, c[tokens]
+        table = np.bincount(np.concatenate([at[1:] + context[:-1], at[:-1] + classes + context[1:]]), minlength=len(keys) * width).reshape(-1, width)
+        some = np.flatnonzero(table.any(axis=1))
+        keys, names = keys[some], words["word"].to_numpy(dtype=object)
+        found = pd.DataFrame({"unit": np.maximum(keys, -1), "word": [names[-1 - k] if k < 0 else None for k in keys.tolist()]})
+        found["class"], found["part"] = np.where(keys < 0, c[np.where(keys < 0, -1 - keys, 0)], -1), packed(table[some])
+        return found
+
+    def summed(batches):
+        for batch in batches:
+            rows = [b"".join(parts) for parts in batch["parts"]]
+            yield batch[["unit", "word", "class"]].assign(contexts=packed(unpacked(rows, width)))
+
+    parts = training.groupBy("block").cogroup(lexicon.groupBy("block")).applyInPandas(tally, "unit int, word binary, class int, part binary")
+    return parts.groupBy("unit", "word", "class").agg(F.collect_list("part").alias("parts")).mapInPandas(summed, "unit int, word binary, class int, contexts binary")
+
+
+def shares(sums: np.ndarray) -> np.ndarray:
+    """Logarithms of the shares of contexts before and after in each class, with one count more that is spread like all contexts."""
+    half = sums.shape[1] // 2
+    sides = []
+    for x in (sums[:, :half], sums[:, half:]):
+        spread = (x.sum(axis=0) + 1) / (x.sum() + half)
+        sides.append((x + spread) / (x.sum(axis=1, keepdims=True) + 1))
+    return np.log(np.concatenate(sides, axis=1))
 
-    def counted(batches):
-        seen: dict[tuple[int, bytes], int] = {}
 
-        def rows():
-            frame = pd.DataFrame({"block": [k[0] for k in seen], "word": [k[1] for k in seen], "n": list(seen.values())})
-            seen.clear()
-            return frame
+def chosen(batch: pd.DataFrame, sums: np.ndarray | None, open_classes: int, table: np.ndarray) -> np.ndarray:
+    """The class in which the contexts of each word are most likely; without ``sums`` the class it came with."""
+    if sums is None:
+        return batch["class"].to_numpy(dtype=np.int64)
+    return np.argmax(table @ shares(sums)[:open_classes].T, axis=1)
 
+
+def regrouped(words: DataFrame, before: np.ndarray | None, now: np.ndarray | None, classes: int, open_classes: int) -> tuple[np.ndarray, int]:
+    """Context sums of the words' classes by the sums ``now``, and how many words had another class by those ``before``."""
+    width = 2 * classes
+    shared = words.sparkSession.sparkContext.broadcast((before, now))
+
+    def totals(batches):
+        old, new = shared.value
+        out = np.zeros(classes * width + 1)
         for batch in batches:
-            for text, block, held in zip(batch["text"], batch["block"], batch["held_out"], strict=True):
-                add = 0 if held else 1
-                for w in tokens_of(text):
-                    key = (block, w)
-                    seen[key] = seen.get(key, 0) + add
-                if len(seen) > FLUSH:
-                    yield rows()
-        if seen:
-            yield rows()
+            table = unpacked(batch["contexts"].tolist(), width)
+            c = chosen(batch, new, open_classes, table)
+            out[-1] += (c != chosen(batch, old, open_classes, table)).sum()
+            for k in np.unique(c):
+                out[k * width : (k + 1) * width] += table[c == k].sum(axis=0)
+        at = np.flatnonzero(out)
+        yield pd.DataFrame({"cell": at, "n": out[at].astype(np.int64)})
 
-    return texts.select("text", "block", "held_out").mapInPandas(counted, "block int, word binary, n long")
+    out = np.zeros(classes * width + 1)
+    for r in words.select("class", "contexts").mapInPandas(totals, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r.cell] = r.n
+    return out[:-1].reshape(classes, width), int(out[-1])
 
 
 def contexts(training: DataFrame, units: Units, classes: np.ndarray, count: int) -> np.ndarray:
@@ -127,32 +246,47 @@ def x_log_x(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(table: np.ndarray, start: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
-    """Class of each unit: units move, most frequent first, to the class that gains most likelihood of their contexts."""
-    label = start.copy()
-    sums = np.zeros((classes, table.shape[1]))
-    np.add.at(sums, label, table)
-    half = table.shape[1] // 2
+def likelihood(sums: np.ndarray) -> np.ndarray:
+    """Log-likelihood of the contexts in each class, ``sums`` being theirs."""
+    half = sums.shape[-1] // 2
+    return x_log_x(sums).sum(axis=-1) - x_log_x(sums[..., :half].sum(axis=-1)) - x_log_x(sums[..., half:].sum(axis=-1))
+
 
-    def value(rows: np.ndarray) -> np.ndarray:
-        return x_log_x(rows).sum(axis=-1) - x_log_x(rows[..., :half].sum(axis=-1)) - x_log_x(rows[..., half:].sum(axis=-1))
+def exchange(table: np.ndarray, start: np.ndarray, classes: int, sweeps: int | None = None, others: np.ndarray | None = None) -> np.ndarray:
+    """Class of each unit: units move, most frequent first, to the class that gains most likelihood of their contexts, until none does.
 
-    worth = value(sums)
+    ``others`` are sums of what is in the classes besides.
+    """
+    label = start.copy()
+    sums = np.zeros((classes, table.shape[1])) if others is None else others[:classes].copy()
+    np.add.at(sums, label, table)
+    worth = likelihood(sums)
     order = np.argsort(-table.sum(axis=1), kind="stable")
-    for _ in range(sweeps):
+    order = order[table[order].any(axis=1)]
+    least = 1e-9 + 1e-13 * float(x_log_x(sums.sum()))  # less is rounding
+
+    def movable(order: np.ndarray):
+        """Units that could move as the classes are when their turn is near; those that others set free come in the next sweep."""
+        for at in range(0, len(order), 64):
+            part = order[at : at + 64]
+            rows, now = table[part], label[part]
+            gain = likelihood(sums + rows[:, None]) - worth
+            stay = worth[now] - likelihood(sums[now] - rows)
+            gain[np.arange(len(part)), now] = stay
+            yield from part[gain.max(axis=1) > stay + least].tolist()
+
+    for _ in itertools.count() if sweeps is None else range(sweeps):
         moved = 0
-        for u in order.tolist():
+        for u in movable(order):
             row = table[u]
-            if not row.any():
-                break
             a = label[u]
             without = sums[a] - row
-            there = value(sums + row)
+            there = likelihood(sums + row)
             gain = there - worth
-            gain[a] = worth[a] - value(without)
+            gain[a] = worth[a] - likelihood(without)
             b = int(np.argmax(gain))
-            if b != a and gain[b] > gain[a] + 1e-9:
-                sums[a], worth[a] = without, value(without)
+            if b != a and gain[b] > gain[a] + least:
+                sums[a], worth[a] = without, likelihood(without)
                 sums[b] = sums[b] + row
                 worth[b] = there[b]
                 label[u] = b
@@ -174,46 +308,94 @@ class ClassModel:
     spare: float
 
 
-def fit(training: DataFrame, counts: DataFrame, classes: int = 32, share: float = 1e-5, shapes: int = 2048, passes: int = 2, sweeps: int = 3,
-        weight: float = 0.85, spare: float = 0.5) -> ClassModel:
-    """Model of the training texts. ``counts``: (word, n) over them, n > 0."""
-    totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
+def fit(texts: DataFrame, docs: DataFrame, words: DataFrame, scratch: Scratch, classes: int = 32, share: float = 1e-5, shapes: int = 2048, least: int = 3,
+        passes: int = 2, sweeps: int = 3, weight: float = 0.85, spare: float = 0.5) -> tuple[ClassModel, DataFrame]:
+    """Model of the training texts, and the words of each block with number, training count, unit and class (null: that of the unit).
+
+    ``texts``: training texts; ``docs`` and ``words``: rows of ``coded``.
+    """
+    spark = docs.sparkSession
+    counts = scratch.write("counts", words.groupBy("word").agg(F.sum("n").alias("n")))
+    known = counts.where("n > 0")
+    totals = known.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = totals.n or 0, totals.v
-    common = counts.where((F.col("n") >= share * n) | (F.col("word") == F.lit(bytearray(END)))).orderBy(F.desc("n"), "word").collect()  # 1 / share at most
+    common = known.where((F.col("n") >= share * n) | (F.col("word") == F.lit(bytearray(END)))).orderBy(F.desc("n"), "word").collect()  # 1 / share at most
     units = Units({bytes(r.word): i for i, r in enumerate(common)}, shapes)
-    # contexts of the first pass: the most frequent units, each for itself, and all others
-    label = np.minimum(np.arange(len(units)), classes - 1)
-    found = np.arange(len(units)) % classes
-    for _ in range(passes):
-        table = contexts(training, units, label, classes)
-        found = exchange(table, found, classes, sweeps)
-        label = found
-    end = units.of(END)
-    if classes > 1:  # the end of a text is a class of its own: no text has two
-        others = np.arange(len(units)) != end
-        label = np.where(others & (label == classes - 1), classes - 2, label)
+    head = spark.createDataFrame([(bytearray(w), i) for w, i in units.frequent.items()], "word binary, unit int")
+    ending = F.crc32(F.expr("substring(word, -3, 3)")) % shapes + len(units.frequent)
+    vocabulary = counts.join(head, "word", "left").withColumn("own", F.col("unit").isNull() & (F.col("n") >= least))
+    vocabulary = scratch.write("vocabulary", vocabulary.withColumn("unit", F.coalesce("unit", ending.cast("int"))))
+    lexicon = words.select("block", "local", "word").join(vocabulary, "word")
+    lexicon = scratch.write("lexicon", lexicon.select("block", "local", "n", "unit", F.when(F.col("own"), F.col("word")).alias("word")))
+    training = docs.where(~F.col("held_out")).select("block", "ids")
+    end, open_classes = units.of(END), max(1, classes - 1)  # the end of a text is a class of its own: no text has two
+
+    def with_end(label: np.ndarray) -> np.ndarray:
+        label = label.copy()
         label[end] = classes - 1
-    table = contexts(training, units, label, classes)
-    transitions = np.zeros((classes, classes))
-    np.add.at(transitions, label, table[:, classes:])
-    members = np.zeros(classes)
-    shared = training.sparkSession.sparkContext.broadcast((units.frequent, units.shapes, label))
-
-    def distinct(batches):
-        frequent, sizes, classed = shared.value
-        own, total = Units(frequent, sizes), np.zeros(classes, dtype=np.int64)
-        for batch in batches:
-            total += np.bincount(classed[[own.of(bytes(w)) for w in batch["word"]]], minlength=classes) if len(batch) else 0
-        yield pd.DataFrame({"c": np.arange(classes), "n": total})
-
-    for r in counts.select("word").mapInPandas(distinct, "c int, n long").groupBy("c").agg(F.sum("n").alias("n")).collect():
-        members[r.c] = r.n
-    return ClassModel(units, label, transitions, members, int(n), int(v), weight, spare)
-
-
-def log_probabilities(model: ClassModel, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """log10 P of each token of texts laid end to end, each with its end; ``counts``: of each token in training."""
-    classes = model.classes[model.units.numbers(words)]
+        return label
+
+    # contexts of the first pass, over the ends of all words but the most frequent: the most frequent units, each for itself, and all others
+    table = contexts(texts, units, np.minimum(np.arange(len(units)), classes - 1), classes)
+    table[end] = 0
+    label = with_end(exchange(table, np.arange(len(units)) % open_classes, open_classes, sweeps))
+    current, assigned = lexicon.withColumn("class", F.lit(None).cast("int")), None
+    for k in range(max(1, passes - 1)):
+        found = scratch.write(f"contexts{k}", gathered(training, current, label, classes))
+        rows = found.where("unit >= 0").toPandas()  # one row per unit
+        table = np.zeros((len(units), 2 * classes))
+        table[rows["unit"].to_numpy(dtype=np.int64)] = unpacked(rows["contexts"].tolist(), 2 * classes)
+        table[end] = 0
+        own, before, worth = found.where("unit < 0"), None, None
+        # words of the first round come from their endings and have no say yet; the frequent ones make the classes
+        others = regrouped(own, None, None, classes, open_classes)[0] if k else np.zeros((classes, 2 * classes))
+        while True:
+            label = with_end(exchange(table, np.where(np.arange(len(units)) == end, 0, label), open_classes, None, others))
+            sums = others.copy()
+            np.add.at(sums, label, table)
+            others, moved = regrouped(own, before, sums, classes, open_classes)
+            before, last = sums, worth
+            worth = float(likelihood(sums).sum())
+            # moves without gain are ties, which could go on for ever
+            if not moved or (last is not None and worth - last <= 1e-12 * abs(worth)):
+                break
+        shared = spark.sparkContext.broadcast(before)
+
+        def final(batches, shared=shared):
+            for batch in batches:
+                table = unpacked(batch["contexts"].tolist(), 2 * classes)
+                yield pd.DataFrame({"word": batch["word"], "class": chosen(batch, shared.value, open_classes, table)})
+
+        assigned = scratch.write(f"assigned{k}", own.mapInPandas(final, "word binary, class int"))
+        current = scratch.write(f"classes{k}", lexicon.join(assigned, "word", "left").select("block", "local", "n", "unit", "word", "class"))
+        scratch.drop(f"contexts{k}")
+        if k:
+            scratch.drop(f"classes{k - 1}", f"assigned{k - 1}")
+    scratch.drop("lexicon")
+    shared = spark.sparkContext.broadcast(label)
+
+    def steps(key, rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"cell": [], "n": []})
+        c = block_classes(words, shared.value)[1][np.r_[0, laid_out(rows)]]
+        out = np.bincount(c[:-1] * classes + c[1:], minlength=classes * classes)
+        return pd.DataFrame({"cell": np.flatnonzero(out), "n": out[out > 0]})
+
+    transitions, members = np.zeros(classes * classes), np.zeros(classes)
+    pairs = training.groupBy("block").cogroup(current.groupBy("block")).applyInPandas(steps, "cell int, n long")
+    for r in pairs.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        transitions[r.cell] = r.n
+    for r in vocabulary.where("n > 0 and not own").groupBy("unit").count().collect():  # one row per unit
+        members[label[r.unit]] += r["count"]
+    for r in assigned.groupBy("class").count().collect():
+        members[r["class"]] += r["count"]
+    return ClassModel(units, label, transitions.reshape(classes, classes), members, int(n), int(v), weight, spare), current
+
+
+def log_probabilities(model: ClassModel, words: list[bytes], counts: np.ndarray, classes: np.ndarray | None = None) -> np.ndarray:
+    """log10 P of each token of texts laid end to end, each with its end; ``counts``: of each token in training; ``classes``: if not those of the units."""
+    if classes is None:
+        classes = model.classes[model.units.numbers(words)]
     before = np.r_[model.classes[model.units.of(END)], classes[:-1]]
     size = len(model.transitions)
     step = (model.transitions[before, classes] + 1) / (model.transitions.sum(axis=1)[before] + size)
@@ -230,39 +412,27 @@ def log_probabilities(model: ClassModel, words: list[bytes], counts: np.ndarray)
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20, **settings) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; rows not held out are learnt from."""
     texts = docs.withColumn("__held", F.coalesce(held_out, F.lit(False)))
-    kept = texts.select("__held", F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumnRenamed("__held", "held_out")
-    size = kept.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    blocks = max(1, -(-((size.b or 0) + 100 * size.n) // block_bytes))
-    kept = kept.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    partial = block_words(kept, blocks).groupBy("block", "word").agg(F.sum("n").alias("n"))
-    partial = stage(partial)
-    counts = stage(partial.groupBy("word").agg(F.sum("n").alias("n")))
-    known = counts.where("n > 0")
-    model = fit(kept.where(~F.col("held_out")), known, **settings)
-    needed = partial.select("block", "word").join(counts, "word").select("block", "word", "n")
+    texts = texts.select("__held", F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumnRenamed("__held", "held_out")
+    scratch = Scratch(docs.sparkSession)
+    blocks = scratch.write("coded", coded(texts, block_bytes))
+    coded_docs, words = blocks.where("ids is not null").select("block", "doc_id", "held_out", "ids"), blocks.where("word is not null").select("block", "local", "word", "n")
+    model, lexicon = fit(texts.where(~F.col("held_out")), coded_docs, words, scratch, **settings)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(key, rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         model = shared.value
-        count = dict(zip(map(bytes, words["word"]), words["n"], strict=True))
-        texts, out = rows["text"].tolist(), []
-        for low, high in slices([len(t) for t in texts], AT_ONCE):
-            tokens, ends = [], []
-            for t in texts[low:high]:
-                tokens += tokens_of(t)
-                ends.append(len(tokens))
-            c = np.fromiter(map(count.__getitem__, tokens), dtype=np.float64, count=len(tokens))
-            logs = log_probabilities(model, tokens, c)
-            base = np.log10((c + 1) / (model.tokens + model.vocabulary + 1))
-            begin = np.r_[0, ends[:-1]].astype(np.int64)
-            sums = lambda x: np.add.reduceat(x, begin)
-            out.append(pd.DataFrame({"n_tokens": np.diff(np.r_[0, ends]), "n_known": sums((c > 0).astype(np.int64)), "base_score": sums(base), "score": sums(logs)}))
-        done = pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["n_tokens", "n_known", "base_score", "score"])
-        done.insert(0, "doc_id", rows["doc_id"].astype("Int64").to_numpy())
-        done["held_out"], done["train_tokens"] = rows["held_out"].to_numpy(), model.tokens
-        return done[["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]]
-
-    pairs = kept.groupBy("block").cogroup(needed.groupBy("block"))
+        words, classes = block_classes(words, model.classes)
+        tokens, n = laid_out(rows), rows["ids"].map(len).to_numpy(dtype=np.int64) // 4
+        c = words["n"].to_numpy(dtype=np.float64)[tokens]
+        logs = log_probabilities(model, [], c, classes[tokens])
+        base = np.log10((c + 1) / (model.tokens + model.vocabulary + 1))
+        begin = np.cumsum(n) - n
+        sums = lambda x: np.add.reduceat(x, begin)
+        done = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64").to_numpy(), "held_out": rows["held_out"].to_numpy(), "n_tokens": n})
+        done["n_known"], done["train_tokens"], done["base_score"], done["score"] = sums((c > 0).astype(np.int64)), model.tokens, sums(base), sums(logs)
+        return done
+
+    pairs = coded_docs.groupBy("block").cogroup(lexicon.select("block", "local", "n", "unit", "class").groupBy("block"))
     return pairs.applyInPandas(scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

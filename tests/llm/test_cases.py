@@ -402,6 +402,22 @@ def test_secret_cases(spark):
     assert secrets.scan(frame(spark, []))[0].count() == 0
 
 
+def test_secret_candidates_in_longer_runs(spark):
+    """Random parts after a name, with a prefix, in capitals, in groups or without a digit are all judged; names are not found."""
+    r = random.Random(11)
+    draw = lambda symbols, n: "".join(r.choices(symbols, k=n))
+    small, capital = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    mixed, lower, upper, plain = (draw(x, 48) for x in (small + capital + "0123456789", small + "0123456789", capital + "0189" * 3, small + capital))
+    groups = "-".join(draw("0123456789abcdef", n) for n in (8, 4, 4, 4, 12, 12, 12))
+    texts = {1: f"session={mixed}", 2: f"?id=1&sig={mixed} x", 3: f"sk_live_{lower}", 4: f"key-{lower}", 5: upper, 6: groups, 7: plain, 8: f"name={mixed[:43]}==", 9: "some-long_name/of_a_file-without-a-capital-2024"}
+    at = {1: (8, 56), 2: (10, 58), 3: (8, 56), 4: (4, 52), 5: (0, 48), 6: (0, len(groups)), 7: (0, 48), 8: (5, 50)}
+    found, name = secrets.scan(frame(spark, list(texts.items())))
+    got = {x.doc_id: [(s.s, s.e) for s in x.s if s.kind == 3] for x in found.select("doc_id", F.col(name).alias("s")).collect()}
+    assert got == {d: [at[d]] if d in at else [] for d in texts}
+    tried = spark.createDataFrame([("ASIAJ0K8L9QX1Z7M0P8Y",)], "m string").select(secrets.encoding_of(F.col("m"))).first()[0]
+    assert tried == "BASE36"
+
+
 def test_secret_spans_in_many_places(spark):
     r = random.Random(4)
     texts = ["".join(r.choice(["deadbeef00112233 ", "AKIA" + "Z9" * 8 + " ", "token=abcdefghijkl ", "é ", "word "]) for _ in range(r.randint(0, 60))) for _ in range(80)]

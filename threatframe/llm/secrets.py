@@ -1,8 +1,10 @@
 """Secret scan: fixed patterns, and a battery of randomness tests over other long tokens. Column expressions only.
 
 Fixed patterns are assignments to password-like names, access key ids and long hexadecimal runs. Besides, each run of 20 or
-more characters of ``[A-Za-z0-9+/_=-]`` is a candidate when its characters are those of one encoding: hex (digits and a-f, or
-A-F), base32 (A-Z, 2-7), base36 (a-z, 0-9) or base64 (with a digit, a capital and a small letter). Three tests judge it:
+more characters of ``[A-Za-z0-9+/_-]``, with ``=`` at its end only (so that ``key=value`` is two runs), is a candidate when its characters are
+those of one encoding: hex (digits and a-f, or A-F, also in groups of four or more joined by ``-``), base32 (A-Z, 2-7), base36 (0-9 and
+a-z, or A-Z) or base64 (a capital and a small letter, with a digit or without). Of any other run each part of 20 or more letters
+and digits is one; a part of digits, small or capital letters alone counts with p-value 1, as its kind never changes. Three tests judge a candidate:
 
 * chi-squared: are the symbols of the inferred alphabet used evenly? (Wilson-Hilferty normal form.)
 * runs: does the kind of character (digit, small, capital, other) change more often than in names made of words and
@@ -30,16 +32,24 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 # a failing match of the next two is a whole run, so asking for the length at once gives the same matches
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}=*|[A-Za-z0-9+/_-]{19}=(?![A-Za-z0-9+/_=-])|[A-Za-z0-9+/_-]{18}==(?![A-Za-z0-9+/_=-])"
+PART = r"[A-Za-z0-9]{20,}=*"
 KINDS = ["assign", "access", "hex", "random"]
 DIGITS, SMALL, CAPITAL = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # inferred encoding: (name, pattern of the whole run, alphabet)
 ENCODINGS = [
-    ("hex", "^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", DIGITS + "abcdef"),
-    ("HEX", "^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", DIGITS + "ABCDEF"),
-    ("base32", "^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$", CAPITAL + "234567"),
-    ("base36", "^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+$", DIGITS + SMALL),
+    ("hex", "^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+=*$", DIGITS + "abcdef"),
+    ("HEX", "^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+=*$", DIGITS + "ABCDEF"),
+    ("base32", "^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", CAPITAL + "234567"),
+    ("base36", "^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+=*$", DIGITS + SMALL),
+    ("BASE36", "^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+=*$", DIGITS + CAPITAL),
     ("base64", "^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+=*$", CAPITAL + SMALL + DIGITS + "+/"),
+    ("letters64", "^(?=.*[a-z])(?=.*[A-Z])[A-Za-z+/_-]+=*$", CAPITAL + SMALL + "+/"),
+    ("grouped hex", "^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{4,}(?:-[0-9a-f]{4,})+=*$", DIGITS + "abcdef"),
+    ("grouped HEX", "^(?=.*[0-9])(?=.*[A-F])[0-9A-F]{4,}(?:-[0-9A-F]{4,})+=*$", DIGITS + "ABCDEF"),
+    ("digits", "^[0-9]+=*$", DIGITS),
+    ("small", "^[a-z]+=*$", SMALL),
+    ("capital", "^[A-Z]+=*$", CAPITAL),
 ]
 BINS, PER_DECADE = 3000, 100
 
@@ -76,29 +86,50 @@ def encoding_of(run: Column) -> Column:
     return out
 
 
-def p_value(run: Column) -> Column:
-    """p-value of a run against 'a name made of words and numbers'; null where no encoding is inferred."""
-    body = F.regexp_replace(run, "=+$", "")
-    n = F.length(body).cast("double")
-    result = F.lit(None).cast("double")
-    for name, _, alphabet in reversed(ENCODINGS):
-        symbols = F.translate(body, "_-", "/+") if name == "base64" else body
-        size, table = len(alphabet), F.array(*[F.lit(a) for a in alphabet])
-        squares = F.aggregate(table, F.lit(0.0), lambda acc, a: acc + F.pow((F.length(symbols) - F.length(F.replace(symbols, a, F.lit("")))).cast("double"), 2))
-        chi = squares * size / n - n
-        df = float(size - 1)
-        uneven = upper_tail((F.pow(F.greatest(chi, F.lit(0.0)) / df, 1 / 3) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5)
-        codes = F.transform(F.split(symbols, ""), lambda c: F.instr(F.lit(alphabet), c).cast("double"))
-        mean = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v) / n
-        spread = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
-        pairs = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: (a - mean) * (b - mean))
-        serial = F.aggregate(pairs, F.lit(0.0), lambda acc, v: acc + v) / F.greatest(spread, F.lit(1e-9)) * F.sqrt(n)
-        kinds = F.split(F.translate(body, DIGITS + SMALL + CAPITAL + "+/_-", "0" * 10 + "a" * 26 + "A" * 26 + "...."), "")
-        changes = F.zip_with(F.slice(kinds, 1, F.size(kinds) - 1), F.slice(kinds, 2, F.size(kinds) - 1), lambda a, b: F.when(a != b, 1.0).otherwise(0.0))
-        z = (F.aggregate(changes, F.lit(0.0), lambda acc, v: acc + v) - 0.2 * (n - 1) - 0.5) / F.sqrt(0.16 * (n - 1))
-        p = F.when((uneven < 0.001) | (upper_tail(F.abs(serial)) < 0.0005), F.lit(1.0)).otherwise(upper_tail(z))
-        result = F.when(encoding_of(run) == name, p).otherwise(result)
-    return result
+def candidates(runs: Column) -> Column:
+    """array<struct<s, e, m, encoding>>: each run that fits an encoding, and the parts of each other run."""
+    whole = F.transform(runs, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), encoding_of(x["m"]).alias("encoding")))
+
+    def parts(x):
+        inner = spans(x["m"], F.regexp_extract_all(x["m"], F.lit(PART), F.lit(0)), PART)
+        moved = F.transform(inner, lambda y: F.struct((x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), y["m"].alias("m"), encoding_of(y["m"]).alias("encoding")))
+        return F.when(x["encoding"].isNotNull(), F.array(x)).otherwise(moved)
+
+    return F.flatten(F.transform(whole, parts))
+
+
+def symbols_of(run: Column, encoding: Column) -> Column:
+    """struct<body, symbols, alphabet> of a run: without padding and group marks, in the alphabet of its encoding."""
+    plain = F.regexp_replace(run, "=+$", "")
+    body = F.when(encoding.startswith("grouped"), F.replace(plain, F.lit("-"), F.lit(""))).otherwise(plain)
+    alphabet = F.lit("")
+    for name, _, letters in ENCODINGS:
+        alphabet = F.when(encoding == name, F.lit(letters)).otherwise(alphabet)
+    symbols = F.when(encoding.endswith("64"), F.translate(plain, "_-", "/+")).otherwise(body)
+    return F.struct(body.alias("body"), symbols.alias("symbols"), alphabet.alias("alphabet"))
+
+
+def p_value(run: Column, encoding: Column) -> Column:
+    """p-value of a struct of ``symbols_of`` against 'a name made of words and numbers'. One expression for all encodings, as plans grow with it."""
+    body, symbols, alphabet = (run[c] for c in ("body", "symbols", "alphabet"))
+    n, size = F.length(body).cast("double"), F.length(alphabet).cast("double")
+    squares = F.aggregate(F.split(alphabet, ""), F.lit(0.0), lambda acc, a: acc + F.pow((F.length(symbols) - F.length(F.replace(symbols, a, F.lit("")))).cast("double"), F.lit(2.0)))
+    df = size - 1
+    uneven = upper_tail((F.pow(F.greatest(squares * size / n - n, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)))
+    codes = F.transform(F.split(symbols, ""), lambda c: F.instr(alphabet, c).cast("double"))
+    # sums of whole numbers, so that no lambda holds another sum and long runs take linear time
+    total = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v)
+    spread = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v * v) - total * total / n
+    products = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: a * b)
+    ends = F.element_at(codes, 1) + F.element_at(codes, -1)
+    together = F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v) - total / n * (2 * total - ends) + (n - 1) * (total / n) * (total / n)
+    serial = together / F.greatest(spread, F.lit(1e-9)) * F.sqrt(n)
+    kinds = F.split(F.translate(body, DIGITS + SMALL + CAPITAL + "+/_-", "0" * 10 + "a" * 26 + "A" * 26 + "...."), "")
+    changes = F.zip_with(F.slice(kinds, 1, F.size(kinds) - 1), F.slice(kinds, 2, F.size(kinds) - 1), lambda a, b: F.when(a != b, 1.0).otherwise(0.0))
+    z = (F.aggregate(changes, F.lit(0.0), lambda acc, v: acc + v) - 0.2 * (n - 1) - 0.5) / F.sqrt(0.16 * (n - 1))
+    p = F.when((uneven < 0.001) | (upper_tail(F.abs(serial)) < 0.0005), F.lit(1.0)).otherwise(upper_tail(z))
+    # a run of one kind has no change, so the runs test never finds it
+    return F.when(encoding.isin("digits", "small", "capital"), F.lit(1.0)).otherwise(p)
 
 
 def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01, keep_text: bool = True) -> tuple[DataFrame, str]:
@@ -118,7 +149,8 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01, keep_text:
     found = found.withColumns({c: spans(text, F.col(f"{c}_m"), p) for c, p in zip(inner, patterns, strict=True)})
     long_enough = F.filter(inner[0], lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 12)
     base = F.concat(*[of_kind(a, i) for i, a in enumerate([long_enough, F.col(inner[1]), F.col(inner[2])])])
-    tried = F.filter(F.transform(inner[3], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), p_value(x["m"]).alias("p"))), lambda x: x["p"].isNotNull())
+    prepared = F.transform(F.filter(candidates(F.col(inner[3])), lambda x: x["encoding"].isNotNull()), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["encoding"].alias("encoding"), symbols_of(x["m"], x["encoding"]).alias("of")))
+    tried = F.transform(prepared, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), p_value(x["of"], x["encoding"]).alias("p")))
     kept = [c for c in docs.columns if keep_text or c != text_col]
     rows = stage(found.select(*kept, base.alias("__base"), tried.alias("__tried")))
 
@@ -146,8 +178,8 @@ def count_of(found: Column, kind: int) -> Column:
 
 
 def bin_of(p: Column, n: Column, mean: float) -> Column:
-    """Steps of 10^-0.01 down to the p-value over its weight, rounded to the larger p."""
-    return F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(-F.log10(p * F.lit(float(mean)) / n) * PER_DECADE).cast("int")))
+    """Steps of 10^-0.01 down to the p-value over its weight, rounded to the larger p; no weight makes a p-value of 1 smaller."""
+    return F.when(p >= 1, 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(-F.log10(p * F.lit(float(mean)) / n) * PER_DECADE).cast("int"))))
 
 
 def listing(found: Column, last_kind: int = 3) -> Column:

@@ -434,3 +434,12 @@ def test_common_helpers(spark):
     rows = spark.createDataFrame([(5,), (None,), (123456,)], "doc_id long").select("doc_id", remainder(F.col("doc_id"), 7).alias("r")).collect()
     assert {x.doc_id: x.r for x in rows} == {5: zlib.crc32(b"5") % 7, None: 0, 123456: zlib.crc32(b"123456") % 7}
     assert pd.Series([1]).sum() == 1
+
+
+@pytest.mark.parametrize("source, text", [
+    ("<html><head><title>t</title><p>Hello <b>all</b>", "Hello all"),
+    ("<head><meta charset=x><style>b{}</style>Hello", "Hello"),
+    ("<head><title>t</title></head><body>x <svg><title>no</title><text>seen</text></svg> <math><mi>y</mi></math>", "x seen y"),
+])
+def test_html_open_head_and_drawn_text(source, text):
+    assert html_render.render(source) == text

@@ -2,7 +2,7 @@
 
 The builder closes what HTML lets authors leave open (``p`` before blocks, ``li``, ``dt``/``dd``, ``tr``/``td``/``th``, ``option``),
 opens nothing it was not told to, ignores end tags without a start, and never recurses, so depth is no limit. Not visible are
-the head with everything in it, script, style, template, noscript, iframe and the like, comments, ``hidden`` elements,
+the head with everything in it (its end tag may be missing: text or a tag that has no place in it ends it), script, style, template, noscript, iframe and the like, comments, ``hidden`` elements,
 ``aria-hidden="true"`` and inline styles with ``display:none`` or ``visibility:hidden``.
 
 All other text is emitted: white space collapsed outside ``pre`` and ``textarea``, one line per block, an empty line around
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from threatframe.llm.common import slices
 
 # fixed values of the HTML standard
+# start tags that may stand in the head; any other ends it, and so does text
+IN_HEAD = set("base link meta title style script noscript template".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("head script style template noscript iframe object audio video canvas svg math title datalist".split())
+HIDDEN = set("head script style template noscript iframe object audio video canvas title desc defs metadata datalist".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure article section fieldset".split())
 BLOCK = SPACED | set("html body div address aside center details dialog dd dt fieldset figcaption footer form header hgroup li main menu nav search summary tr caption thead tbody tfoot legend option optgroup".split())
@@ -97,6 +99,8 @@ def build(source: str) -> Node:
         m = TOKEN.search(source, at)
         text = source[at : m.start() if m else n]
         if text:
+            if stack[-1].tag == "head" and SPACE.sub("", text):
+                stack.pop()
             stack[-1].children.append(html.unescape(text))
         if not m:
             break
@@ -118,6 +122,8 @@ def build(source: str) -> Node:
                 if stack[i].tag in SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
                     break
             continue
+        if stack[-1].tag == "head" and name not in IN_HEAD and name != "head":
+            stack.pop()
         if name in CLOSES_P:
             close({"p"}, SCOPE)
         if name in IMPLIED:

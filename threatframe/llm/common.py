@@ -45,3 +45,21 @@ def slices(lengths, limit: int):
         total += n
     if begin < len(lengths):
         yield begin, len(lengths)
+
+
+class Memory(dict):
+    """What ``make`` gave for recent words, in at most about ``limit`` bytes. Long words, which hardly repeat, are not remembered."""
+
+    def __init__(self, make, limit: int = 48 << 20, longest: int = 64):
+        super().__init__()
+        self.make, self.limit, self.longest, self.held = make, limit, longest, 0
+
+    def __missing__(self, word):
+        value = self.make(word)
+        if len(word) <= self.longest:
+            if self.held > self.limit:
+                self.clear()
+                self.held = 0
+            self.held += 200 + 2 * len(word)
+            self[word] = value
+        return value

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatframe.llm import bpe, brown_lm, embedding, exact_dedup, html_render, ngram_jaccard, packing, quality, secrets, url_filter
+from threatframe.llm import bpe, brown_lm, embedding, exact_dedup, html_render, ngram_jaccard, packing, piece_bpe, quality, secrets, url_filter
 from threatframe.llm.common import id_and_text, remainder, table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -65,8 +65,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(secrets.listing(F.col(name), 2), 256).alias("base_sha256"), secrets.listing(F.col(name)).alias("spans"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    plain = piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents"), model), model)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return plain.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_exact_dedup, op3_best_fit_packing, op4_brown_lm, op5_ngram_jaccard, op6_quality_cnn,
-                                   op7_html_layout, op8_embedding_dedup, op9_byte_bpe, op10_secret_scan)}
+                                   op7_html_layout, op8_embedding_dedup, op9_byte_bpe, op10_secret_scan, op11_sentencepiece)}
 
 ORACLES = {
     "op1_url_filter": r"""

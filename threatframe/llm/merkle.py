@@ -27,6 +27,8 @@ from threatframe.llm.common import unused
 from threatframe.session import Scratch
 
 WORD_BITS, FAN_BITS = 6, 10
+#: Number of an id's word, from 0: words of negative ids come first, and all numbers meet in one node after some shifts.
+WORD = f"shiftright(id, {WORD_BITS}) + {1 << (63 - WORD_BITS)}L"
 
 
 def field(column: Column) -> Column:
@@ -48,7 +50,7 @@ def before(keys: list[str], order: list[str]) -> Column:
 def directory(leaves: DataFrame, tables: Scratch) -> DataFrame:
     """(grp, word, bits, n, base) of each word of the bitmaps: ``n`` rows, ``base`` rows with ids of earlier words."""
     bit = "shiftleft(1L, cast(id & 63 as int))"
-    words = leaves.where("id is not null").groupBy("grp", F.expr(f"shiftright(id, {WORD_BITS})").alias("word"))
+    words = leaves.where("id is not null").groupBy("grp", F.expr(WORD).alias("word"))
     words = tables.write("words", words.agg(F.expr(f"bit_or({bit})").alias("bits"), F.count(F.lit(1)).alias("n")))
     ends = words.agg(F.min("word").alias("low"), F.max("word").alias("high")).first()
     low, high, levels = ends.low or 0, ends.high or 0, []
@@ -89,7 +91,7 @@ def places(leaves: DataFrame, tables: Scratch) -> DataFrame:
     words = directory(leaves, tables)
     nulls = leaves.where("id is null").groupBy("grp").agg(F.count(F.lit(1)).alias("nulls"))
     lower = "bits & ~shiftleft(-1L, cast(id & 63 as int))"
-    plain = leaves.where("id is not null").withColumn("word", F.expr(f"shiftright(id, {WORD_BITS})"))
+    plain = leaves.where("id is not null").withColumn("word", F.expr(WORD))
     found = plain.join(words, ["grp", "word"]).withColumn("place", F.expr(f"base + bit_count({lower})"))
     some_null = not nulls.isEmpty()
     if some_null:

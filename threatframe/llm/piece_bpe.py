@@ -9,8 +9,8 @@ the first to do so in the two pieces alone. A bitfield holds the places from whi
 and the work is linear in the text for any text.
 
 Pieces that merging never makes (their own characters merge to something else) are left out. A character in no piece never
-merges: it becomes the ids of its bytes, and the text is cut around it. The text is also cut before a run of spaces where no
-piece goes on across one; each word of a task is worked out once and remembered, up to a fixed number of bytes.
+merges: it becomes the ids of its bytes, and the text is cut around it. The text is also cut before a run of spaces, and between a
+letter and a mark, where no piece holds the two; each word of a task is worked out once and remembered, up to a fixed number of bytes.
 
 Models must have byte fallback, no character map, no user-defined pieces, and keep white space as it is; others are refused.
 Null text is empty: no ids, which decode to the empty text. Null ids of documents stay null, repeated rows are coded each, texts
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from threatframe.llm.common import Memory, id_and_text, slices
 
-AT_ONCE, PAIRS = 2_000_000, 1_000_000
+AT_ONCE, PAIRS, REMEMBERED = 2_000_000, 1_000_000, 128 << 20
 SPACE = "▁"
 #: Numbers of a model file: kinds of pieces, and the type of the model that merges.
 NORMAL, UNKNOWN, CONTROL, BYTE, MERGES = 1, 2, 3, 6, 2
@@ -118,7 +118,10 @@ class PieceBpe:
         self.unknown = re.compile(f"([^{re.escape(''.join(sorted(letters)))}])")
         odd = re.escape("".join(c for c in map(chr, range(128)) if c not in letters and c != " "))
         inside = any(SPACE in p.lstrip(SPACE) for p in own)
-        self.words = re.compile(f"[^{odd}]+|[{odd}]" if inside else f"{SPACE}*[^{SPACE}{odd}]+|[{odd}]|{SPACE}+")
+        after = set("".join(m for p in own for m in re.findall(r"(?<=[^\W\d_])[\W\d_]", p)))
+        tail = re.escape("".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in after))
+        cut = f"[^\\W\\d_]++(?=[{tail}])|" if tail else ""
+        self.words = re.compile(f"[^{odd}]+|[{odd}]" if inside else f"{SPACE}*(?:{cut}[^{SPACE}{odd}]+)|[{odd}]|{SPACE}+")
         self.plain = [model.surface.encode() if k == UNKNOWN else b"" if k == CONTROL else bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode()
                       for p, k in zip(model.pieces, model.kinds, strict=True)]
 
@@ -141,28 +144,33 @@ class PieceBpe:
 
     def search(self, word: str) -> list[int]:
         """Numbers of the pieces of a text made of known characters."""
-        n, size, shorter = len(word), self.size, self.shorter
-        longest = array("i", bytes(4 * n))
+        n, size, shorter, pairs, many = len(word), self.size, self.shorter, self.pairs, len(self.size)
+        # long words are rare: for them numbers instead of references, an eighth of the memory
+        longest = [0] * n if n < 1000 else array("i", bytes(4 * n))
         for end, t in self.matches.iter(word):  # by end, so the last of a place is its longest
-            longest[end - size[t] + 1] = t
-        failed = bytearray(n // 8 + 1)
-        out, at, token = [], 0, longest[0]
+            longest[end + 1 - size[t]] = t
+        failed, stuck = bytearray(n // 8 + 1), False
+        out, at, last, token = [], 0, -1, longest[0]
         while at < n:
-            last = out[-1] if out else -1
             while token >= 0:
                 end = at + size[token]
-                if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or self.fits(last, token)):
-                    break
+                if not (stuck and failed[end >> 3] >> (end & 7) & 1):
+                    if last < 0:
+                        break
+                    fits = pairs.get(last * many + token)
+                    if fits or (fits is None and self.fits(last, token)):
+                        break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at = end
+                at, last = end, token
                 token = longest[at] if at < n else -1
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                out.pop()
+                stuck = True
+                token = shorter[out.pop()]
                 at -= size[last]
-                token = shorter[last]
+                last = out[-1] if out else -1
         return out
 
     def code(self, word: str) -> bytes:
@@ -221,7 +229,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def coded(batches):
         coder = PieceBpe.of(model_path)
-        known = Memory(coder.code)
+        known = Memory(coder.code, REMEMBERED)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for low, high in slices([len(t) for t in texts], AT_ONCE):

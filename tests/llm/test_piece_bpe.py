@@ -66,8 +66,10 @@ def test_search_steps_back():
     coder.size, coder.pairs = [len(p) for p in coder.texts], {}
     coder.shorter = [next((number[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in number), -1) for p in coder.texts]
     coder.matches = piece_bpe.ahocorasick.Automaton()
+    coder.single = {p: t for p, t in number.items() if len(p) == 1}
     for p, t in number.items():
-        coder.matches.add_word(p, t)
+        if len(p) > 1:
+            coder.matches.add_word(p, t)
     coder.matches.make_automaton()
     r = random.Random(3)
     for text in ["abc", "abd", "abcabd", *("".join(r.choices("abcd", k=r.randint(1, 12))) for _ in range(500))]:

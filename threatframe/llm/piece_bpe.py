@@ -84,12 +84,16 @@ class PieceModel:
 
 def merged(text: str, ranks: dict[str, int]) -> list[str]:
     """The symbols that merging leaves, by its definition; for short texts."""
-    symbols = list(text)
-    while len(symbols) > 1:
-        best = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])))
-        if best[0] == len(ranks):
-            break
-        symbols[best[1] : best[1] + 2] = [symbols[best[1]] + symbols[best[1] + 1]]
+    symbols, none = list(text), len(ranks)
+    found = [ranks.get(a + b, none) for a, b in zip(symbols, symbols[1:])]
+    while found and (best := min(found)) < none:
+        i = found.index(best)
+        symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+        del found[i]
+        if i:
+            found[i - 1] = ranks.get(symbols[i - 1] + symbols[i], none)
+        if i < len(found):
+            found[i] = ranks.get(symbols[i] + symbols[i + 1], none)
     return symbols
 
 
@@ -110,9 +114,12 @@ class PieceBpe:
         self.size = [len(p) for p in self.texts]
         # the longest piece that a piece begins with
         self.shorter = [next((number[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in number), -1) for p in self.texts]
+        # single characters match where they stand, without the automaton
+        self.single = {p: t for p, t in number.items() if len(p) == 1}
         self.matches = ahocorasick.Automaton()
         for p, t in number.items():
-            self.matches.add_word(p, t)
+            if len(p) > 1:
+                self.matches.add_word(p, t)
         self.matches.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.unknown = re.compile(f"([^{re.escape(''.join(sorted(letters)))}])")
@@ -145,8 +152,7 @@ class PieceBpe:
     def search(self, word: str) -> list[int]:
         """Numbers of the pieces of a text made of known characters."""
         n, size, shorter, pairs, many = len(word), self.size, self.shorter, self.pairs, len(self.size)
-        # long words are rare: for them numbers instead of references, an eighth of the memory
-        longest = [0] * n if n < 1000 else array("i", bytes(4 * n))
+        longest = array("i", map(self.single.__getitem__, word)) if n > 1000 else list(map(self.single.__getitem__, word))
         for end, t in self.matches.iter(word):  # by end, so the last of a place is its longest
             longest[end + 1 - size[t]] = t
         failed, stuck = bytearray(n // 8 + 1), False
@@ -189,11 +195,12 @@ class PieceBpe:
         return b"".join(map(known.__getitem__, self.words.findall((SPACE if self.model.prefix else "") + text.replace(" ", SPACE))))
 
     def decode(self, ids: list[int]) -> str:
-        kinds, plain = self.model.kinds, self.plain
-        data = b"".join(map(plain.__getitem__, ids))
+        return self.text_of(b"".join(map(self.plain.__getitem__, ids)), ids)
+
+    def text_of(self, data: bytes, ids) -> str:
+        """The text of ids whose pieces joined are ``data``."""
         # the space put before the text goes; only a normal piece loses one, and only where nothing stands before it
-        first = next((i for i in ids if kinds[i] != CONTROL), None)
-        if self.model.prefix and first is not None and kinds[first] == NORMAL and data.startswith(b" "):
+        if self.model.prefix and data.startswith(b" ") and self.model.kinds[next(i for i in ids if self.model.kinds[i] != CONTROL)] == NORMAL:
             data = data[1:]
         try:
             return data.decode()
@@ -246,11 +253,16 @@ def decode(coded: DataFrame, model_path: str) -> DataFrame:
 
     def plain(batches):
         coder = PieceBpe.of(model_path)
+        sizes = np.array([len(p) for p in coder.plain])
         for batch in batches:
             lengths = batch.column(1).value_lengths().fill_null(0).to_pylist()
             for low, high in slices(lengths, AT_ONCE):
                 part = batch.slice(low, high - low)
-                texts = [None if x is None else coder.decode(x) for x in part.column(1).to_pylist()]
+                ids = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                data = b"".join(map(coder.plain.__getitem__, ids.tolist()))
+                ends = np.cumsum([0, *lengths[low:high]])
+                cuts = np.r_[0, np.cumsum(sizes[ids])][ends].tolist()
+                texts = [None if null else coder.text_of(data[cuts[k] : cuts[k + 1]], ids[ends[k] : ends[k + 1]]) for k, null in enumerate(part.column(1).is_null().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return coded.select("doc_id", "ids").mapInArrow(plain, "doc_id long, ids array<int>, text string")

@@ -54,8 +54,37 @@ def test_digest_index_is_persistent_and_bucketed(spark):
     index.append(index.frame())  # the same batch once more changes nothing
     assert index.frame().count() == 3
     groups = spark.createDataFrame([(bytearray(b"1" * 32), 1)], "digest binary, keep_id long")
-    plan = groups.hint("merge").join(index.frame().select("digest"), "digest", "left_anti")._jdf.queryExecution().toString()
-    assert "SortMergeJoin" in plan and plan.split("== Physical Plan ==")[1].count("Exchange") == 1
+    plan = index.unknown(groups)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and plan.split("== Physical Plan ==")[1].count("Exchange") == 1
+
+
+def test_digest_index_outlives_its_session(spark, tmp_path):
+    """A catalogue that has forgotten the table finds the stored files again, with the buckets they were written with."""
+    path = f"{tmp_path}/index"
+    first = exact_dedup.DigestIndex(spark, path=path, buckets=4)
+    exact_dedup.dedup(frame(spark, [(i, f"text {i}") for i in range(50)]), first).collect()
+    spark.sql(f"DROP TABLE {first.name}")
+    second = exact_dedup.DigestIndex(spark.newSession(), path=path, buckets=8)
+    exact_dedup.dedup(frame(spark, [(100 + i, f"text {i}") for i in range(40, 100)]), second).collect()
+    assert second.buckets == 4 and second.frame().count() == 100
+    assert {r.keep_id for r in second.frame().collect()} == {*range(50), *range(150, 200)}
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_path}/other")
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, path=f"{tmp_path}/other").frame()
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_exact_dedup_in_batches(spark, batches):
+    rows = [(i, f"t  {i % 7}" if i % 2 else f"t {i % 7}") for i in range(-20, 60)] + [(None, "t 3"), (None, "only null")]
+    index = exact_dedup.DigestIndex(spark, buckets=4)
+    got = sorted(((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.dedup(frame(spark, rows), index, batches=batches).collect()), key=str)
+    group = lambda t: " ".join(t.split())
+    members = collections.defaultdict(list)
+    for d, t in rows:
+        members[group(t)].append(d)
+    least = {g: min((d for d in m if d is not None), default=None) for g, m in members.items()}
+    assert got == sorted(((d, least[group(t)], len(members[group(t)])) for d, t in rows), key=str)
+    assert index.frame().count() == len(members)
 
 
 def test_url_filter_cases(spark):

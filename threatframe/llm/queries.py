@@ -19,7 +19,8 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = exact_dedup.dedup(table(spark, sf_dir, "documents"), exact_dedup.DigestIndex(spark))
+    # two batches, so that the second meets an index that holds the digests of the first
+    found = exact_dedup.dedup(table(spark, sf_dir, "documents"), exact_dedup.DigestIndex(spark), batches=2)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

@@ -3,7 +3,7 @@
 Tier one: bytes of a pre-token are hashed once; a displacement per bucket sends every vocabulary entry to a slot of its own
 (as many slots as entries), where one comparison decides. Tier two: bytes form a linked list, and a heap holds the rank of
 every adjacent pair; the lowest rank, then the leftmost pair, is merged until no pair is in the vocabulary. A heap keeps very
-long pre-tokens at n log n steps. Recent pre-tokens are remembered with their ids, up to a fixed number.
+long pre-tokens at n log n steps. Recent pre-tokens are remembered with their ids, up to a fixed number of bytes.
 
 Null or empty text has no ids and decodes to empty bytes; null ids stay null; repeated rows are encoded each; an empty
 table gives an empty result.
@@ -20,9 +20,9 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from threatframe.llm.common import id_and_text, slices
+from threatframe.llm.common import Memory, id_and_text, slices
 
-REMEMBERED, AT_ONCE = 400_000, 2_000_000
+REMEMBERED, AT_ONCE = 96 << 20, 1_000_000
 MASK, STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
 
@@ -107,7 +107,7 @@ class ByteBpe:
         self.ranks = read_ranks(path)
         self.keys = list(self.ranks)
         self.ids = [self.ranks[k] for k in self.keys]
-        self.hash, self.split, self.known = PerfectHash(self.keys), regex.compile(pattern), {}
+        self.hash, self.split, self.known = PerfectHash(self.keys), regex.compile(pattern), Memory(self.code, REMEMBERED)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
 
     @classmethod
@@ -124,13 +124,7 @@ class ByteBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        words, known = self.split.findall(text), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self.code(w)
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.known.__getitem__, self.split.findall(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

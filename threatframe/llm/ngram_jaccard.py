@@ -37,14 +37,16 @@ from threatframe.session import Scratch, stage
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LONGEST, VERIFY_COST = 4, 10.0
-REMEMBERED, AT_ONCE, FILTER_BYTES = 500_000, 4_000_000, 64 << 20
+REMEMBERED, LONG, AT_ONCE, FILTER_BYTES = 300_000, 64, 1_000_000, 64 << 20
 
 
 class Words(dict):
-    """64-bit hash of each word met."""
+    """64-bit hash of each word met; long ones, which hardly repeat, are not remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
+        code = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONG:
+            self[word] = code
         return code
 
 

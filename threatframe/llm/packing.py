@@ -34,8 +34,8 @@ from threatframe.llm.common import id_and_text, slices
 from threatframe.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-#: Words a worker remembers with their ids, and characters it works on at a time.
-REMEMBERED, AT_ONCE, PUNCTUATION = 400_000, 4_000_000, ".,;:!?"
+#: Bytes of words with their ids that a worker remembers, characters it works on at a time, and bytes from which a word is long.
+REMEMBERED, AT_ONCE, LONG, PUNCTUATION = 48 << 20, 1_000_000, 64, ".,;:!?"
 
 
 class WordTokenizer:
@@ -53,7 +53,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.held = Tokenizer.from_file(path), {}, 0
         self.tokenizer.encode_special_tokens = True
         model = json.loads(self.tokenizer.to_str())
         suffix = model["model"].get("end_of_word_suffix")
@@ -119,11 +119,19 @@ class WordTokenizer:
         """Little-endian unsigned 32-bit ids of each text."""
         data = [t.encode("utf-8", "replace") for t in texts]
         words = [(d.lower() if self.lower else d).split() for d in data]
-        if len(self.known) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.known.clear()
-        self.learn(set().union(*words).difference(self.known))
+            self.held = 0
+        new = set().union(*words).difference(self.known)
+        before = len(self.known)
+        self.learn(new)
+        self.held += 250 * (len(self.known) - before)
         ids = self.known.__getitem__
-        return [b"".join(map(ids, ws)) for ws in words]
+        out = [b"".join(map(ids, ws)) for ws in words]
+        for word in new:  # long words hardly repeat
+            if len(word) > LONG:
+                del self.known[word]
+        return out
 
 
 def tokenize(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -219,7 +219,7 @@ def score(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col: str
         tables = network.pair_tables()
         for batch in batches:
             texts = batch["text"].tolist()
-            for low, high in slices([len(t) for t in texts], 20 * AT_ONCE):
+            for low, high in slices([len(t) for t in texts], 5 * AT_ONCE):
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[low:high].astype("Int64"), "score": network.score(texts[low:high], tables).astype(np.float64)})
 
     return id_and_text(docs, id_col, text_col).mapInPandas(scored, "doc_id long, score double")
@@ -234,7 +234,9 @@ def keep_good(docs: DataFrame, model: ByteCnn, threshold: float = 0.3, text_col:
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         network = shared.value
         tables = network.pair_tables()
-        for texts in batches:
-            yield pd.Series(network.score(texts.tolist(), tables))
+        for batch in batches:
+            texts = batch.tolist()
+            parts = [network.score(texts[low:high], tables) for low, high in slices([len(t) for t in texts], 5 * AT_ONCE)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return docs.withColumn(name, judged(F.coalesce(F.col(text_col), F.lit("")))).where(F.col(name) >= threshold).drop(name)

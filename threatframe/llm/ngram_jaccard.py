@@ -26,6 +26,7 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +82,7 @@ def shingles(texts: list[str], n: int, words: Words) -> list[np.ndarray]:
 
 
 def shingled(docs: DataFrame, n: int, share: float | None, wanted=None) -> DataFrame:
-    """doc_id, mark, n_shingles, digest of every row, and ``head``: all hashes, those below ``share`` of their range, or none for 0.
+    """doc_id, mark, n_shingles, digest of every row, and ``head``: all hashes, or those below ``share`` of their range.
 
     ``wanted``, a broadcast Bloom filter over the hash of ids, leaves out rows that it can't hold."""
     bound = np.uint64(int(share * 2**63) * 2) if share else None
@@ -94,13 +95,10 @@ def shingled(docs: DataFrame, n: int, share: float | None, wanted=None) -> DataF
             texts = batch["text"].tolist()
             for low, high in slices([len(t) for t in texts], AT_ONCE):
                 sets = shingles(texts[low:high], n, words)
-                frame = pd.DataFrame({"doc_id": batch["doc_id"].iloc[low:high].astype("Int64"), "mark": batch["mark"].iloc[low:high], "n_shingles": np.array([len(s) for s in sets], dtype=np.int64), "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]})
-                if share != 0:
-                    frame["head"] = [(s if bound is None else s[: np.searchsorted(s, bound)]).view(np.int64) for s in sets]
-                yield frame
+                heads = [(s if bound is None else s[: np.searchsorted(s, bound)]).view(np.int64) for s in sets]
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[low:high].astype("Int64"), "mark": batch["mark"].iloc[low:high], "n_shingles": np.array([len(s) for s in sets], dtype=np.int64), "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "head": heads})
 
-    schema = "doc_id long, mark long, n_shingles long, digest binary" + (", head array<long>" if share != 0 else "")
-    return docs.mapInPandas(rows, schema)
+    return docs.mapInPandas(rows, "doc_id long, mark long, n_shingles long, digest binary, head array<long>")
 
 
 def unsigned(column):
@@ -108,13 +106,16 @@ def unsigned(column):
     return column.bitwiseXOR(F.lit(-(2**63)))
 
 
-def prefix_plan(n: int, places: np.ndarray, dfs: np.ndarray, percent: int) -> tuple[int, int]:
-    """l and prefix length for a set of n n-grams, of which those at ``places`` of the order (ascending) are in ``dfs`` sets."""
+def prefix_plans(n: np.ndarray, owner: np.ndarray, places: np.ndarray, dfs: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """l and prefix length of sets of ``n`` n-grams, of which those at ``places`` of the order are in ``dfs`` sets; ``owner``: the set of each."""
     base = n - -(-percent * n // 100)
-    most = max(1, min(LONGEST, n - base))
-    listed = np.cumsum(np.r_[0.0, dfs - 1.0])
-    costs = [listed[np.searchsorted(places, base + k)] * (1 + VERIFY_COST / k) for k in range(1, most + 1)]
-    best = 1 + int(np.argmin(costs))
+    most = np.maximum(1, np.minimum(LONGEST, n - base))
+    costs = np.full((LONGEST, len(n)), np.inf)
+    for k in range(1, LONGEST + 1):
+        inside = places < base[owner] + k
+        listed = np.bincount(owner[inside], weights=dfs[inside] - 1.0, minlength=len(n))
+        costs[k - 1] = np.where(k <= most, listed * (1 + VERIFY_COST / k), np.inf)
+    best = 1 + np.argmin(costs, axis=0)
     return best, base + best
 
 
@@ -124,26 +125,29 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
 
     def listed(batches):
         for batch in batches:
-            out = []
-            for uid, n, size, known in zip(batch["uid"], batch["n"], batch["k"], batch["known"], strict=True):
-                h, df, rank, place = np.array([(x["h"], x["df"], x["rank"], x["place"]) for x in known], dtype=np.int64).T
-                order = np.argsort(place)
-                h, df, rank, place = h[order], df[order], rank[order], place[order]
-                last = rank == 2
+            for low, high in slices(batch.column(3).value_lengths().to_pylist(), AT_ONCE):
+                part = batch.slice(low, high - low)
+                uid, n, size = (part.column(i).to_numpy() for i in range(3))
+                known = part.column(3).flatten()
+                h, df, rank, place = (known.field(c).to_numpy(zero_copy_only=False) for c in ("h", "df", "rank", "place"))
+                owner = np.repeat(np.arange(len(n)), part.column(3).value_lengths().to_numpy())
                 # frequent ones leave their places and follow all others, by frequency, then hash
-                ahead = place - np.cumsum(last)
+                order = np.lexsort((place, owner))
+                h, df, last, place, owner = h[order], df[order], rank[order] == 2, place[order], owner[order]
+                frequent = np.bincount(owner, weights=last, minlength=len(n)).astype(np.int64)
+                final = place - (np.cumsum(last) - (np.cumsum(frequent) - frequent)[owner])
                 behind = np.flatnonzero(last)
-                behind = behind[np.lexsort((h[behind].view(np.uint64), df[behind]))]
-                final = np.r_[ahead[~last], size - len(behind) + np.arange(len(behind))]
-                at = np.r_[np.flatnonzero(~last), behind]
-                matches, length = prefix_plan(int(n), final, df[at], percent)
-                chosen = at[: np.searchsorted(final, length)]
-                if len(chosen):
-                    out.append(pd.DataFrame({"h": h[chosen], "uid": uid, "n": n, "l": matches, "central": float(np.log(df).sum() / size), "at": final[: len(chosen)]}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+                behind = behind[np.lexsort((h[behind].view(np.uint64), df[behind], owner[behind]))]
+                whose = owner[behind]
+                final[behind] = (size - frequent)[whose] + np.arange(len(behind)) - (np.cumsum(frequent) - frequent)[whose]
+                matches, length = prefix_plans(n, owner, final, df, percent)
+                central = np.bincount(owner, weights=np.log(df), minlength=len(n)) / size
+                chosen = final < length[owner]
+                who = owner[chosen]
+                columns = [h[chosen], uid[who], n[who], matches[who].astype(np.int32), central[who], final[chosen]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "uid", "n", "l", "central", "at"])
 
-    return sets.select("uid", "n", "k", "known").mapInPandas(listed, "h long, uid long, n long, l int, central double, at long")
+    return sets.selectExpr("uid", "n", "cast(k as long) as k", "known").mapInArrow(listed, "h long, uid long, n long, l int, central double, at long")
 
 
 def possible(percent: int) -> str:
@@ -182,9 +186,11 @@ def link(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 64, sta
     """doc_id, n_shingles, component_id (if ``marked``, also the text's hash) of every row; documents link at 100 * shared >= percent * united n-grams."""
     texts = id_and_text(docs, id_col, text_col).withColumns({"mark": F.xxhash64("text"), "key": F.xxhash64("doc_id")})
     tables = Scratch(docs.sparkSession)
-    light = stage(shingled(texts, n, 0))
-    sets = shingled(texts, n, COUNTED).where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("head").alias("tokens"))
+    first = tables.write("first", shingled(texts, n, COUNTED))
+    light = stage(first.drop("head"))
+    sets = first.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("head").alias("tokens"))
     sets = tables.write("sets", sets.withColumns({"uid": F.monotonically_increasing_id(), "k": F.size("tokens")}))
+    tables.drop("first")
     names = tables.write("names", sets.select("uid", "n", "k", "digest", "first_id"))
 
     # frequencies within the counted third, and the n-grams of it that several sets have

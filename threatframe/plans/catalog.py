@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -13,7 +14,7 @@ from threatframe.operators import (behavioral, enrich as enrich_ops, evidence, f
                                    rules, signature, statistical, typing)
 from threatframe.plans.demo import log_events, spread, table
 from threatframe.plans.sql_parts import FINDINGS, HITS, PAYLOAD, literal, signature_union, with_events
-from threatframe.session import configure
+from threatframe.session import configure, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1161,6 +1162,28 @@ def _(spark, sf):
         us("ts", "ts_us"), "source_ip", "user_id", "service", a["detail.id"].alias("nested_id"), a["detail.items[0]"].alias("first_item"), "event_type", "outcome")
 
 
+@query("ingest_json_files", with_events() + """SELECT CASE WHEN k % 20 = 0 THEN 'rejected' ELSE 'event' END AS kind, event_id AS id,
+  CASE WHEN k % 20 <> 0 THEN ts_us END AS ts_us, CASE WHEN k % 20 <> 0 THEN user_id END AS user_id, CASE WHEN k % 20 <> 0 THEN source_ip END AS source_ip FROM le""")
+def _(spark, sf):
+    """Files of four layouts: lines (some cut off), arrays over lines, objects over lines one after another, arrays in one line."""
+    from threatframe.sources.json_logs import read_json
+
+    fields = F.struct(_iso("ts").alias("timestamp"), F.col("source_ip").alias("src_ip"), F.col("user_id").alias("username"), F.struct(F.col("event_id").alias("id"), F.lit('} ],\n"{[').alias("odd")).alias("detail"))
+    rows = log_events(spark, sf).select("k", "user_id", F.window("ts", "1 minute").alias("minute"), F.to_json(fields).alias("line"), F.to_json(fields, {"pretty": "true"}).alias("object"))
+    lines = rows.filter("k % 4 = 0").select(F.when(F.col("k") % 20 == 0, F.expr("substring(line, 1, length(line) - 9)")).otherwise(F.col("line")).alias("value"))
+    several = rows.filter("k % 2 = 1").groupBy("user_id", "minute", F.expr("k % 4").alias("layout")).agg(F.collect_list("line").alias("all"))
+    arrays = several.select(F.when(F.col("layout") == 1, F.concat(F.lit("[\n"), F.array_join("all", ",\n"), F.lit("\n]"))).otherwise(F.concat(F.lit("["), F.array_join("all", ", "), F.lit("]"))).alias("value"))
+    objects = rows.filter("k % 4 = 2").select(F.col("object").alias("value"))
+    folder = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    for name, df in (("lines", lines), ("arrays", arrays), ("objects", objects)):
+        df.write.text(f"{folder}/{name}")
+    got = read_json(spark, f"{folder}/*")
+    a, none = F.col("attributes"), F.lit(None)
+    events = got.events.select(F.lit("event").alias("kind"), a["detail.id"].alias("id"), us("ts", "ts_us"), "user_id", "source_ip")
+    rejected = got.rejected.select(F.lit("rejected").alias("kind"), F.regexp_extract("value", '"id":"([^"]*)"', 1).alias("id"), none.cast("long").alias("ts_us"), none.cast("string").alias("user_id"), none.cast("string").alias("source_ip"))
+    return events.unionByName(rejected)
+
+
 @query("ingest_cloudtrail", with_events() + "SELECT ts_us // 1000000 * 1000000 AS ts_us, source_ip, user_id, event_type AS message FROM le")
 def _(spark, sf):
     from threatframe.sources.json_logs import SCHEMAS, json_events, records

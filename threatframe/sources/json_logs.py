@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threatframe.config import CLOUDTRAIL_SCHEMA, MESSAGE_FIELDS, TIMESTAMP_FIELDS, WINDOWS_JSON_SCHEMA
 from threatframe.operators.typing import event_typing
+from threatframe.sources import json_files
 from threatframe.sources.common import Ingest, as_events, number_timestamp, promoted, text_timestamp
 
 SCHEMAS = {"cloudtrail": CLOUDTRAIL_SCHEMA, "windows": WINDOWS_JSON_SCHEMA}
@@ -147,42 +148,28 @@ def records(documents: DataFrame, column: str = "value", member: str | None = No
     return documents.select(F.explode(F.coalesce(parts, F.array(body))).alias("value"))
 
 
-def document_files(spark: SparkSession, path: str) -> list[str]:
-    """Files that are one JSON value over several lines; all others hold one value per line.
-
-    A line that is a value of its own inside such a file is followed by a line that begins with a comma or a closing bracket, and the file
-    begins with a line that isn't complete. Only files where that can be are read as a whole, and there the whole decides.
-    """
-    begin, name = F.substring(F.trim("value"), 1, 1), F.col("_metadata.file_path")
-    lines = spark.read.text(path).select("value", name.alias("file")).filter(F.trim("value") != "")
-    lines = lines.select("file", begin.alias("begin"), strict(F.col("value")).isNotNull().alias("whole"))
-    seen = lines.groupBy("file").agg(
-        F.bool_or(F.col("begin").isin("{", "[") & ~F.col("whole")).alias("open"), F.bool_or("whole").alias("whole"),
-        F.bool_or(F.col("begin").isin(",", "]", "}")).alias("closing"))
-    possible = [row["file"] for row in seen.filter(F.col("open") & (F.col("closing") | ~F.col("whole"))).select("file").collect()]
-    if not possible:
-        return []
-    texts = spark.read.text(path, wholetext=True).filter(name.isin(possible)).filter(strict(F.col("value")).isNotNull())
-    return [row["file"] for row in texts.select(name.alias("file")).collect()]
+def cut_records(texts: DataFrame, member: str | None = None) -> DataFrame:
+    """One row per record of the texts of :func:`threatframe.sources.json_files.texts`; what is no value goes on as its lines."""
+    value = F.col("value")
+    wrapped = F.concat(F.lit("["), value, F.lit("]"))
+    elements = F.when(F.col("listed") & strict(wrapped).isNotNull(), F.from_json(wrapped, "array<string>"))
+    lines = F.when(~F.contains(value, F.lit("\n")) | (~F.col("listed") & strict(value).isNotNull()), F.array(value)).otherwise(F.transform(F.split(value, "\n"), lambda x: F.trim(F.replace(x, F.lit("\r"), F.lit("")))))
+    rows = texts.select(elements.isNotNull().alias("cut"), F.explode(F.coalesce(elements, lines)).alias("value")).filter(F.trim("value") != "")
+    return rows.filter("cut").select("value").unionByName(records(rows.filter("not cut"), member=member))
 
 
 def read_json(spark: SparkSession, path: str, layout: str = "auto", schema: dict[str, str] | None = None,
               wrapped: bool = False, flavour: str | None = None) -> Ingest:
     """Events from JSON files.
 
-    ``layout`` is ``lines`` (one object per line, files are split), ``document`` (a file is one
-    array or object and is read as a whole) or ``auto``: decided for each file, see :func:`document_files`.
-    ``flavour`` is None, ``cloudtrail`` or ``windows``.
+    ``layout`` is ``lines`` (one value per line: no look at the structure, nothing is shuffled), ``document`` (a file is one
+    array or object and is read as a whole, for small files) or ``auto``: lines, arrays, objects over several lines, one after
+    another, in files of any size, see :mod:`threatframe.sources.json_files`. ``flavour`` is None, ``cloudtrail`` or ``windows``.
     """
-    name = F.col("_metadata.file_path")
+    member = "Records" if flavour == "cloudtrail" else None
     if layout == "auto":
-        whole = document_files(spark, path)
-        texts = spark.read.text(path).filter(~name.isin(whole)) if whole else spark.read.text(path)
-        if whole:
-            texts = texts.unionByName(spark.read.text(path, wholetext=True).filter(name.isin(whole)))
+        rows = cut_records(json_files.texts(spark, path, member), member)
     else:
-        texts = spark.read.text(path, wholetext=layout == "document")
-    member = "Records" if flavour == "cloudtrail" else None
-    rows = records(texts.filter(F.trim("value") != ""), member=member)
+        rows = records(spark.read.text(path, wholetext=layout == "document").filter(F.trim("value") != ""), member=member)
     return json_events(rows, schema=schema or SCHEMAS.get(flavour or ""), wrapped=wrapped,
                        source_format=f"json_{flavour}" if flavour else "json")

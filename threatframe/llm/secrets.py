@@ -51,22 +51,35 @@ ENCODINGS = [
     ("small", "^[a-z]+=*$", SMALL),
     ("capital", "^[A-Z]+=*$", CAPITAL),
 ]
-BINS, PER_DECADE = 3000, 100
+BINS, PER_DECADE, BLOCK = 3000, 100, 4096
+
+
+def scanned(values: Column, combine) -> Column:
+    """Running results of ``combine`` over an array of integers, by steps that double: n log n for n items, where adding to an array item by item takes n * n."""
+    n = F.size(values)
+
+    def step(acc, j):
+        return F.zip_with(acc, F.slice(F.concat(F.array_repeat(F.lit(0), F.pow(F.lit(2), j).cast("int")), acc), F.lit(1), n), combine)
+
+    return F.when(n > 1, F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(2)))).cast("int") - 1), values, step)).otherwise(values)
 
 
 def spans(text: Column, matches: Column, pattern: str) -> Column:
-    """array<struct<s, e, m>> of the matches: the pieces between them give the places. Linear in the text."""
+    """array<struct<s, e, m>> of the matches: the pieces between them give the places."""
     gaps = F.split(text, F.lit(pattern), -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("found"))
+    ends = scanned(F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda gap, m: F.length(gap) + F.length(m)), lambda a, b: a + b)
+    found = F.zip_with(ends, matches, lambda e, m: F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("m")))
+    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast("array<struct<s:int,e:int,m:string>>"))
 
-    def step(acc, x):
-        s = acc["at"] + F.length(x["gap"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["found"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("found"))
 
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("m"))
-    found = F.aggregate(pairs, start, step, lambda acc: acc["found"])
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast("array<struct<s:int,e:int,m:string>>"))
+def apart(found: Column, base: Column) -> Column:
+    """Those of the spans ``found`` that overlap none of ``base``: ends of the first and begins of the second in one order, with the largest end so far."""
+    asked = F.transform(found, lambda x: F.struct(x["e"].alias("at"), F.lit(0).alias("of"), F.lit(0).alias("e"), x["s"].alias("s")))
+    there = F.transform(base, lambda b: F.struct(b["s"].alias("at"), F.lit(1).alias("of"), b["e"].alias("e"), F.lit(0).alias("s")))
+    row = F.array_sort(F.concat(asked, there))
+    reach = scanned(F.transform(row, lambda x: x["e"]), lambda a, b: F.greatest(a, b))
+    kept = F.filter(F.zip_with(row, reach, lambda x, r: F.struct(x["of"].alias("of"), x["s"].alias("s"), x["at"].alias("e"), r.alias("r"))), lambda x: (x["of"] == 0) & (x["r"] <= x["s"]))
+    return F.when(F.size(base) == 0, F.transform(found, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))).otherwise(F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
 
 
 def upper_tail(z: Column) -> Column:
@@ -139,22 +152,24 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01, keep_text:
     ``keep_text`` that leaves the text out, and so does the result.
     """
     name, text = unused(docs, "spans"), F.coalesce(F.col(text_col), F.lit(""))
-    inner = [f"__{k}" for k in KINDS]
+    inner = [unused(docs, f"__{k}") for k in KINDS]
+    of_base, of_tried = unused(docs, "__base"), unused(docs, "__tried")
     low = F.lower(text)
     # cheap tests spare most texts the expressions; they hold for every text that could match
     hints = [low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("api"), text.contains("AKIA"), F.lit(True), F.lit(True)]
     patterns = [ASSIGN, ACCESS, HEX, CANDIDATE]
     none = F.array().cast("array<string>")
-    found = docs.withColumns({f"{c}_m": F.when(h, F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(none) for c, p, h in zip(inner, patterns, hints, strict=True)})
-    found = found.withColumns({c: spans(text, F.col(f"{c}_m"), p) for c, p in zip(inner, patterns, strict=True)})
+    matched = [unused(docs, f"{c}_m") for c in inner]
+    found = docs.withColumns({m: F.when(h, F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(none) for m, p, h in zip(matched, patterns, hints, strict=True)})
+    found = found.withColumns({c: spans(text, F.col(m), p) for c, m, p in zip(inner, matched, patterns, strict=True)})
     long_enough = F.filter(inner[0], lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 12)
     base = F.concat(*[of_kind(a, i) for i, a in enumerate([long_enough, F.col(inner[1]), F.col(inner[2])])])
     prepared = F.transform(F.filter(candidates(F.col(inner[3])), lambda x: x["encoding"].isNotNull()), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["encoding"].alias("encoding"), symbols_of(x["m"], x["encoding"]).alias("of")))
     tried = F.transform(prepared, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), p_value(x["of"], x["encoding"]).alias("p")))
     kept = [c for c in docs.columns if keep_text or c != text_col]
-    rows = stage(found.select(*kept, base.alias("__base"), tried.alias("__tried")))
+    rows = stage(found.select(*kept, base.alias(of_base), tried.alias(of_tried)))
 
-    each = rows.select(F.explode("__tried").alias("x")).select((F.col("x.e") - F.col("x.s")).alias("n"), F.col("x.p").alias("p"))
+    each = rows.select(F.explode(of_tried).alias("x")).select((F.col("x.e") - F.col("x.s")).alias("n"), F.col("x.p").alias("p"))
     totals = each.agg(F.count(F.lit(1)).alias("m"), F.avg("n").alias("mean")).first()
     limit = BINS + 1
     if totals.m:
@@ -164,9 +179,10 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.01, keep_text:
             seen += n
             if 10 ** (-b / PER_DECADE) * totals.m <= fdr * seen:
                 limit = b
-    taken = F.filter("__tried", lambda x: (bin_of(x["p"], x["e"] - x["s"], totals.mean or 1.0) >= limit) & ~F.exists("__base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    by_place = F.array_sort(F.transform(F.concat("__base", of_kind(taken, 3)), lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"))))
-    return rows.withColumn(name, by_place).drop("__base", "__tried"), name
+    likely = F.filter(of_tried, lambda x: bin_of(x["p"], x["e"] - x["s"], totals.mean or 1.0) >= limit)
+    taken = apart(likely, F.col(of_base))
+    by_place = F.array_sort(F.transform(F.concat(of_base, of_kind(taken, 3)), lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"))))
+    return rows.withColumn(name, by_place).drop(of_base, of_tried), name
 
 
 def of_kind(found: Column, kind: int) -> Column:
@@ -192,12 +208,19 @@ def listing(found: Column, last_kind: int = 3) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", fdr: float = 0.01) -> DataFrame:
     """``docs`` with every found span of the text replaced by ``mark``; overlapping spans become one. Null text stays null."""
     rows, name = scan(docs, text_col, fdr)
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(acc, x):
-        before = F.when(x["s"] >= acc["at"], F.array(text.substr(acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark))).otherwise(F.array().cast("array<string>"))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["parts"], before).alias("parts"))
-
-    done = F.aggregate(name, start, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), text.substr(acc["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.size(name) > 0, done).otherwise(text)).drop(name)
+    text, found = F.col(text_col), F.col(name)
+    # a span that begins before the end of those before it becomes one with them
+    reach = scanned(F.transform(found, lambda x: x["e"]), lambda a, b: F.greatest(a, b))
+    before = F.concat(F.array(F.lit(0)), reach)
+    gaps = F.zip_with(before, F.concat(F.transform(found, lambda x: x["s"]), F.array(F.length(text))), lambda a, s: F.struct(a.alias("a"), s.alias("s")))
+    # taken from blocks of the text, as a place in a long string is found by counting from its start
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def part(gap, pieces):
+        inside = F.transform(F.sequence(F.floor(gap["a"] / BLOCK).cast("int"), F.floor((gap["s"] - 1) / BLOCK).cast("int")), lambda b: F.substring(
+            F.element_at(pieces, b + 1), F.greatest(gap["a"] - b * BLOCK, F.lit(0)) + 1, F.least(gap["s"] - b * BLOCK, F.lit(BLOCK)) - F.greatest(gap["a"] - b * BLOCK, F.lit(0))))
+        return F.when(gap["s"] > gap["a"], F.array_join(inside, "")).when(gap["s"] == gap["a"], F.lit(""))
+
+    # as a lambda's variable the blocks are made once, and not for each part
+    done = F.transform(F.array(blocks), lambda pieces: F.array_join(F.transform(gaps, lambda gap: part(gap, pieces)), mark))[0]
+    return rows.withColumn(text_col, F.when(F.size(found) > 0, done).otherwise(text)).drop(name)

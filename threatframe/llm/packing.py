@@ -35,7 +35,7 @@ from threatframe.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Bytes of words with their ids that a worker remembers, characters it works on at a time, and bytes from which a word is long.
-REMEMBERED, AT_ONCE, LONG, PUNCTUATION = 48 << 20, 1_000_000, 64, ".,;:!?"
+REMEMBERED, AT_ONCE, LONG, PUNCTUATION = 96 << 20, 2_000_000, 64, ".,;:!?"
 
 
 class WordTokenizer:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -11,6 +10,7 @@ from threatframe.config import XML_EVENT_TAGS
 from threatframe.operators.typing import windows_event_type
 from threatframe.sources.common import EVENT_SCHEMA, Ingest, as_events, epoch_text, text_timestamp
 from threatframe.sources.json_logs import flatten, levels
+from threatframe.sources.xml_files import texts
 
 OPTIONS = {"mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record",
            "inferSchema": "false"}
@@ -24,19 +24,6 @@ SYSLOG_TAGS = {"timestamp": ["Timestamp", "timestamp"], "message": ["Message", "
                "hostname": ["Hostname", "hostname", "host"]}
 
 
-def xml_records(spark: SparkSession, path: str, tag: str, files: list[str] | None = None) -> DataFrame:
-    """Elements with the given tag (with its prefix, if it has one), as text. Files are cut at closing tags, so large files
-    are read in parallel; elements that close themselves are taken out of the pieces first. ``files`` limits the files read."""
-    pieces = spark.read.text(path, lineSep=f"</{tag}>")
-    if files is not None:
-        pieces = pieces.filter(F.col("_metadata.file_path").isin(files))
-    empty = rf"""<{re.escape(tag)}(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*)?/>"""
-    start = F.regexp_extract(F.regexp_replace("value", empty, ""), rf"(?s)<{re.escape(tag)}(?=[\s>]).*", 0)
-    open_ = F.when(start != "", F.array(F.concat(start, F.lit(f"</{tag}>")))).otherwise(F.array().cast("array<string>"))
-    alone = F.regexp_extract_all("value", F.lit(empty), F.lit(0))
-    return pieces.select(F.explode(F.concat(alone, open_)).alias("value"))
-
-
 def parse_once(rows: DataFrame, parsed: Column) -> DataFrame:
     """(value, x): the parsed form through a generator, so that filters on it do not parse again."""
     return rows.select("value", F.explode_outer(F.array(parsed)).alias("x"))
@@ -228,20 +215,21 @@ def line_events(spark: SparkSession, path: str, files: list[str] | None = None)
 
 def file_kinds(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its root tag, whether the root's line is a complete element, how many lines begin with a tag, and for each
-    tag that events can have the name it has there (with its prefix), or the empty text. One pass."""
+    tag that events can have whether it is there. One pass."""
     place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
     tag = F.regexp_extract("value", r"<([A-Za-z_][\w:.-]*)", 1)
     line = F.trim(F.regexp_replace("value", r"^\s*<\?.*?\?>", ""))
     first = F.min_by(F.struct(tag.alias("tag"), (line.rlike("^<[^<]*/>$") | line.endswith(F.concat(F.lit("</"), tag, F.lit(">")))).alias("whole")),
                      F.when(tag != "", F.col("place")))
-    names = [F.max(F.regexp_extract("value", rf"<((?:[\w.-]+:)?{t})(?:[\s/>]|$)", 1)).alias(f"tag_{t}") for t in dict.fromkeys(("Event", "Entry", *XML_EVENT_TAGS))]
+    names = [F.max(F.col("value").rlike(rf"<(?:[\w.-]+:)?{t}(?:[\s/>]|$)")).alias(f"tag_{t}") for t in dict.fromkeys(("Event", "Entry", *XML_EVENT_TAGS))]
     begins = F.sum(F.trim("value").startswith("<").cast("int")).alias("begins")
     return lines.groupBy("file").agg(first.alias("root"), begins, *names)
 
 
-def kind_of(row, kind: str, tag: str | None) -> tuple[str, str]:
-    """Kind and element tag of a file, from its row of :func:`file_kinds`; what is given (not ``auto``, not None) stays."""
+def kind_of(row, kind: str, tag: str | None) -> tuple[str, tuple[str, ...], bool]:
+    """Kind and element tags of a file (without prefixes), from its row of :func:`file_kinds`, and whether its root has the name of an event
+    itself; what is given (not ``auto``, not None) stays."""
     root, whole_line = (row["root"]["tag"], row["root"]["whole"]) if row["root"] else ("", False)
     if kind == "auto":
         if root.endswith("Event") or "Events" in root:
@@ -251,27 +239,44 @@ def kind_of(row, kind: str, tag: str | None) -> tuple[str, str]:
         else:
             kind = "lines" if whole_line and row["begins"] > 1 else "generic"
     if kind == "lines":
-        return kind, ""
+        return kind, (), False
     likely = {"windows": ["Event"], "syslog": ["Entry"]}.get(kind, XML_EVENT_TAGS)
-    return kind, tag or next((row[f"tag_{t}"] for t in likely if row[f"tag_{t}"]), likely[0] if kind != "generic" else root)
+    found = tuple(t for t in likely if row[f"tag_{t}"])
+    tags = (local(tag),) if tag else found or ((likely[0],) if kind != "generic" else (local(root),) if root else ())
+    return kind, tags, local(root) in found
+
+
+def local(tag: str) -> str:
+    """The name without its prefix."""
+    return tag.rsplit(":", 1)[-1]
 
 
 def read_xml(spark: SparkSession, path: str, kind: str = "auto", tag: str | None = None) -> Ingest:
-    """Events from XML files. ``kind``: windows, syslog, generic, lines, or auto by the root tag of each file. A file without a tag has no events; its lines are rejected."""
-    groups: dict[tuple[str, str], list[str]] = {}
+    """Events from XML files. ``kind``: windows, syslog, generic, lines, or auto by the root tag of each file. A file may hold events under
+    several tags. A file without a tag has no events. Text outside of events is rejected (see :mod:`threatframe.sources.xml_files`)."""
+    groups: dict[tuple, list[str]] = {}
     for row in file_kinds(spark, path).collect():
         groups.setdefault(kind_of(row, kind, tag), []).append(row["file"])
     parts = []
-    for (of, name), files in sorted(groups.items()):
+    for (of, tags, nested), files in sorted(groups.items()):
         if of == "lines":
             parts.append(line_events(spark, path, files))
-        elif not name:
+            continue
+        if not tags:
             junk = spark.read.text(path).filter(F.col("_metadata.file_path").isin(files)).filter(F.trim("value") != "")
             parts.append(Ingest(spark.createDataFrame([], EVENT_SCHEMA), junk.select(F.lit("xml_generic").alias("source"), "value")))
-        else:
-            rows = xml_records(spark, path, name, files)
-            parts.append(windows_events(rows) if of == "windows" else syslog_events(rows) if of == "syslog"
-                         else generic_events(rows, schema=infer_schema(spark, path, name, files)))
+            continue
+        rows = texts(spark, path, list(tags), files)
+        source = {"windows": "xml_windows_event", "syslog": "xml_syslog"}.get(of, "xml_generic")
+        parts.append(Ingest(spark.createDataFrame([], EVENT_SCHEMA), rows.filter("NOT record").select(F.lit(source).alias("source"), "value")))
+        for name in tags if of == "generic" else [None]:
+            named = rows.filter("record") if name is None else rows.filter(F.col("record") & (F.col("name") == name))
+            if of == "generic":
+                # the shape is read at whole elements; where the root has such a name, that would be the file
+                shape = None if nested else infer_schema(spark, path, name, files)
+                parts.append(generic_events(named, schema=shape if shape and shape.fields else None))
+            else:
+                parts.append(windows_events(named) if of == "windows" else syslog_events(named))
     if not parts:
         return Ingest(spark.createDataFrame([], EVENT_SCHEMA), spark.createDataFrame([], "source string, value string"))
     events, rejected = parts[0].events, parts[0].rejected

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threatframe.sources import xml_files
-from threatframe.sources.xml_logs import read_xml
+from threatframe.sources.xml_logs import element_paths, read_xml
 
 
 @pytest.fixture
@@ -72,6 +72,19 @@ def test_mixed_tags_comments_and_prefixes_of_the_root(spark, tmp_path):
     assert [r.value for r in got.rejected.collect()] == ["odd"]
 
 
+def test_shape_comes_from_all_records(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<G><Log><User>a</User><n:A n:name="url" xmlns:n="u">7</n:A></Log></G>\n<G><p:Log><p:user>b</p:user><B>1</B><B k="2">3</B></p:Log><Log><User>c</User><bad></Log><Log/></G>')
+    got = read_xml(spark, str(tmp_path / "a.xml"), kind="generic")
+    rows = {r.user_id: r.attributes for r in got.events.collect()}
+    assert set(rows) == {"a", "b", None} and (rows["a"]["A"], rows["a"]["A_name"]) == ("7", "url") and (rows["b"]["B"], rows["b"]["B_k"]) == ("3", "2")
+    assert [r.value for r in got.rejected.collect()] == ["<Log><User>c</User><bad></Log>"]
+
+
+def test_element_paths():
+    assert element_paths('<x:a x:k="1" xmlns:x="u">t<b/><b> <c>1</c></b></x:a>') == {("", "@k"), ("", "#"), ("b", ""), ("b", "*"), ("b/c", ""), ("b/c", "#")}
+    assert element_paths("<a><b></a>") == element_paths("") == set()
+
+
 def test_one_long_line_is_read_by_many_tasks(spark, tmp_path, splits):
     path = tmp_path / "big.xml"
     path.write_text("<Logs>" + "".join(f"<Log><User>u{i}</User><pad>{'x' * 20}</pad></Log>" for i in range(40_000)) + "</Logs>")

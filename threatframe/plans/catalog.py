@@ -1242,6 +1242,31 @@ def _(spark, sf):
         "event_id", us("ts", "ts_us"), "source_ip", "user_id", "service", "event_type")
 
 
+@query("ingest_xml_files", with_events() + """SELECT CASE WHEN k % 20 = 0 THEN 'rejected' ELSE 'event' END AS kind, event_id AS id,
+  CASE WHEN k % 20 <> 0 THEN ts_us END AS ts_us, CASE WHEN k % 20 <> 0 THEN user_id END AS user_id, CASE WHEN k % 20 <> 0 THEN source_ip END AS source_ip FROM le""")
+def _(spark, sf):
+    """Files of one line with three record tags, comments and CDATA that hold tags, attributes that hold a >, equal tags in each other, and text between the records."""
+    from threatframe.sources.xml_logs import read_xml
+
+    rows = log_events(spark, sf).select("k", "user_id", "source_ip", "event_id", _iso("ts").alias("time"), F.window("ts", "1 minute").alias("minute"))
+    fields = [F.concat(F.lit(f"<{tag}>"), c, F.lit(f"</{tag}>")) for tag, c in (("EventID", "event_id"), ("Timestamp", "time"), ("UserID", "user_id"), ("SourceIP", "source_ip"))]
+    body, odd = F.concat(*fields), F.lit("<!-- <Log><EventID>no</EventID></Log> --><Raw><![CDATA[</Log><Log>]]></Raw><Note a='1>2'/>")
+    tag = F.when(F.col("k") % 4 == 1, "Log").when(F.col("k") % 4 == 2, "Entry").otherwise("e:record")
+    element = F.concat(F.lit("<"), tag, F.lit(" note=\"a>b\">"), body, F.when(F.col("k") % 3 == 0, odd).otherwise(""), F.lit("</"), tag, F.lit(">"))
+    # a record in one of its own name is cut out of it
+    outer = F.concat(F.lit("<Log><EventID>"), F.concat(F.lit("outer"), "k"), F.lit("</EventID>"), F.concat(F.lit("<Log>"), body, F.lit("</Log></Log>")))
+    text = F.when(F.col("k") % 20 == 0, F.concat(F.lit("junk id="), "event_id", F.lit(";<!-- <Entry/> -->"))).when(F.col("k") % 20 == 5, outer).otherwise(element)
+    files = rows.select("user_id", "minute", text.alias("text")).groupBy("user_id", "minute").agg(F.array_join(F.collect_list("text"), "").alias("all"))
+    folder = f"{shared_dir(spark)}/xml-{uuid.uuid4().hex}"
+    files.select(F.concat(F.lit("<Group>"), "all", F.lit("</Group>")).alias("value")).coalesce(4).write.text(f"{folder}/parts", lineSep=" ")
+    got = read_xml(spark, f"{folder}/parts", kind="generic")
+    none = F.lit(None)
+    events = got.events.filter("NOT startswith(event_id, 'outer')").select(F.lit("event").alias("kind"), F.col("event_id").alias("id"), us("ts", "ts_us"), "user_id", "source_ip")
+    junk = got.rejected.select(F.explode(F.regexp_extract_all("value", F.lit("junk id=([^;]*);"), F.lit(1))).alias("id"))
+    rejected = junk.select(F.lit("rejected").alias("kind"), "id", none.cast("long").alias("ts_us"), none.cast("string").alias("user_id"), none.cast("string").alias("source_ip"))
+    return events.unionByName(rejected)
+
+
 @query("ingest_quality", with_events() + "SELECT 'cef' AS source_format, count(*) FILTER (k % 4 <> 0) AS parsed, count(*) FILTER (k % 4 = 0) AS errors, round(count(*) FILTER (k % 4 <> 0) / count(*), 6) AS success_rate FROM le")
 def _(spark, sf):
     from threatframe.sources.cef import cef_events

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+from xml.parsers import expat
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from threatframe.config import XML_EVENT_TAGS
@@ -198,11 +199,66 @@ def _nested(data_type: T.DataType) -> str:
     return "string"
 
 
-def infer_schema(spark: SparkSession, path: str, tag: str, files: list[str] | None = None) -> T.StructType:
-    """Shape of the elements with this tag, all leaves as text (one distributed pass)."""
-    if files is not None:
-        path = [unquote(name) for name in files]
-    return spark.read.option("rowTag", tag).option("inferSchema", "false").option("ignoreNamespace", "true").xml(path).schema
+def element_paths(value: str) -> set[tuple[str, str]]:
+    """What an element holds, by names without prefix: (path, mark) with the mark empty for an element, ``@name`` for an attribute, ``#`` for
+    text and ``*`` for an element that its parent has several times. Nothing for what is no XML."""
+    found, path, children = set(), [], []
+
+    def start(tag, attributes):
+        if children:
+            path.append(local(tag))
+            place = "/".join(path)
+            found.add((place, "*" if path[-1] in children[-1] else ""))
+            children[-1].add(path[-1])
+        children.append(set())
+        found.update(("/".join(path), f"@{local(a)}") for a in attributes if a.split(":")[0] != "xmlns")
+
+    def end(tag):
+        children.pop()
+        if path:
+            path.pop()
+
+    def text(data):
+        if data.strip():
+            found.add(("/".join(path), "#"))
+
+    parser = expat.ParserCreate()
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
+    try:
+        parser.Parse(value, True)
+    except expat.ExpatError:
+        return set()
+    return found
+
+
+def infer_schema(rows: DataFrame, column: str = "value") -> T.StructType:
+    """Shape of a column of elements, all leaves as text. One pass; only the distinct paths of the elements reach the driver."""
+    def run(batches):
+        for batch in batches:
+            yield pd.DataFrame(sorted(set().union(*map(element_paths, batch["value"]))), columns=["path", "mark"])
+
+    marks: dict[str, set[str]] = {"": set()}
+    shown: dict[str, str] = {}  # names that differ only in case are one field
+    for path, mark in sorted(rows.select(F.col(column).alias("value")).filter("value IS NOT NULL").mapInPandas(run, "path string, mark string").distinct().collect()):
+        shown.setdefault(path.lower(), path)
+        marks.setdefault(path.lower(), set()).add(mark)
+    inner: dict[str, list[str]] = {}
+    for path in marks:
+        if path:
+            inner.setdefault(path.rpartition("/")[0], []).append(path)
+
+    def shape(path: str) -> T.DataType:
+        fields = {}
+        for mark in sorted(m for m in marks[path] if m[:1] == "@"):
+            fields.setdefault(f"_{mark[1:]}".lower(), T.StructField(f"_{mark[1:]}", T.StringType()))
+        for child in inner.get(path, []):
+            fields.setdefault(child.rpartition("/")[2], T.StructField(shown[child].rpartition("/")[2], shape(child)))
+        if fields and "#" in marks[path] or not path and "#" in marks[path]:
+            fields.setdefault("_value", T.StructField("_VALUE", T.StringType()))
+        whole = T.StructType(list(fields.values())) if fields or not path else T.StringType()
+        return T.ArrayType(whole) if "*" in marks[path] else whole
+
+    return shape("")
 
 
 def line_events(spark: SparkSession, path: str, files: list[str] | None = None) -> Ingest:
@@ -227,9 +283,8 @@ def file_kinds(spark: SparkSession, path: str) -> DataFrame:
     return lines.groupBy("file").agg(first.alias("root"), begins, *names)
 
 
-def kind_of(row, kind: str, tag: str | None) -> tuple[str, tuple[str, ...], bool]:
-    """Kind and element tags of a file (without prefixes), from its row of :func:`file_kinds`, and whether its root has the name of an event
-    itself; what is given (not ``auto``, not None) stays."""
+def kind_of(row, kind: str, tag: str | None) -> tuple[str, tuple[str, ...]]:
+    """Kind and element tags of a file (without prefixes), from its row of :func:`file_kinds`; what is given (not ``auto``, not None) stays."""
     root, whole_line = (row["root"]["tag"], row["root"]["whole"]) if row["root"] else ("", False)
     if kind == "auto":
         if root.endswith("Event") or "Events" in root:
@@ -239,11 +294,11 @@ def kind_of(row, kind: str, tag: str | None) -> tuple[str, tuple[str, ...], bool
         else:
             kind = "lines" if whole_line and row["begins"] > 1 else "generic"
     if kind == "lines":
-        return kind, (), False
+        return kind, ()
     likely = {"windows": ["Event"], "syslog": ["Entry"]}.get(kind, XML_EVENT_TAGS)
     found = tuple(t for t in likely if row[f"tag_{t}"])
     tags = (local(tag),) if tag else found or ((likely[0],) if kind != "generic" else (local(root),) if root else ())
-    return kind, tags, local(root) in found
+    return kind, tags
 
 
 def local(tag: str) -> str:
@@ -258,7 +313,7 @@ def read_xml(spark: SparkSession, path: str, kind: str = "auto", tag: str | None
     for row in file_kinds(spark, path).collect():
         groups.setdefault(kind_of(row, kind, tag), []).append(row["file"])
     parts = []
-    for (of, tags, nested), files in sorted(groups.items()):
+    for (of, tags), files in sorted(groups.items()):
         if of == "lines":
             parts.append(line_events(spark, path, files))
             continue
@@ -272,9 +327,8 @@ def read_xml(spark: SparkSession, path: str, kind: str = "auto", tag: str | None
         for name in tags if of == "generic" else [None]:
             named = rows.filter("record") if name is None else rows.filter(F.col("record") & (F.col("name") == name))
             if of == "generic":
-                # the shape is read at whole elements; where the root has such a name, that would be the file
-                shape = None if nested else infer_schema(spark, path, name, files)
-                parts.append(generic_events(named, schema=shape if shape and shape.fields else None))
+                shape = infer_schema(named)
+                parts.append(generic_events(named, schema=shape if shape.fields else None))
             else:
                 parts.append(windows_events(named) if of == "windows" else syslog_events(named))
     if not parts:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threatframe.sources import xml_files
-from threatframe.sources.xml_logs import element_paths, read_xml
+from threatframe.sources.xml_logs import element_paths, file_kinds, kind_of, read_xml
 
 
 @pytest.fixture
@@ -114,3 +114,21 @@ def test_plain_pieces_are_only_those_that_change_nothing(spark, tmp_path):
             two.take(row.value + ">")
             assert (one.state, one.closes, one.stack) == (two.state, two.closes, two.stack), (state, row.value)
     assert re.search("Log", text)
+
+
+def test_kinds_of_files(spark, tmp_path):
+    files = {
+        "lines": ("<a><user>x</user></a>\n<a><user>y</user></a>\n", ("lines", ())),
+        "lines with declaration": ("<?xml version='1.0'?>\n<a x='1'/>\nnoise\n<a/>", ("lines", ())),
+        "one line": ("<Logs><Log><u>1</u></Log><Log/></Logs>\n", ("generic", ("Log",))),
+        "over lines": ("<!-- <Event/> -->\n<Logs>\n<Log>\n</Log>\n<Entry/>\n</Logs>", ("generic", ("Log", "Entry"))),
+        "closed over lines": ("<a>\n</a>\n<b>\n</b>", ("generic", ("a",))),
+        "windows": ("<?xml version='1.0'?><Events><Event>\n</Event></Events>", ("windows", ("Event",))),
+        "syslog": ("<syslog><Entry/></syslog>", ("syslog", ("Entry",))),
+        "envelope": ("<s:Envelope><Entry/></s:Envelope>", ("syslog", ("Entry",))),
+        "junk": ("no tags", ("generic", ())),
+    }
+    for name, (text, _) in files.items():
+        (tmp_path / f"{name}.xml").write_text(text)
+    got = {r["file"].rsplit("/", 1)[-1].replace("%20", " ")[:-4]: kind_of(r, "auto", None) for r in file_kinds(spark, str(tmp_path)).collect()}
+    assert got == {name: kind for name, (_, kind) in files.items()}

@@ -270,17 +270,23 @@ def line_events(spark: SparkSession, path: str, files: list[str] | None = None)
 
 
 def file_kinds(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: its root tag, whether the root's line is a complete element, how many lines begin with a tag, and for each
-    tag that events can have whether it is there. One pass."""
+    """One row per file: its root tag, whether the root is closed in its line, how many lines begin with a tag, and which tags of
+    events are there. Files are read in pieces that end with ``>``, so a file of one line is read by many tasks; two passes."""
     place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
-    tag = F.regexp_extract("value", r"<([A-Za-z_][\w:.-]*)", 1)
-    line = F.trim(F.regexp_replace("value", r"^\s*<\?.*?\?>", ""))
-    first = F.min_by(F.struct(tag.alias("tag"), (line.rlike("^<[^<]*/>$") | line.endswith(F.concat(F.lit("</"), tag, F.lit(">")))).alias("whole")),
-                     F.when(tag != "", F.col("place")))
-    names = [F.max(F.col("value").rlike(rf"<(?:[\w.-]+:)?{t}(?:[\s/>]|$)")).alias(f"tag_{t}") for t in dict.fromkeys(("Event", "Entry", *XML_EVENT_TAGS))]
-    begins = F.sum(F.trim("value").startswith("<").cast("int")).alias("begins")
-    return lines.groupBy("file").agg(first.alias("root"), begins, *names)
+    pieces = spark.read.text(path, lineSep=">").select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    tag = F.nullif(F.regexp_extract("value", r"^[^<]*<([A-Za-z_][\w:.-]*)", 1), F.lit(""))
+    there = [F.when(F.max(F.col("value").rlike(rf"^[^<]*<(?:[\w.-]+:)?{t}(?:[\s/]|$)")), F.lit(t)) for t in dict.fromkeys(("Event", "Entry", *XML_EVENT_TAGS))]
+    begins = F.sum(F.col("value").rlike(r"\n[ \t\r]*<").cast("int")) + F.min_by(F.col("value").rlike(r"^\ufeff?[ \t]*<").cast("int"), "place")
+    heads = pieces.groupBy("file").agg(F.min_by(tag, F.when(tag.isNotNull(), F.col("place"))).alias("root"), F.min(F.when(tag.isNotNull(), F.col("place"))).alias("at"),
+                                       begins.alias("begins"), F.array_compact(F.array(*there)).alias("tags"))
+    both = pieces.join(heads, "file")
+    closing = F.col("value").endswith(F.concat(F.lit("</"), "root"))
+    closed = F.min(F.when(closing | ((F.col("place") == F.col("at")) & F.col("value").endswith("/")), F.col("place")))
+    feed = F.min(F.when((F.col("place") > F.col("at")) & F.contains("value", F.lit("\n")), F.col("place")))
+    # a line feed in the text before the closing tag is in the same piece, and ends the line first
+    whole = F.coalesce(closed < feed, closed.isNotNull())
+    out = both.groupBy("file").agg(F.first("root").alias("tag"), whole.alias("whole"), F.first("begins").alias("begins"), F.first("tags").alias("tags"))
+    return out.select("file", F.struct(F.coalesce("tag", F.lit("")).alias("tag"), "whole").alias("root"), "begins", "tags")
 
 
 def kind_of(row, kind: str, tag: str | None) -> tuple[str, tuple[str, ...]]:
@@ -296,7 +302,7 @@ def kind_of(row, kind: str, tag: str | None) -> tuple[str, tuple[str, ...]]:
     if kind == "lines":
         return kind, ()
     likely = {"windows": ["Event"], "syslog": ["Entry"]}.get(kind, XML_EVENT_TAGS)
-    found = tuple(t for t in likely if row[f"tag_{t}"])
+    found = tuple(t for t in likely if t in row["tags"])
     tags = (local(tag),) if tag else found or ((likely[0],) if kind != "generic" else (local(root),) if root else ())
     return kind, tags
 

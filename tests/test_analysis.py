@@ -156,6 +156,8 @@ def test_inference_to_a_fixpoint(spark):
     assert [r.rule_id for r in rules.in_firing_order(fired, chain).collect()] == ["U3", "U2", "U1"]
     assert rules.new_activations(rules.match_rules(all_facts, chain), fired).count() == 0
     assert explain.fired_steps(fired).count() == 3
+    with pytest.raises(RuntimeError):
+        rules.infer(base, chain, max_rounds=2)
 
 
 def test_facts(spark):

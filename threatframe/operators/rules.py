@@ -403,7 +403,7 @@ def infer(facts: DataFrame, rules: list[Rule], scope: str = "entity", max_rounds
     """Fire rules until nothing new matches. Returns (facts, fired, score changes).
 
     ``assert_fact`` actions add facts that can make further rules match; the loop ends when no
-    activation is new. Each round is one job over the facts, cut off by a checkpoint.
+    activation is new, and raises if that needs more than ``max_rounds``. Each round is one job over the facts, cut off by a checkpoint.
     """
     by = {r.rule_id: r for r in rules}
     asserting = [r for r in rules if any(a.kind == "assert_fact" for a in r.actions)]
@@ -429,6 +429,8 @@ def infer(facts: DataFrame, rules: list[Rule], scope: str = "entity", max_rounds
                 made = made.select("f.*", "fact_ids").withColumn("derived_from", F.col("fact_ids")).drop("fact_ids")
                 added = made if added is None else added.unionByName(made)
         facts = cut_lineage(fact_ops.assert_facts(facts, added))
+    else:
+        raise RuntimeError(f"rules still fire after {max_rounds} rounds")
     if fired is None:
         fired = match_rules(facts, rules, scope)
     deltas = {i: sum(a.parameters.get("delta", 0) for a in r.actions if a.kind == "update_score") for i, r in by.items()}

@@ -935,9 +935,9 @@ def _edges_sql() -> str:
     return f"precedes(src, dst) AS (VALUES {rows(GRAPH_PRECEDES)}), indicates(src, dst) AS (VALUES {rows(GRAPH_INDICATES)})"
 
 
-def _attacks(spark, sf):
+def _attacks(spark, sf, by_event=False):
     rows = signature.detect(log_events(spark, sf))
-    return rows.select(F.element_at("affected_users", 1).alias("case_id"), scoring.lookup(F.col("anomaly_type"), _ATTACK).alias("attack")).filter("attack IS NOT NULL").distinct()
+    return rows.select((F.col("event_id") if by_event else F.element_at("affected_users", 1)).alias("case_id"), scoring.lookup(F.col("anomaly_type"), _ATTACK).alias("attack")).filter("attack IS NOT NULL").distinct()
 
 
 @query("attack_chains", with_events(HITS, _ATTACKS_SQL, _edges_sql(), """
@@ -952,12 +952,11 @@ def _(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_cases")))
 
 
-@query("common_indicators", with_events(HITS, _ATTACKS_SQL, _edges_sql(), "links AS (SELECT dst AS attack, src AS indicator FROM indicates UNION SELECT src, dst FROM indicates)",
-                                        "few AS (SELECT * FROM attacks WHERE attack IN ('brute_force', 'credential_stuffing', 'data_exfiltration'))") + """
-SELECT case_id, indicator, n AS n_attacks FROM (SELECT case_id, indicator, count(*) AS k FROM few JOIN links USING (attack) GROUP BY ALL) JOIN (SELECT case_id, count(*) AS n FROM few GROUP BY case_id) USING (case_id) WHERE k = n""")
+@query("common_indicators", with_events(HITS, _ATTACKS_SQL.replace("user_id", "event_id"), _edges_sql(), "links AS (SELECT dst AS attack, src AS indicator FROM indicates UNION SELECT src, dst FROM indicates)") + """
+SELECT case_id, indicator, n AS n_attacks FROM (SELECT case_id, indicator, count(*) AS k FROM attacks JOIN links USING (attack) GROUP BY ALL) JOIN (SELECT case_id, count(*) AS n FROM attacks GROUP BY case_id) USING (case_id) WHERE k = n""")
 def _(spark, sf):
-    few = _attacks(spark, sf).filter(F.col("attack").isin("brute_force", "credential_stuffing", "data_exfiltration"))
-    return graph.common_indicators(few, graph.edges(spark))
+    """Indicators that all attacks found in an event have in common."""
+    return graph.common_indicators(_attacks(spark, sf, by_event=True), graph.edges(spark))
 
 
 @query("related_attacks", with_events(f"kinds AS (SELECT event_id, user_id, {_kinds(lambda k, s, o, i: ','.join(i))} AS indicator FROM (SELECT event_id, user_id, lower(raw_log) AS m FROM le))", _edges_sql())

@@ -6,8 +6,9 @@ all training tokens or more are units of an exchange on the driver (1/``share``
 and unknown ones go by their last three bytes, in ``shapes`` units that take part in the exchange.
 
 Texts are written once as blocks of neighbouring rows: numbers of the tokens within the block, and its distinct words. A word's training
-count, unit and class are joined to the blocks that have it, and each pass over the texts reads a block with its own words; nothing of
-the size of the vocabulary is held anywhere. The first pass takes words but the most frequent by their ending, with the most frequent units as
+count and unit are joined once to the blocks that have it, with a number that stands for the word from then on, and each pass over the
+texts reads a block with its own words; nothing of the size of the vocabulary is held anywhere. Frequent words, which most blocks have,
+take no part in the joins by word. The first pass takes words but the most frequent by their ending, with the most frequent units as
 contexts; the other ``passes`` gather sparse counts of context classes found so far, per unit and per word. Then units move one by
 one to the class in which the likelihood of all contexts is largest, words all at once to the class whose sums make
 their contexts most likely, in turn until nothing moves; each step gains likelihood, and only class sums travel.
@@ -79,8 +80,8 @@ class Numbers(dict):
 
 
 def coded(texts: DataFrame, block_bytes: int) -> DataFrame:
-    """Blocks of neighbouring rows, with two kinds of rows: of texts (``ids``: number of each token in its block) and of the block's distinct
-    words (``n``: training count; the end is number 0)."""
+    """Blocks of neighbouring rows, with two kinds of rows: of texts (``ids``: number of each token in its block, compressed) and of the block's
+    distinct words (``n``: training count; the end is number 0)."""
 
     def in_blocks(batches):
         made, rows, numbers, size = 0, [], Numbers({END: 0}), 0
@@ -91,7 +92,7 @@ def coded(texts: DataFrame, block_bytes: int) -> DataFrame:
             for _, held, ids in rows:
                 if not held:
                     count += np.bincount(ids, minlength=len(count))
-            docs = pd.DataFrame([(d, h, ids.tobytes()) for d, h, ids in rows], columns=["doc_id", "held_out", "ids"]).astype({"doc_id": "Int64"})
+            docs = pd.DataFrame([(d, h, zlib.compress(ids.tobytes(), 1)) for d, h, ids in rows], columns=["doc_id", "held_out", "ids"]).astype({"doc_id": "Int64"})
             yield docs.assign(block=block, local=None, word=None, n=None)[CODED]
             words = pd.DataFrame({"local": np.arange(len(count)), "word": list(numbers), "n": count})
             yield words.assign(block=block, doc_id=None, held_out=None, ids=None)[CODED]
@@ -137,37 +138,40 @@ def block_classes(words: pd.DataFrame, label: np.ndarray) -> tuple[pd.DataFrame,
     return words, np.where(own >= 0, own, label[words["unit"].to_numpy(dtype=np.int64)])
 
 
-def laid_out(rows: pd.DataFrame) -> np.ndarray:
-    """Numbers of the tokens of texts laid end to end."""
-    return np.frombuffer(b"".join(rows["ids"]), dtype="<i4")
+def laid_out(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the tokens of texts laid end to end, and how many tokens each text has."""
+    ids = [zlib.decompress(data) for data in rows["ids"]]
+    return np.frombuffer(b"".join(ids), dtype="<i4"), np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
 
 
 def gathered(training: DataFrame, lexicon: DataFrame, label: np.ndarray, classes: int) -> DataFrame:
-    """(unit, word, class, contexts): sparse counts of each unit (word is null) and of each word with contexts of its own (unit is -1)."""
+    """(unit, key, class, contexts): sparse counts of each unit (key is -1) and of each word with contexts of its own (unit is -1)."""
     shared, width = training.sparkSession.sparkContext.broadcast(label), 2 * classes
 
     def tally(key, rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
-            return pd.DataFrame({"unit": [], "word": [], "class": [], "part": []})
+            return pd.DataFrame({"unit": [], "key": [], "class": [], "part": []})
         words, c = block_classes(words, shared.value)
-        own, unit = words["word"].notna().to_numpy(), words["unit"].to_numpy(dtype=np.int64)
+        own, unit = words["key"].to_numpy() >= 0, words["unit"].to_numpy(dtype=np.int64)
         keys, row = np.unique(np.where(own, -1 - np.arange(len(words)), unit), return_inverse=True)
-        tokens = np.r_[0, laid_out(rows)]
+        tokens = np.r_[0, laid_out(rows)[0]]
         at, context = row[tokens] * width, c[tokens]
         table = np.bincount(np.concatenate([at[1:] + context[:-1], at[:-1] + classes + context[1:]]), minlength=len(keys) * width).reshape(-1, width)
         some = np.flatnonzero(table.any(axis=1))
-        keys, names = keys[some], words["word"].to_numpy(dtype=object)
-        found = pd.DataFrame({"unit": np.maximum(keys, -1), "word": [names[-1 - k] if k < 0 else None for k in keys.tolist()]})
-        found["class"], found["part"] = np.where(keys < 0, c[np.where(keys < 0, -1 - keys, 0)], -1), packed(table[some])
+        keys = keys[some]
+        at = np.where(keys < 0, -1 - keys, 0)
+        found = pd.DataFrame({"unit": np.maximum(keys, -1), "key": np.where(keys < 0, words["key"].to_numpy()[at], -1)})
+        found["class"], found["part"] = np.where(keys < 0, c[at], -1), packed(table[some])
         return found
 
     def summed(batches):
         for batch in batches:
             rows = [b"".join(parts) for parts in batch["parts"]]
-            yield batch[["unit", "word", "class"]].assign(contexts=packed(unpacked(rows, width)))
+            yield batch[["unit", "key", "class"]].assign(contexts=packed(unpacked(rows, width)))
 
-    parts = training.groupBy("block").cogroup(lexicon.groupBy("block")).applyInPandas(tally, "unit int, word binary, class int, part binary")
-    return parts.groupBy("unit", "word", "class").agg(F.collect_list("part").alias("parts")).mapInPandas(summed, "unit int, word binary, class int, contexts binary")
+    words = lexicon.select("block", "local", "unit", F.coalesce("key", F.lit(-1)).alias("key"), "class")
+    parts = training.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(tally, "unit int, key long, class int, part binary")
+    return parts.groupBy("unit", "key", "class").agg(F.collect_list("part").alias("parts")).mapInPandas(summed, "unit int, key long, class int, contexts binary")
 
 
 def shares(sums: np.ndarray) -> np.ndarray:
@@ -308,25 +312,38 @@ class ClassModel:
     spare: float
 
 
-def fit(texts: DataFrame, docs: DataFrame, words: DataFrame, scratch: Scratch, classes: int = 32, share: float = 1e-5, shapes: int = 2048, least: int = 3,
-        passes: int = 2, sweeps: int = 3, weight: float = 0.85, spare: float = 0.5) -> tuple[ClassModel, DataFrame]:
+def fit(texts: DataFrame, docs: DataFrame, words: DataFrame, scratch: Scratch, **settings) -> tuple[ClassModel, DataFrame]:
     """Model of the training texts, and the words of each block with number, training count, unit and class (null: that of the unit).
 
-    ``texts``: training texts; ``docs`` and ``words``: rows of ``coded``.
+    ``texts``: training texts; ``docs`` and ``words``: rows of ``coded``; the settings are those of ``trained``. ``word`` is null for words without a class of their own.
     """
+    model, lexicon, vocabulary = trained(texts, docs, words, scratch, **settings)
+    return model, lexicon.join(vocabulary.select("key", "word"), "key", "left")
+
+
+def trained(texts: DataFrame, docs: DataFrame, words: DataFrame, scratch: Scratch, classes: int = 32, share: float = 1e-5, shapes: int = 2048, least: int = 3,
+        passes: int = 2, sweeps: int = 3, weight: float = 0.85, spare: float = 0.5) -> tuple[ClassModel, DataFrame, DataFrame]:
+    """Model of the training texts, the words of each block with number, training count, unit, class and, if the class is their own, ``key``, and the table of all words."""
     spark = docs.sparkSession
-    counts = scratch.write("counts", words.groupBy("word").agg(F.sum("n").alias("n")))
+    # a number for each word: that of one of its rows, of which a word has one in each block
+    numbered = words.withColumn("key", F.monotonically_increasing_id())
+    counts = scratch.write("counts", numbered.groupBy("word").agg(F.sum("n").alias("n"), F.min("key").alias("key")))
     known = counts.where("n > 0")
     totals = known.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = totals.n or 0, totals.v
     common = known.where((F.col("n") >= share * n) | (F.col("word") == F.lit(bytearray(END)))).orderBy(F.desc("n"), "word").collect()  # 1 / share at most
     units = Units({bytes(r.word): i for i, r in enumerate(common)}, shapes)
-    head = spark.createDataFrame([(bytearray(w), i) for w, i in units.frequent.items()], "word binary, unit int")
-    ending = F.crc32(F.expr("substring(word, -3, 3)")) % shapes + len(units.frequent)
-    vocabulary = counts.join(head, "word", "left").withColumn("own", F.col("unit").isNull() & (F.col("n") >= least))
-    vocabulary = scratch.write("vocabulary", vocabulary.withColumn("unit", F.coalesce("unit", ending.cast("int"))))
-    lexicon = words.select("block", "local", "word").join(vocabulary, "word")
-    lexicon = scratch.write("lexicon", lexicon.select("block", "local", "n", "unit", F.when(F.col("own"), F.col("word")).alias("word")))
+    head = spark.createDataFrame([(bytearray(r.word), i, r.n) for i, r in enumerate(common)], "word binary, unit int, n long")
+    head = scratch.write("head", head)  # a table has a size, by which Spark decides to broadcast it
+    ending = (F.crc32(F.expr("substring(word, -3, 3)")) % shapes + len(units.frequent)).cast("int")
+    rest = counts.join(head.select("word"), "word", "left_anti")
+    key = F.when(F.col("n") >= least, F.col("key")).alias("key")
+    places = words.select("block", "local", "word")
+    frequent = places.join(head, "word").select("block", "local", "n", "unit", F.lit(None).cast("long").alias("key"))
+    others = places.join(head.select("word"), "word", "left_anti").join(counts, "word").select("block", "local", "n", ending.alias("unit"), key)
+    lexicon = scratch.write("lexicon", frequent.unionByName(others))
+    of_units = rest.where(F.col("n").between(1, least - 1)).groupBy(ending.alias("unit")).count().collect()  # one row per unit
+    vocabulary = counts.where(F.col("n") >= least)
     training = docs.where(~F.col("held_out")).select("block", "ids")
     end, open_classes = units.of(END), max(1, classes - 1)  # the end of a text is a class of its own: no text has two
 
@@ -364,10 +381,12 @@ def fit(texts: DataFrame, docs: DataFrame, words: DataFrame, scratch: Scratch, c
         def final(batches, shared=shared):
             for batch in batches:
                 table = unpacked(batch["contexts"].tolist(), 2 * classes)
-                yield pd.DataFrame({"word": batch["word"], "class": chosen(batch, shared.value, open_classes, table)})
+                yield pd.DataFrame({"key": batch["key"], "class": chosen(batch, shared.value, open_classes, table)})
 
-        assigned = scratch.write(f"assigned{k}", own.mapInPandas(final, "word binary, class int"))
-        current = scratch.write(f"classes{k}", lexicon.join(assigned, "word", "left").select("block", "local", "n", "unit", "word", "class"))
+        assigned = scratch.write(f"assigned{k}", own.mapInPandas(final, "key long, class int"))
+        # rows without a key, a hot group, stay out of the join
+        joined = lexicon.where("key is not null").join(assigned, "key", "left").select("block", "local", "n", "unit", "key", "class")
+        current = scratch.write(f"classes{k}", joined.unionByName(lexicon.where("key is null").withColumn("class", F.lit(None).cast("int"))))
         scratch.drop(f"contexts{k}")
         if k:
             scratch.drop(f"classes{k - 1}", f"assigned{k - 1}")
@@ -377,19 +396,20 @@ def fit(texts: DataFrame, docs: DataFrame, words: DataFrame, scratch: Scratch, c
     def steps(key, rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
             return pd.DataFrame({"cell": [], "n": []})
-        c = block_classes(words, shared.value)[1][np.r_[0, laid_out(rows)]]
+        c = block_classes(words, shared.value)[1][np.r_[0, laid_out(rows)[0]]]
         out = np.bincount(c[:-1] * classes + c[1:], minlength=classes * classes)
         return pd.DataFrame({"cell": np.flatnonzero(out), "n": out[out > 0]})
 
     transitions, members = np.zeros(classes * classes), np.zeros(classes)
-    pairs = training.groupBy("block").cogroup(current.groupBy("block")).applyInPandas(steps, "cell int, n long")
-    for r in pairs.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    pairs = training.groupBy("block").cogroup(current.select("block", "local", "unit", "class").groupBy("block")).applyInPandas(steps, "cell int, n long")
+    for r in scratch.write("transitions", pairs.groupBy("cell").agg(F.sum("n").alias("n"))).collect():  # a table, so that the shuffles go
         transitions[r.cell] = r.n
-    for r in vocabulary.where("n > 0 and not own").groupBy("unit").count().collect():  # one row per unit
+    members += np.bincount(label[: len(common)], minlength=classes)  # each is known
+    for r in of_units:
         members[label[r.unit]] += r["count"]
     for r in assigned.groupBy("class").count().collect():
         members[r["class"]] += r["count"]
-    return ClassModel(units, label, transitions.reshape(classes, classes), members, int(n), int(v), weight, spare), current
+    return ClassModel(units, label, transitions.reshape(classes, classes), members, int(n), int(v), weight, spare), current, vocabulary
 
 
 def log_probabilities(model: ClassModel, words: list[bytes], counts: np.ndarray, classes: np.ndarray | None = None) -> np.ndarray:
@@ -409,20 +429,20 @@ def log_probabilities(model: ClassModel, words: list[bytes], counts: np.ndarray,
     return np.log10(model.weight * step * emission + (1 - model.weight) * base)
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20, **settings) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20, **settings) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; rows not held out are learnt from."""
     texts = docs.withColumn("__held", F.coalesce(held_out, F.lit(False)))
     texts = texts.select("__held", F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumnRenamed("__held", "held_out")
     scratch = Scratch(docs.sparkSession)
     blocks = scratch.write("coded", coded(texts, block_bytes))
     coded_docs, words = blocks.where("ids is not null").select("block", "doc_id", "held_out", "ids"), blocks.where("word is not null").select("block", "local", "word", "n")
-    model, lexicon = fit(texts.where(~F.col("held_out")), coded_docs, words, scratch, **settings)
+    model, lexicon, _ = trained(texts.where(~F.col("held_out")), coded_docs, words, scratch, **settings)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(key, rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         model = shared.value
         words, classes = block_classes(words, model.classes)
-        tokens, n = laid_out(rows), rows["ids"].map(len).to_numpy(dtype=np.int64) // 4
+        tokens, n = laid_out(rows)
         c = words["n"].to_numpy(dtype=np.float64)[tokens]
         logs = log_probabilities(model, [], c, classes[tokens])
         base = np.log10((c + 1) / (model.tokens + model.vocabulary + 1))

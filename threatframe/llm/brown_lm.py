@@ -125,6 +125,19 @@ def packed(table: np.ndarray) -> list[bytes]:
     return [data[low:high] for low, high in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
+def counted(cells: np.ndarray, width: int) -> tuple[np.ndarray, list[bytes]]:
+    """Rows with any cell (row * width + context, once for each count), ascending, and their entries; ``cells`` is sorted in place."""
+    cells.sort()
+    first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.zeros(0, dtype=np.int64)
+    entries = np.empty(len(first), dtype=ENTRY)
+    entries["n"] = np.diff(np.r_[first, len(cells)])
+    found = cells[first]
+    entries["context"] = found % width
+    rows, sizes = np.unique(found // width, return_counts=True)
+    data, ends = entries.tobytes(), (np.cumsum(sizes) * ENTRY.itemsize).tolist()
+    return rows, [data[low:high] for low, high in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+
+
 def unpacked(rows: list[bytes], width: int) -> np.ndarray:
     entries = np.frombuffer(b"".join(rows), dtype=ENTRY)
     at = np.repeat(np.arange(len(rows)), [len(r) // ENTRY.itemsize for r in rows])
@@ -156,12 +169,15 @@ def gathered(training: DataFrame, lexicon: DataFrame, label: np.ndarray, classes
         keys, row = np.unique(np.where(own, -1 - np.arange(len(words)), unit), return_inverse=True)
         tokens = np.r_[0, laid_out(rows)[0]]
         at, context = row[tokens] * width, c[tokens]
-        table = np.bincount(np.concatenate([at[1:] + context[:-1], at[:-1] + classes + context[1:]]), minlength=len(keys) * width).reshape(-1, width)
-        some = np.flatnonzero(table.any(axis=1))
+        cells = np.empty(2 * (len(tokens) - 1), dtype=np.int64)
+        np.add(at[1:], context[:-1], out=cells[: len(tokens) - 1])
+        np.add(at[:-1], context[1:] + classes, out=cells[len(tokens) - 1 :])
+        del at, context, tokens
+        some, entries = counted(cells, width)
         keys = keys[some]
         at = np.where(keys < 0, -1 - keys, 0)
         found = pd.DataFrame({"unit": np.maximum(keys, -1), "key": np.where(keys < 0, words["key"].to_numpy()[at], -1)})
-        found["class"], found["part"] = np.where(keys < 0, c[at], -1), packed(table[some])
+        found["class"], found["part"] = np.where(keys < 0, c[at], -1), entries
         return found
 
     def summed(batches):
@@ -443,13 +459,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         model = shared.value
         words, classes = block_classes(words, model.classes)
         tokens, n = laid_out(rows)
-        c = words["n"].to_numpy(dtype=np.float64)[tokens]
-        logs = log_probabilities(model, [], c, classes[tokens])
-        base = np.log10((c + 1) / (model.tokens + model.vocabulary + 1))
-        begin = np.cumsum(n) - n
-        sums = lambda x: np.add.reduceat(x, begin)
+        count, begin = words["n"].to_numpy(dtype=np.float64), np.cumsum(n) - n
+        known, base, logs = np.zeros(len(n), dtype=np.int64), np.zeros(len(n)), np.zeros(len(n))
+        for low, high in slices(n, AT_ONCE // 8):  # every text begins after an end, so any can be scored by itself
+            part = tokens[begin[low] : begin[high - 1] + n[high - 1]]
+            c, at = count[part], begin[low:high] - begin[low]
+            known[low:high] = np.add.reduceat((c > 0).astype(np.int64), at)
+            base[low:high] = np.add.reduceat(np.log10((c + 1) / (model.tokens + model.vocabulary + 1)), at)
+            logs[low:high] = np.add.reduceat(log_probabilities(model, [], c, classes[part]), at)
         done = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64").to_numpy(), "held_out": rows["held_out"].to_numpy(), "n_tokens": n})
-        done["n_known"], done["train_tokens"], done["base_score"], done["score"] = sums((c > 0).astype(np.int64)), model.tokens, sums(base), sums(logs)
+        done["n_known"], done["train_tokens"], done["base_score"], done["score"] = known, model.tokens, base, logs
         return done
 
     pairs = coded_docs.groupBy("block").cogroup(lexicon.select("block", "local", "n", "unit", "class").groupBy("block"))

@@ -37,7 +37,7 @@ from threatframe.llm.common import slices
 from threatframe.session import Scratch
 
 END = b" "  # no word has a space
-AT_ONCE, FLUSH = 4_000_000, 400_000
+AT_ONCE, FLUSH, SENT = 4_000_000, 400_000, 20_000
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -93,9 +93,11 @@ def coded(texts: DataFrame, block_bytes: int) -> DataFrame:
                 if not held:
                     count += np.bincount(ids, minlength=len(count))
             docs = pd.DataFrame([(d, h, zlib.compress(ids.tobytes(), 1)) for d, h, ids in rows], columns=["doc_id", "held_out", "ids"]).astype({"doc_id": "Int64"})
-            yield docs.assign(block=block, local=None, word=None, n=None)[CODED]
+            for at in range(0, len(docs), SENT):
+                yield docs.iloc[at : at + SENT].assign(block=block, local=None, word=None, n=None)[CODED]
             words = pd.DataFrame({"local": np.arange(len(count)), "word": list(numbers), "n": count})
-            yield words.assign(block=block, doc_id=None, held_out=None, ids=None)[CODED]
+            for at in range(0, len(words), SENT):
+                yield words.iloc[at : at + SENT].assign(block=block, doc_id=None, held_out=None, ids=None)[CODED]
 
         for batch in batches:
             for doc_id, held, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):

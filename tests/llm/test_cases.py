@@ -205,6 +205,15 @@ def test_class_model_is_a_distribution():
     assert total == pytest.approx(1, abs=1e-9)
 
 
+def test_counted_contexts_are_those_of_a_dense_table():
+    cells = np.random.default_rng(1).integers(0, 50 * 64, 700)
+    dense = np.bincount(cells, minlength=50 * 64).reshape(-1, 64)
+    some = np.flatnonzero(dense.any(axis=1))
+    rows, entries = brown_lm.counted(cells.copy(), 64)
+    assert rows.tolist() == some.tolist() and entries == brown_lm.packed(dense[some])
+    assert [len(x) for x in brown_lm.counted(np.zeros(0, dtype=np.int64), 64)] == [0, 0]
+
+
 def test_exchange_finds_planted_classes():
     r = np.random.default_rng(0)
     kinds = r.integers(0, 3, 90)

@@ -147,8 +147,9 @@ def trailing_features(events: DataFrame, keys: list[str] | None = None, seconds:
     known = events.filter(F.col("ts").isNotNull())
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
+    n_rows = known.count()
     linked = ordered.look_back(known.select(*{*keys, *ORDER, *DIVERSITY.values()}), keys, ORDER,
-                               {"_prev_ts": ("ts", 1), "_prev_id": ("event_id", 1)})
+                               {"_prev_ts": ("ts", 1), "_prev_id": ("event_id", 1)}, ordered.run_count(known, n_rows))
     t, p = F.unix_micros("ts"), F.unix_micros("_prev_ts")
     # _kind 0 sorts entries before the departures of the same time: the window includes its start
     place = ["_v", "_kind", "_id"]
@@ -161,7 +162,8 @@ def trailing_features(events: DataFrame, keys: list[str] | None = None, seconds:
         F.struct((F.col("_t") + step).alias("_v"), F.lit(1).alias("_kind"), F.lit(-1).alias("_step")))))
     values = values.withColumnRenamed("event_id", "_id")
     group = [f"_k_{k}" for k in keys]
-    counted = ordered.running(values, [*group, "_dim", "_value"], place, {"_c": ("sum", F.col("_step"))})
+    counted = ordered.running(values, [*group, "_dim", "_value"], place, {"_c": ("sum", F.col("_step"))},
+                              partitions=ordered.run_count(values, 2 * len(DIVERSITY) * n_rows))
     after, before = F.col("_c"), F.col("_c") - F.col("_step")
     change = {"_distinct": (after > 0).cast("int") - (before > 0).cast("int"),
               "_clogc": clogc(after) - clogc(before), "_known": F.col("_step")}
@@ -179,9 +181,11 @@ def trailing_features(events: DataFrame, keys: list[str] | None = None, seconds:
     departure = linked.filter("_prev_ts IS NOT NULL").select(
         *plain, (p + step).alias("_v"), F.lit(1).alias("_kind"), F.col("_prev_id").alias("_id"),
         F.lit(-1).alias("_n"), (-(gap * gap)).alias("_gap2"), t.alias("_next"))
+    # an entry and a departure for each event, and their changes in each dimension, which lie apart
+    tasks = ordered.run_count(known, 2 * n_rows)
     steps = (entry.unionByName(departure, allowMissingColumns=True)
              .unionByName(per_dim, allowMissingColumns=True)
-             .groupBy(*group, *place).agg(
+             .repartition(tasks, *group, *place).groupBy(*group, *place).agg(
                  *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_n", *sums)],
                  F.coalesce(F.sum("_gap2").cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")).alias("_gap2"),
                  *[F.max(c).alias(c) for c in ("_last", "_start", "_next")]))
@@ -190,7 +194,7 @@ def trailing_features(events: DataFrame, keys: list[str] | None = None, seconds:
     total = ordered.running(steps, group, place, {
         **{f"t{c}": ("sum", F.col(c)) for c in ("_n", *sums, "_gap2")},
         "t_last": ("max", F.col("_last")), "t_start": ("min", F.col("_start")), "t_next": ("max", F.col("_next")),
-    }, inclusive=False).filter("_kind = 0 AND _last IS NOT NULL")
+    }, inclusive=False, partitions=tasks).filter("_kind = 0 AND _last IS NOT NULL")
     n = F.coalesce("t_n", F.lit(0))
     oldest = F.greatest("t_start", "t_next")
     span = F.when(n > 1, F.col("t_last") - oldest).otherwise(F.lit(0))

@@ -8,7 +8,8 @@ many runs as it needs. A window inside (run, keys) then does the local work, and
 row per run boundary carries the state across. The order columns must identify a row.
 
 The run number is fixed by a reliable checkpoint, since range bounds come from a sample and a
-second evaluation could draw other bounds.
+second evaluation could draw other bounds. There are as many runs as the rows need (``ROWS`` each, ``spark.sql.shuffle.partitions``
+at least), and each is sorted by a task of its own, so more input means more tasks and not larger ones.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from threatframe.session import cut_lineage
 
 RUN = "_run"
 CONTEXT = "_context"
+ROWS = 500_000  # rows of a run
 
 _COMBINE = {
     "sum": (F.sum, lambda before, here: F.coalesce(before + here, here, before)),
@@ -27,12 +29,23 @@ _COMBINE = {
 }
 
 
+def run_count(df: DataFrame, rows: int | None = None) -> int:
+    """Runs that ``df`` is cut into; ``rows``, a bound of its rows, spares counting them."""
+    rows = df.count() if rows is None else rows
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS))
+
+
 def ordered_runs(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
     """Rows with their run number; runs follow the order of (keys, order)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or run_count(df)
     return cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn(RUN, F.spark_partition_id()))
 
 
+def by_run(runs: DataFrame, partitions: int) -> DataFrame:
+    """Each run in a partition of its own, for windows over (``_run``, keys)."""
+    return runs.repartitionById(partitions, RUN)
+
+
 def running(df: DataFrame, keys: list[str], order: list[str], aggregates: dict[str, tuple[str, Column]],
             inclusive: bool = True, partitions: int | None = None) -> DataFrame:
     """Running sum, max or min per key in the given order.
@@ -41,6 +54,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggregates: dict[s
     ``inclusive=False`` a row sees only the rows before it.
     """
     inputs = {name: value.alias(f"_in_{name}") for name, (_, value) in aggregates.items()}
+    partitions = partitions or run_count(df)
     runs = ordered_runs(df.select("*", *inputs.values()), keys, order, partitions)
     fixed_keys = keys or [F.lit(0)]
 
@@ -58,8 +72,8 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggregates: dict[s
 
     end = Window.currentRow if inclusive else -1
     local = Window.partitionBy(RUN, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    here = runs.select("*", *[_COMBINE[kind][0](f"_in_{name}").over(local).alias(f"_here_{name}")
-                              for name, (kind, _) in aggregates.items()])
+    here = by_run(runs, partitions).select("*", *[_COMBINE[kind][0](f"_in_{name}").over(local).alias(f"_here_{name}")
+                                                  for name, (kind, _) in aggregates.items()])
     matched = F.col(RUN) == F.col("_carry_run")
     for key in keys:
         matched = matched & F.col(key).eqNullSafe(F.col(f"_carry_{key}"))
@@ -95,7 +109,8 @@ def look_back(df: DataFrame, keys: list[str], order: list[str], lags: dict[str,
               partitions: int | None = None) -> DataFrame:
     """``lag`` per key in the given order; ``lags`` maps an output name to (column, distance)."""
     deepest = max(distance for _, distance in lags.values())
+    partitions = partitions or run_count(df)
     window = Window.partitionBy(RUN, *keys).orderBy(*order)
-    ready = with_previous_rows(df, keys, order, deepest, partitions).select(
+    ready = by_run(with_previous_rows(df, keys, order, deepest, partitions), partitions).select(
         "*", *[F.lag(column, distance).over(window).alias(name) for name, (column, distance) in lags.items()])
     return ready.filter(~F.col(CONTEXT)).drop(RUN, CONTEXT)

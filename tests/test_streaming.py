@@ -81,3 +81,71 @@ def test_sessions_and_frequency(spark, tmp_path):
     assert sorted(r.n_events for r in rows)[-1] == 1 and len(rows) == 4
     counts = run.run_available(windows.frequency_windows(stream, "source_ip")).agg(F.max("event_count")).first()[0]
     assert counts == 3
+
+
+class Held:
+    """State in memory that counts its questions and writes."""
+
+    def __init__(self):
+        self.values, self.calls, self.read = {}, 0, 0
+
+    def _call(self, result=None):
+        self.calls += 1
+        return result
+
+    def exists(self): return self._call("value" in self.values)
+
+    def get(self):
+        self.read += len(self.values.get("value", ()))
+        return self._call(self.values.get("value", ()))
+
+    def update(self, value): self._call(self.values.update(value=value))
+
+    put = update
+
+    def appendList(self, rows): self._call(self.values.update(value=[*self.values.get("value", ()), *rows]))
+
+    def clear(self): self._call(self.values.clear())
+
+    def containsKey(self, key): return self._call(key in self.values)
+
+    def updateValue(self, key, value): self._call(self.values.update({key: value}))
+
+
+def test_profiles_ask_for_each_value_once_a_batch():
+    import pandas as pd
+
+    rows = pd.DataFrame([(i, f"{i:03d}", str(i % 3), "web", None if i % 2 else "10.0.0.1", "view") for i in range(300)],
+                        columns=["ts_us", "event_id", "hour", "service", "source_ip", "event_type"])
+
+    def run(parts):
+        made = state.Profiles(5)
+        made.total, made.seen, made.any = Held(), Held(), Held()
+        out = pd.concat([o for part in parts for o in made.handleInputRows(("u",), iter([part]), None)])
+        return out.values.tolist(), made.total.calls + made.seen.calls + made.any.calls, made.seen.values, made.any.values
+
+    one, calls, seen, some = run([rows])
+    many, _, *state_of_many = run([rows.iloc[k:k + 1] for k in range(300)])
+    # three hours and one value each of the others are written, nothing is asked but whether the user is known
+    assert calls <= 6 + 4 + 2
+    assert one == many and state_of_many == [seen, some] and len(seen) == 6
+
+
+def test_sequences_do_not_read_their_own_rows():
+    import pandas as pd
+
+    class Timers:
+        def listTimers(self): return []
+
+        def registerTimer(self, at): pass
+
+    class Mark:
+        def getCurrentWatermarkInMs(self): return 0
+
+    made = state.Sequences(state.SEQUENCE_PATTERNS)
+    made.handle, made.waiting, made.tail = Timers(), Held(), Held()
+    rows = pd.DataFrame([(10, "b", "view"), (5, "a", "view")], columns=["ts_us", "event_id", "event_type"])
+    for k in range(2):
+        list(made.handleInputRows(("u",), iter([rows.iloc[k:k + 1]]), Mark()))
+    # nothing is ready: a batch reads what waits and appends what is new, and does not read its own rows again
+    assert sorted(made.waiting.values["value"]) == [(5, "a", "view"), (10, "b", "view")] and made.waiting.read == 1

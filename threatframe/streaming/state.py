@@ -35,9 +35,9 @@ class Sequences(StatefulProcessor):
         self.waiting = handle.getListState("waiting", row)
         self.tail = handle.getListState("tail", row)
 
-    def _emit(self, key, timer_values) -> Iterator[pd.DataFrame]:
+    def _emit(self, key, timer_values, new: list[tuple] = []) -> Iterator[pd.DataFrame]:
         mark = timer_values.getCurrentWatermarkInMs() * 1000
-        rows = sorted(self.waiting.get())
+        rows = sorted([*self.waiting.get(), *new])
         ready = [r for r in rows if r[0] <= mark]
         later = [r for r in rows if r[0] > mark]
         if ready:
@@ -56,15 +56,16 @@ class Sequences(StatefulProcessor):
                 self.waiting.put(later)
             else:
                 self.waiting.clear()
+        elif new:
+            self.waiting.appendList(new)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if later:
             self.handle.registerTimer(later[0][0] // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues):
-        for batch in rows:
-            self.waiting.appendList(list(batch[["ts_us", "event_id", "event_type"]].itertuples(index=False, name=None)))
-        yield from self._emit(key, timerValues)
+        new = [row for batch in rows for row in batch[["ts_us", "event_id", "event_type"]].itertuples(index=False, name=None)]
+        yield from self._emit(key, timerValues, new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         yield from self._emit(key, timerValues)
@@ -94,7 +95,10 @@ class Profiles(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         table = pd.concat(list(rows)).sort_values(["ts_us", "event_id"])
-        n = self.total.get()[0] if self.total.exists() else 0
+        # the state is asked once for each distinct value of the batch, and never for a new user; each question is a round trip
+        new = not self.total.exists()
+        n = 0 if new else self.total.get()[0]
+        some, seen = {}, set()
         out = []
         for row in table.itertuples(index=False):
             score = 0.0
@@ -102,12 +106,20 @@ class Profiles(StatefulProcessor):
                 value = getattr(row, name)
                 if value is None or (isinstance(value, float) and value != value):
                     continue
-                known = self.seen.containsKey((name, str(value)))
-                if not known and self.any.containsKey((name,)):
+                place = (name, str(value))
+                if place in seen:
+                    continue
+                seen.add(place)
+                if not new and self.seen.containsKey(place):
+                    continue
+                if name not in some:
+                    some[name] = not new and self.any.containsKey((name,))
+                if some[name]:
                     score += weight
-                if not known:
-                    self.seen.updateValue((name, str(value)), (1,))
+                else:
                     self.any.updateValue((name,), (1,))
+                    some[name] = True
+                self.seen.updateValue(place, (1,))
             out.append((key[0], row.event_id, n, min(1.0, score) if n >= self.min_events else 0.0))
             n += 1
         self.total.update((n,))

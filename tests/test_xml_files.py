@@ -132,3 +132,19 @@ def test_kinds_of_files(spark, tmp_path):
         (tmp_path / f"{name}.xml").write_text(text)
     got = {r["file"].rsplit("/", 1)[-1].replace("%20", " ")[:-4]: kind_of(r, "auto", None) for r in file_kinds(spark, str(tmp_path)).collect()}
     assert got == {name: kind for name, (_, kind) in files.items()}
+
+
+def test_the_kind_of_a_file_is_found_without_its_pieces_in_one_task(spark, tmp_path):
+    from threatframe.sources import xml_logs
+
+    (tmp_path / "one.xml").write_text("<Logs>" + "<Log><EventID>1</EventID></Log>" * 50 + "</Logs>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large files
+    try:
+        found = xml_logs.file_kinds(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [(r["root"]["tag"], r["root"]["whole"], r["tags"]) for r in found.collect()] == [("Logs", True, ["Log"])]
+    # pieces are joined where they are read and not dealt by file
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan

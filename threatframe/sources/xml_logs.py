@@ -279,7 +279,8 @@ def file_kinds(spark: SparkSession, path: str) -> DataFrame:
     begins = F.sum(F.col("value").rlike(r"\n[ \t\r]*<").cast("int")) + F.min_by(F.col("value").rlike(r"^\ufeff?[ \t]*<").cast("int"), "place")
     heads = pieces.groupBy("file").agg(F.min_by(tag, F.when(tag.isNotNull(), F.col("place"))).alias("root"), F.min(F.when(tag.isNotNull(), F.col("place"))).alias("at"),
                                        begins.alias("begins"), F.array_compact(F.array(*there)).alias("tags"))
-    both = pieces.join(heads, "file")
+    # one row per file: the pieces stay where they are read, as those of a large file are too many for one task
+    both = pieces.join(F.broadcast(heads), "file")
     closing = F.col("value").endswith(F.concat(F.lit("</"), "root"))
     closed = F.min(F.when(closing | ((F.col("place") == F.col("at")) & F.col("value").endswith("/")), F.col("place")))
     feed = F.min(F.when((F.col("place") > F.col("at")) & F.contains("value", F.lit("\n")), F.col("place")))

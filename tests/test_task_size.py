@@ -42,3 +42,31 @@ def test_shuffles_begin_with_enough_partitions(spark):
     assert configure(spark).conf.get(FIRST) == "1000"
     spark.conf.unset(FIRST)
     configure(spark)
+
+
+def test_parsing_stays_behind_the_shuffle_that_deals_the_rows(spark):
+    from threatframe.sources.json_logs import json_events
+    from threatframe.sources.xml_logs import generic_events
+
+    rows = spark.range(0, 40, 1, 1).repartition(4)
+    json = json_events(rows.select(F.to_json(F.struct("id", F.lit("u").alias("user"))).alias("value"))).events
+    xml = generic_events(rows.select(F.concat(F.lit("<Log><UserID>"), "id", F.lit("</UserID></Log>")).alias("value"))).events
+    for events in (json, xml):
+        plan = events._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("RoundRobinPartitioning"):]
+        assert "Filter" not in below and "from_xml" not in below and "parseJson" not in below
+        assert events.count() == 40
+
+
+def test_odd_texts_are_rejected_as_before(spark):
+    from threatframe.sources.json_logs import json_events
+    from threatframe.sources.xml_logs import generic_events
+
+    texts = ['{"a": 1}', ' \t\n{"a": 1} ', '[{"a": 1}]', '"{"', "7", "{", '{"a": 1} x', "", "  ", None]
+    got = json_events(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert sorted(r["raw_log"] for r in got.events.collect()) == sorted(texts[:2])
+    assert sorted(r["value"] for r in got.rejected.collect()) == sorted(texts[2:7])
+    texts = ["<a><b>1</b></a>", "<a>", "no", "", None]
+    got = generic_events(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert [r["attributes"] for r in got.events.collect()] == [{"b": "1"}]
+    assert {r["value"] for r in got.rejected.collect()} == set(texts[1:])

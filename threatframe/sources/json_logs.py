@@ -24,9 +24,17 @@ def strict(text: Column) -> Column:
     Parsing alone ends with the first value and ignores what follows. Here the text is the first item of an array whose second
     is the text's hash; that one is only found where the value ends with the text.
     """
-    mark = F.xxhash64(text)
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
-    return F.when(F.try_variant_get(pair, "$[1]", "bigint") == mark, F.try_variant_get(pair, "$[0]", "variant"))
+    return unpaired(text, paired(text))
+
+
+def paired(text: Column) -> Column:
+    """The array of the text and its hash, or null."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]")))
+
+
+def unpaired(text: Column, pair: Column) -> Column:
+    """The value of :func:`paired` if the hash is found behind it."""
+    return F.when(F.try_variant_get(pair, "$[1]", "bigint") == F.xxhash64(text), F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def levels(text: Column, *openings: str) -> Column:
@@ -92,11 +100,13 @@ def json_events(lines: DataFrame, column: str = "value", schema: dict[str, str]
     and nothing else is rejected.
     """
     schema = schema or {}
-    # through a generator, so that the filters below use the parsed record instead of parsing again
-    rows = lines.filter(F.trim(column) != "").select(F.col(column).alias("value"), F.explode_outer(
-        F.array(strict(F.col(column)))).alias("record"))
-    # a null member map means the text is no JSON object
-    is_record = F.try_variant_get("record", "$", "map<string,variant>").isNotNull()
+    # through generators, so that the filters below use the parsed record instead of parsing again, and run where it was parsed: a filter
+    # on the text alone would go below a shuffle, into the few tasks that read the table, and would make the text there a second time
+    text = F.col("t.value")
+    rows = lines.select(F.explode(F.array(F.struct(F.col(column).alias("value"), paired(F.col(column)).alias("pair")))).alias("t"))
+    rows = rows.filter(F.trim(text) != "").select(text.alias("value"), F.explode_outer(F.array(unpaired(text, F.col("t.pair")))).alias("record"))
+    # a value that begins like an object is one
+    is_record = F.col("record").isNotNull() & F.ltrim("value", F.lit(" \t\r\n")).startswith("{")
     rejected = rows.filter(~is_record).select(F.lit(source_format).alias("source"), "value")
     rows = rows.filter(is_record)
 

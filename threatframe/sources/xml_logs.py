@@ -161,10 +161,13 @@ def generic_events(rows: DataFrame, column: str = "value", schema: T.StructType
         entries = F.array(*[F.struct(F.lit(n).alias("key"), F.trim(v).alias("value")) for n, v in flat_struct(T.StructType(fields), "x")])
         flat = F.map_from_entries(F.filter(F.concat(entries, *named_values(T.StructType(fields), "x")), lambda e: e["value"].isNotNull()))
     else:
-        check = F.from_xml("value", "_corrupt_record string", OPTIONS)
-        parsed = rows.withColumn("_bad", check["_corrupt_record"].isNotNull() | check.isNull()).withColumn(
-            "x", F.when(~F.col("_bad"), F.from_xml(marked(F.col("value")), F.lit("variant"), {"ignoreNamespace": "true"})))
-        bad = F.col("_bad")
+        checked = parse_once(rows, F.from_xml("value", "_corrupt_record string", OPTIONS))
+        # in a lambda: the code that Spark generates for this parser alone does not compile, and all of the stage would be interpreted
+        text = F.when(F.col("x").isNotNull() & F.col("x._corrupt_record").isNull(), marked(F.col("value")))
+        parsed = parse_once(checked, F.transform(F.array(text), lambda t: F.struct(
+            t.isNull().alias("bad"), F.from_xml(t, F.lit("variant"), {"ignoreNamespace": "true"}).alias("x")))[0])
+        parsed = parsed.select("value", "x.bad", "x.x")
+        bad = F.col("bad")
         leaves = F.transform_values(flatten(F.col("x"), levels(F.col("value"), "<"), separator="_"), lambda k, v: F.replace(v, F.lit(MARK), F.lit("")))
         flat = F.transform_keys(leaves, lambda k, v: F.regexp_replace(F.replace(k, F.lit("__"), F.lit("_")), "_VALUE$|^_", ""))
     rejected = parsed.filter(bad).select(F.lit("xml_generic").alias("source"), "value")

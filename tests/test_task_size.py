@@ -70,3 +70,22 @@ def test_odd_texts_are_rejected_as_before(spark):
     got = generic_events(spark.createDataFrame([(t,) for t in texts], "value string"))
     assert [r["attributes"] for r in got.events.collect()] == [{"b": "1"}]
     assert {r["value"] for r in got.rejected.collect()} == set(texts[1:])
+
+
+def test_payloads_are_read_behind_the_shuffle_and_steps_need_no_shuffle_of_their_own(spark):
+    from conftest import make_events
+    from threatframe.functions import text
+    from threatframe.operators import explain, merge, signature, statistical
+
+    events = make_events(spark, [{"t": i, "user_id": f"u{i % 3}", "source_ip": "1", "raw_log": "nmap -sS 10.0.0.0/8", "attributes": {"payload_size": 900 if i == 7 else i % 5 + 1}}
+                                 for i in range(60)])
+    outliers = statistical.payload_outliers(events.repartition(4))
+    plan = outliers._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan[plan.index("RoundRobinPartitioning"):plan.index("RoundRobinPartitioning") + 300].split("Subquery")[0]
+    assert [r["event_id"] for r in outliers.collect()] == ["e00007"]
+    trace = explain.trace_text(explain.reasoning_steps(merge.merge(signature.detect(events))))
+    assert trace._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert trace.count() == 3
+    assert text.fixed(F.col("v"))._jc.toString().count("round(") == 1
+    shown = spark.createDataFrame([(92.25,), (0.05,), (None,), (99.96,)], "v double").select(text.fixed(F.col("v")), text.percent(F.col("v") / 100))
+    assert [tuple(r) for r in shown.collect()] == [("92.2", "92.2%"), ("0.1", "0.1%"), (None, None), ("100.0", "100.0%")]

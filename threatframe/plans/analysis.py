@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threatframe.config import RULES, SIGNATURES
 from threatframe.operators import behavioral, facts, findings, merge, normalize, rules as rule_ops, signature, statistical
+from threatframe.plans.demo import spread
 from threatframe.session import cut_lineage, stage
 
 LAYERS = ("signature", "statistical", "behavioral", "inference")
@@ -60,7 +61,8 @@ def analyze(events: DataFrame, layers: Iterable[str] = LAYERS, *, history: DataF
     ready = stage(normalize.normalize(events))
     layers = tuple(layers)
     found = stage(find(ready, layers, **options))
-    anomalies = conclude(found, history)
+    # findings of a table are alike and packed well, so a split of it holds many
+    anomalies = conclude(spread(found), history)
     return merge.ranked(anomalies), metrics(ready, found, anomalies, layers)
 
 

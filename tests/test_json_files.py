@@ -98,3 +98,15 @@ def test_files_without_records(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text(text)
     got = read_json(spark, str(tmp_path))
     assert got.events.count() == 0 and sorted(x.value for x in got.rejected.collect()) == ["1", "2", "3", "a b", "c"]
+
+
+def test_texts_are_cut_in_one_pass(spark):
+    from threatframe.sources.json_logs import cut_records
+
+    rows = [('{"a": 1}, {"b": "x, y"}', True), ('{"a": 1} {', True), ('[{"c": 1}, {"d": [2]}]', False), ('{"e":\n 1}', False),
+            ('{"f": 1\r\n[{"g": 1}]\n\n', False), ("null, 7", True), ('{"Records": [{"h": 1}]}', False), ("[1", False), (None, False), (" ", True)]
+    texts = spark.createDataFrame(rows, "value string, listed boolean")
+    got = cut_records(texts, "Records")
+    assert "Union" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["value"] for r in got.collect()) == sorted(
+        ['{"a":1}', '{"b":"x, y"}', '{"a": 1} {', '{"c":1}', '{"d":[2]}', '{"e":\n 1}', '{"f": 1', '{"g":1}', "7", '{"h":1}', "[1"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threatframe.config import CLOUDTRAIL_SCHEMA, MESSAGE_FIELDS, TIMESTAMP_FIELDS, WINDOWS_JSON_SCHEMA
+from threatframe.functions.text import once
 from threatframe.operators.typing import event_typing
 from threatframe.sources import json_files
 from threatframe.sources.common import Ingest, as_events, number_timestamp, promoted, text_timestamp
@@ -145,27 +146,38 @@ def json_events(lines: DataFrame, column: str = "value", schema: dict[str, str]
     return Ingest(events, rejected)
 
 
+def is_value(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else."""
+    return F.coalesce(F.try_variant_get(paired(text), "$[1]", "bigint") == F.xxhash64(text), F.lit(False))
+
+
+def objects(text: Column, member: str | None = None) -> Column:
+    """The elements of an array (or of the array ``member``) as an array of texts, or the text alone."""
+    inner = F.when(is_value(text), F.get_json_object(text, f"$.{member}")) if member else F.lit(None).cast("string")
+    # an array with anything after it is left whole, and rejected as a record
+    return once(F.coalesce(inner, text), lambda body: F.coalesce(
+        F.when(F.ltrim(body).startswith("[") & is_value(body), F.from_json(body, "array<string>")), F.array(body)))
+
+
 def records(documents: DataFrame, column: str = "value", member: str | None = None) -> DataFrame:
     """One row per object: elements of an array (or of the array ``member``), or the object itself.
 
     Elements keep the text they have in the file, including the order of their fields.
     """
-    text = F.col(column)
-    inner = F.when(strict(text).isNotNull(), F.get_json_object(text, f"$.{member}")) if member else F.lit(None).cast("string")
-    body = F.coalesce(inner, text)
-    # an array with anything after it is left whole, and rejected as a record
-    parts = F.when(F.ltrim(body).startswith("[") & strict(body).isNotNull(), F.from_json(body, "array<string>"))
-    return documents.select(F.explode(F.coalesce(parts, F.array(body))).alias("value"))
+    return documents.select(F.explode(objects(F.col(column), member)).alias("value"))
 
 
 def cut_records(texts: DataFrame, member: str | None = None) -> DataFrame:
     """One row per record of the texts of :func:`threatframe.sources.json_files.texts`; what is no value goes on as its lines."""
     value = F.col("value")
     wrapped = F.concat(F.lit("["), value, F.lit("]"))
-    elements = F.when(F.col("listed") & strict(wrapped).isNotNull(), F.from_json(wrapped, "array<string>"))
-    lines = F.when(~F.contains(value, F.lit("\n")) | (~F.col("listed") & strict(value).isNotNull()), F.array(value)).otherwise(F.transform(F.split(value, "\n"), lambda x: F.trim(F.replace(x, F.lit("\r"), F.lit("")))))
-    rows = texts.select(elements.isNotNull().alias("cut"), F.explode(F.coalesce(elements, lines)).alias("value")).filter(F.trim("value") != "")
-    return rows.filter("cut").select("value").unionByName(records(rows.filter("not cut"), member=member))
+    elements = F.when(F.col("listed") & is_value(wrapped), F.from_json(wrapped, "array<string>"))
+    lines = F.when(~F.contains(value, F.lit("\n")) | (~F.col("listed") & is_value(value)), F.array(value)).otherwise(F.transform(F.split(value, "\n"), lambda x: F.trim(F.replace(x, F.lit("\r"), F.lit("")))))
+    # one pass: each text is parsed as an element or as lines, not as both by the two sides of a union
+    filled = lambda all_: F.filter(all_, lambda v: F.trim(v) != "")
+    parts = once(elements, lambda cut: F.when(cut.isNotNull(), filled(cut)).otherwise(
+        F.flatten(F.transform(filled(lines), lambda v: objects(v, member)))))
+    return texts.select(F.explode(parts).alias("value"))
 
 
 def read_json(spark: SparkSession, path: str, layout: str = "auto", schema: dict[str, str] | None = None,

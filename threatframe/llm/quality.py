@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threatframe.llm.common import id_and_text, slices, unused
+from threatframe.session import small_batches
 
 AT_ONCE = 200_000  # positions worked on at a time
 
@@ -212,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_clas
 
 def score(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(model)
 
     def scored(batches):
         network = shared.value
@@ -227,7 +228,7 @@ def score(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col: str
 
 def keep_good(docs: DataFrame, model: ByteCnn, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, with their columns; no row is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(model)
     name = unused(docs, "score")
 
     @F.pandas_udf("double")

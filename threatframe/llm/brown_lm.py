@@ -29,12 +29,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threatframe.llm.common import slices
-from threatframe.session import Scratch
+from threatframe.session import Scratch, small_batches
 
 END = b" "  # no word has a space
 AT_ONCE, FLUSH, SENT = 4_000_000, 400_000, 20_000
@@ -70,47 +72,80 @@ class Units:
                 cache[w] = self.of(w)
         return np.fromiter(map(cache.__getitem__, words), dtype=np.int64, count=len(words))
 
-
-class Numbers(dict):
-    """Number of each word in order of appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+    def column(self, words: pa.Array) -> np.ndarray:
+        """As ``numbers``, of a column of words: frequent words are looked up at once, endings are hashed once each."""
+        found = pc.index_in(words, value_set=pa.array(list(self.frequent), words.type))
+        endings = pc.binary_slice(words, -3).dictionary_encode()
+        hashed = np.fromiter((zlib.crc32(x) % self.shapes for x in endings.dictionary.to_pylist()), dtype=np.int64, count=len(endings.dictionary))
+        unit = len(self.frequent) + hashed[endings.indices.to_numpy(zero_copy_only=False)]
+        known = found.is_valid().to_numpy(zero_copy_only=False)
+        unit[known] = np.fromiter(self.frequent.values(), dtype=np.int64, count=len(self.frequent))[found.drop_null().to_numpy(zero_copy_only=False)]
+        return unit
+
+
+def numbered(texts: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of texts laid end to end, the end first and the others in order of appearance; number of each token; tokens of each text.
+
+    The same tokens as those of ``tokens_of``, found column by column."""
+    lower = pc.ascii_lower(pc.ascii_trim_whitespace(texts.cast(pa.large_string())))
+    some = pc.greater(pc.binary_length(lower), 0)
+    split = pc.ascii_split_whitespace(lower.filter(some))
+    split = split.combine_chunks() if isinstance(split, pa.ChunkedArray) else split
+    found = split.flatten().dictionary_encode()
+    sizes = np.ones(len(texts), dtype=np.int64)
+    sizes[some.to_numpy(zero_copy_only=False) if isinstance(some, pa.Array) else some.to_numpy()] += pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    tokens = np.zeros(sizes.sum(), dtype="<i4")
+    word = np.ones(len(tokens), dtype=bool)
+    word[np.cumsum(sizes) - 1] = False
+    tokens[word] = found.indices.to_numpy(zero_copy_only=False) + 1
+    return pa.concat_arrays([pa.array([END], pa.large_binary()), found.dictionary.cast(pa.large_binary())]), tokens, sizes
 
 
 def coded(texts: DataFrame, block_bytes: int) -> DataFrame:
     """Blocks of neighbouring rows, with two kinds of rows: of texts (``ids``: number of each token in its block, compressed) and of the block's
     distinct words (``n``: training count; the end is number 0)."""
+    kinds = dict(zip(CODED, (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.binary(), pa.int64()), strict=True))
 
     def in_blocks(batches):
-        made, rows, numbers, size = 0, [], Numbers({END: 0}), 0
+        made, rows, size = 0, [], 0
 
-        def frames():
+        def sent(most, **columns):
             block = (TaskContext.get().partitionId() << 32) | made
-            count = np.zeros(len(numbers), dtype=np.int64)
-            for _, held, ids in rows:
-                if not held:
-                    count += np.bincount(ids, minlength=len(count))
-            docs = pd.DataFrame([(d, h, zlib.compress(ids.tobytes(), 1)) for d, h, ids in rows], columns=["doc_id", "held_out", "ids"]).astype({"doc_id": "Int64"})
-            for at in range(0, len(docs), SENT):
-                yield docs.iloc[at : at + SENT].assign(block=block, local=None, word=None, n=None)[CODED]
-            words = pd.DataFrame({"local": np.arange(len(count)), "word": list(numbers), "n": count})
-            for at in range(0, len(words), SENT):
-                yield words.iloc[at : at + SENT].assign(block=block, doc_id=None, held_out=None, ids=None)[CODED]
+            for at in range(0, most, SENT):
+                part = {k: x[at : at + SENT] for k, x in columns.items()}
+                held = min(SENT, most - at)
+                part["block"] = np.full(held, block)
+                part = {k: x.cast(kinds[k]) if isinstance(x, pa.Array) else pa.array(x, kinds[k]) for k, x in part.items()}
+                yield pa.RecordBatch.from_arrays([part[k] if k in part else pa.nulls(held, t) for k, t in kinds.items()], names=CODED)
+
+        def frames():
+            docs = pa.Table.from_batches(rows)
+            words, tokens, sizes = numbered(docs["text"])
+            ends = np.cumsum(sizes).tolist()
+            ids = [zlib.compress(tokens[low:high].tobytes(), 1) for low, high in zip([0, *ends[:-1]], ends, strict=True)]
+            held = docs["held_out"].to_pylist()
+            # once for the block: a row's own count would be as long as the words of all its rows
+            learnt = np.repeat(~np.array(held, dtype=bool), sizes)
+            count = np.bincount(tokens[learnt], minlength=len(words))
+            yield from sent(len(ids), doc_id=docs["doc_id"].to_pylist(), held_out=held, ids=ids)
+            yield from sent(len(words), local=np.arange(len(words)), word=words, n=count)
 
         for batch in batches:
-            for doc_id, held, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):
-                words = tokens_of(text)
-                rows.append((None if pd.isna(doc_id) else int(doc_id), bool(held), np.fromiter(map(numbers.__getitem__, words), dtype="<i4", count=len(words))))
-                size += len(text) + 100
+            low = 0
+            for i, n in enumerate(pc.utf8_length(batch["text"]).to_pylist()):
+                size += n + 100
                 if size >= block_bytes:
+                    rows.append(batch.slice(low, i + 1 - low))
                     yield from frames()
-                    made, rows, numbers, size = made + 1, [], Numbers({END: 0}), 0
+                    made, rows, low, size = made + 1, [], i + 1, 0
+            if low < batch.num_rows:
+                rows.append(batch.slice(low))
         if rows:
             yield from frames()
 
-    return texts.select("doc_id", "held_out", "text").mapInPandas(in_blocks, "block long, doc_id long, held_out boolean, ids binary, local int, word binary, n long")
+    small_batches(texts.sparkSession)
+    found = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
+    return found.mapInArrow(in_blocks, "block long, doc_id long, held_out boolean, ids binary, local int, word binary, n long")
 
 
 CODED = ["block", "doc_id", "held_out", "ids", "local", "word", "n"]
@@ -236,28 +271,27 @@ def contexts(training: DataFrame, units: Units, classes: np.ndarray, count: int)
     """units x 2 x count: how often each unit stands after (0) and before (1) a token of each context class."""
     spark = training.sparkSession
     shared = spark.sparkContext.broadcast((units.frequent, units.shapes, classes))
+    columns = [f"c{i}" for i in range(2 * count)]
 
     def tally(batches):
         frequent, shapes, classed = shared.value
         own, width = Units(frequent, shapes), 2 * count
         total = np.zeros(len(own) * width, dtype=np.int32)
         for batch in batches:
-            texts = batch["text"].tolist()
-            for low, high in slices([len(t) for t in texts], AT_ONCE):
-                words = [END]
-                for t in texts[low:high]:
-                    words += tokens_of(t)
-                u = own.numbers(words)
+            texts = batch["text"]
+            for low, high in slices(pc.utf8_length(texts).to_pylist(), AT_ONCE):
+                words, tokens, _ = numbered(texts.slice(low, high - low))
+                u = own.column(words)[np.r_[0, tokens]]
                 c = classed[u]
                 total += np.bincount(np.concatenate([u[1:] * width + c[:-1], u[:-1] * width + count + c[1:]]), minlength=len(total)).astype(np.int32)
         table = total.reshape(len(own), width)
         some = np.flatnonzero(table.any(axis=1))
         for at in range(0, len(some), 5000):
             part = some[at : at + 5000]
-            yield pd.DataFrame({"unit": part, **{f"c{i}": table[part, i] for i in range(width)}})
+            cells = table[part]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *[pa.array(cells[:, i]) for i in range(width)]], names=["unit", *columns])
 
-    columns = [f"c{i}" for i in range(2 * count)]
-    rows = training.select("text").mapInPandas(tally, "unit int, " + ", ".join(f"{c} int" for c in columns))
+    rows = training.select("text").mapInArrow(tally, "unit int, " + ", ".join(f"{c} int" for c in columns))
     found = rows.groupBy("unit").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()  # one row per unit
     out = np.zeros((len(units), 2 * count))
     out[found["unit"].to_numpy(dtype=np.int64)] = found[columns].to_numpy(dtype=np.float64)
